@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import exact_dedup, line_dedup, simhash, sp_tokens
+from pelagia.llm import exact_dedup, html_text, line_dedup, simhash, sp_tokens, toxicity, warc
+from pelagia.llm.common import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +27,24 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_tokens.encode_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
+    return warc.page_records(warc.read_archives(spark, path, with_payload=False))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -38,13 +53,26 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op7_warc": op7_warc,
     "op9_line_dedup": op9_line_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Base32 of a SHA-1: 8 groups of 5 hex digits, each of 4 base32 digits.
+_BASE32 = "list_reduce(list_transform(range(0, 8), lambda g: " + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(sha1(t), (5 * g + 1)::INTEGER, 5))::BIGINT >> {s}) & 31) + 1)::INTEGER, 1)" for s in (15, 10, 5, 0)
+) + "), lambda a, b: a || b)"
+
 ORACLE = {
+    "op7_warc": f"""
+        SELECT page_id, strlen(t) AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM (SELECT page_id, coalesce(html, '') AS t, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)""",
     "op2_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
