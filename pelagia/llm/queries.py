@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import exact_dedup, html_text, line_dedup, simhash, sp_tokens, toxicity, warc
+from pelagia.llm import decontam, exact_dedup, html_text, line_dedup, simhash, sp_tokens, toxicity, warc
 from pelagia.llm.common import scratch_path
 
 
@@ -45,6 +45,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=8, min_share=0.5)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -56,6 +60,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
+    "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
 }
