@@ -9,27 +9,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import LOWEST, text_of
+from pelagia.llm.common import LOWEST, text_of, written
 
 
 def _md5(data: bytes) -> bytes:
     return hashlib.md5(data, usedforsecurity=False).digest()
 
 
-def _signer(content_hash: Callable[[bytes], bytes]):
-    """text -> (content hash, SHA-256, text with A-Z lower-cased), by Arrow batches."""
+def _signer(content_hash: Callable[[bytes], bytes], with_text: bool):
+    """text -> content hash, SHA-256 and, if asked for, the text with A-Z lower-cased; by Arrow batches."""
 
-    @F.arrow_udf("struct<h:binary,sha:string,norm:string>")
+    @F.arrow_udf("struct<h:binary,sha:string,norm:string>" if with_text else "struct<h:binary,sha:string>")
     def sign(text: pa.Array) -> pa.Array:
         norm = [t.encode().lower() for t in text.to_pylist()]  # bytes.lower() changes A-Z only
-        return pa.StructArray.from_arrays(
-            [
-                pa.array([content_hash(b) for b in norm], pa.binary()),
-                pa.array([hashlib.sha256(b).hexdigest() for b in norm], pa.string()),
-                pa.array(norm, pa.binary()).cast(pa.string()),
-            ],
-            names=["h", "sha", "norm"],
-        )
+        columns = {"h": pa.array([content_hash(b) for b in norm], pa.binary()), "sha": pa.array([hashlib.sha256(b).hexdigest() for b in norm], pa.string())}
+        if with_text:
+            columns["norm"] = pa.array(norm, pa.binary()).cast(pa.string())
+        return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
     return sign
 
@@ -38,15 +34,29 @@ def _id(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LOWEST))
 
 
-def _groups(signed: DataFrame, keep: str) -> tuple[DataFrame, DataFrame]:
-    """(one row per text without collisions: h, k, size; one row per text of a collided hash: h, norm, k, size)."""
+def _texts(docs: DataFrame, keep: str, content_hash, id_col: str, text_col: str) -> DataFrame:
+    """One row per (hash, text): the id that stays and the number of rows."""
+    sign = _signer(content_hash, True)
+    signed = docs.select(_id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("id", "s.h", "s.norm")
     best = F.max if keep == "max" else F.min
-    texts = signed.groupBy("h", "norm").agg(best("id").alias("k"), F.count(F.lit(1)).alias("size"))
-    # The texts stay behind here; what follows joins by hash.  A hash with more than one
-    # text is a collision and takes the path that carries the text.
-    per_hash = texts.groupBy("h").agg(F.count(F.lit(1)).alias("texts"), F.first("k").alias("k"), F.first("size").alias("size"))
+    return signed.groupBy("h", "norm").agg(best("id").alias("k"), F.count(F.lit(1)).alias("size"))
+
+
+def _groups(docs: DataFrame, keep: str, content_hash, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(h, k, size of hashes with one text; h, sha, k, size of the texts of collided hashes, or None without collisions).
+
+    The texts stay behind here: what follows joins by hash.  A hash that holds more than
+    one text is a collision, and only then its texts are looked at again.
+    """
+    args = (docs, keep, content_hash, id_col, text_col)
+    per_hash = written(
+        _texts(*args).groupBy("h").agg(F.count(F.lit(1)).alias("texts"), F.first("k").alias("k"), F.first("size").alias("size")), "hashes"
+    )
     clash = per_hash.where("texts > 1").select("h")
-    return per_hash.where("texts = 1").select("h", "k", "size"), texts.join(clash, "h", "left_semi")
+    single = per_hash.where("texts = 1").select("h", "k", "size")
+    if clash.isEmpty():
+        return single, None
+    return single, _texts(*args).join(clash, "h", "left_semi").select("h", F.sha2("norm", 256).alias("sha"), "k", "size")
 
 
 def duplicate_groups(
@@ -64,13 +74,14 @@ def duplicate_groups(
     others; of repeated rows (same id, same text) one is kept; an empty table gives no
     rows; other columns are not read.
     """
-    sign = _signer(content_hash)
-    signed = docs.select(_id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("id", "s.h", "s.sha", "s.norm")
-    single, collided = _groups(signed, keep)
+    single, collided = _groups(docs, keep, content_hash, id_col, text_col)
+    sign = _signer(content_hash, False)
+    signed = docs.select(_id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("id", "s.h", "s.sha")
     rows = signed.groupBy("id", "h", "sha").agg(F.count(F.lit(1)).alias("n"))
-    hard = signed.groupBy("id", "h", "sha", "norm").agg(F.count(F.lit(1)).alias("n")).join(collided, ["h", "norm"])
     names = ["id", "sha", "n", "k", "size"]
-    found = rows.join(single, "h").select(names).unionByName(hard.select(names))
+    found = rows.join(single, "h").select(names)
+    if collided is not None:
+        found = found.unionByName(rows.join(collided, ["h", "sha"]).select(names))
     each = found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
     return each.select(
         F.when(F.col("id") != LOWEST, F.col("id")).alias("doc_id"),
@@ -88,13 +99,15 @@ def keep_one(
 
     The same grouping and edge cases as `duplicate_groups`; of repeated rows one stays.
     """
-    sign = _signer(content_hash)
+    single, collided = _groups(docs, keep, content_hash, id_col, text_col)
+    winners = single.select(F.col("k").alias("id"), "h", F.lit(None).cast("string").alias("w_sha"))
+    if collided is not None:
+        winners = winners.union(collided.select(F.col("k").alias("id"), "h", F.col("sha").alias("w_sha")))
+    sign = _signer(content_hash, False)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    signed = docs.select(row, _id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("row", "id", "s.h", "s.sha", "s.norm")
-    single, collided = _groups(signed.drop("row"), keep)
-    winners = single.select(F.col("k").alias("id"), "h").union(collided.select(F.col("k").alias("id"), "h").distinct())
-    # Repeated rows of a winner, and the texts of a collided hash, are told apart by the SHA-256.
-    best = signed.drop("norm").join(winners, ["id", "h"], "left_semi")
+    signed = docs.select(row, _id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("row", "id", "s.h", "s.sha").alias("d")
+    winners = winners.alias("w")
+    same = (F.col("d.id") == F.col("w.id")) & (F.col("d.h") == F.col("w.h")) & (F.col("w_sha").isNull() | (F.col("w_sha") == F.col("sha")))
     w = Window.partitionBy("id", "h").orderBy("sha")
-    ranked = best.withColumn("r", F.row_number().over(w)).withColumn("d", F.lag("sha").over(w))
-    return ranked.where((F.col("r") == 1) | (F.col("d") != F.col("sha"))).select("row.*")
+    ranked = signed.join(winners, same, "left_semi").withColumn("r", F.row_number().over(w)).withColumn("before", F.lag("sha").over(w))
+    return ranked.where((F.col("r") == 1) | (F.col("before") != F.col("sha"))).select("row.*")
