@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +91,47 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+#: Bits of the filter that tasks hold; its size does not depend on the table's.
+FILTER_BITS = 1 << 23
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """splitmix64's finaliser."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Filter:
+    """A Bloom filter with two bits per hash and a fixed size."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    @staticmethod
+    def bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        a, b = self.bits(h)
+        one = np.uint64(1)
+        hit = (self.words[(a >> np.uint64(6)).astype(np.int64)] >> (a & np.uint64(63))) & one
+        return (hit & (self.words[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)))) == one
+
+
+def filter_of(df: DataFrame, column: str) -> Filter:
+    """The filter of all 64-bit hashes in a column; bits are combined by Spark, at most FILTER_BITS / 64 numbers reach the driver."""
+    h = F.col(column)
+    bit = F.explode(F.array(h.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(FILTER_BITS - 1))))
+    rows = (
+        df.select(bit.alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+        .collect()
+    )
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in rows:
+        words[r["word"]] = r["bits"]
+    return Filter(words.view(np.uint64))

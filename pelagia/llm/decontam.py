@@ -10,155 +10,102 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import text_of, written
+from pelagia.llm.common import filter_of, mix64, text_of, written
 
 UNITS = frozenset(
     """kg g mg t lb lbs oz km m cm mm mi ft in yd l ml s sec secs ms min mins h hr hrs hours hour minutes minute seconds second days day weeks week months month years year
     meters metres meter metre miles mile feet foot inches inch liters litres grams kilograms kilometers kilometres dollars dollar cents euros euro pounds percent degrees
     mph kmh kph hz khz mhz ghz kb mb gb tb w kw kwh v""".split()
 )
-_MEASURE = re.compile(r"[0-9][0-9.,]*([a-z]+)")
-NAME_SLOT, NUMBER_SLOT, UNIT_SLOT, MEASURE_SLOT = 1, 2, 3, 4
-#: Bits of the filter that tasks hold; its size does not depend on the benchmark's.
-FILTER_BITS = 1 << 23
+#: Words whose hashes a worker keeps; beyond that many it starts anew.
+CACHE_WORDS = 400_000
 
+_IN = rb"A-Za-z0-9\x80-\xff"
+_UNIT = b"|".join(sorted((u.encode() for u in UNITS), key=len, reverse=True))
+#: A capitalised word within a sentence: after a word or a comma and one blank.
+_NAME = re.compile(rb"(?<=[a-z0-9,;\x80-\xff] )[A-Z][a-z]+(?![" + _IN + rb"])")
+_NUMBER = re.compile(rb"(?<![" + _IN + rb"])[0-9][0-9.,:/]*(?:st|nd|rd|th)?(?![" + _IN + rb"])")
+_MEASURE = re.compile(rb"(?<![" + _IN + rb"])[0-9][0-9.,]*(?:" + _UNIT + rb")(?![" + _IN + rb"])", re.I)
+_UNIT_AFTER = re.compile(rb"(?<=\x02 )(?:" + _UNIT + rb")(?![" + _IN + rb"])", re.I)
+#: Placeholders in the order in which they are put in.
+SLOTS = ((b"\x01", _NAME), (b"\x04", _MEASURE), (b"\x02", _NUMBER), (b"\x03", _UNIT_AFTER))
+PLACEHOLDERS = frozenset(p for p, _ in SLOTS)
+_DROPPED = bytes(c for c in range(5, 128) if not chr(c).isalnum() and c not in b" \t\n\x0b\x0c\r")
+_DIGIT = re.compile(rb"[0-9]")
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """splitmix64's finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
+_STEP = 0xD6E8FEB86659FD93
+_BACK = pow(_STEP, -1, 1 << 64)
 
-#: A random number for each byte, and powers of an odd number for its place in the word.
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_PLACE = np.cumprod(np.full(1024, 0xD6E8FEB86659FD93, np.uint64))
-_SPACE, _WORD, _OTHER = 0, 1, 2
-_CLASS = np.full(256, _OTHER, np.uint8)
-_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
-_CLASS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = _WORD
-_STOPS = np.zeros(256, bool)
-_STOPS[[ord(c) for c in ".!?:"]] = True
 
+class Powers:
+    """Powers of _STEP and of its inverse modulo 2**64, as many as were asked for."""
 
-def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of bytes in lower case: (place of each word byte, first of each word among them, its length, its hash, class of each byte).
+    up = np.ones(1, np.uint64)
+    down = np.ones(1, np.uint64)
 
-    Words are parted by white space; a word's hash is that of its letters and digits.
+    @classmethod
+    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = 1 << n.bit_length()
+            cls.up, cls.down = (np.cumprod(np.append(np.ones(1, np.uint64), np.full(size, x, np.uint64))) for x in (_STEP, _BACK))
+        return cls.up[:n], cls.down[:n]
+
+
+def template(text: str) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
+    """(template words, the text at each stage of the replacement with the placeholder that comes next).
+
+    White space parts words; case of A-Z and punctuation are dropped.
     """
-    b = np.frombuffer(raw, np.uint8)
-    cls = _CLASS[b]
-    inside = cls != _SPACE
-    word = np.cumsum(inside & ~np.concatenate(([False], inside[:-1])))
-    at = np.flatnonzero(cls == _WORD)
-    first = np.flatnonzero(np.diff(word[at], prepend=-1))
-    size = np.diff(first, append=len(at))
-    place = np.arange(len(at)) - np.repeat(first, size)
-    h = np.add.reduceat(_BYTE[b[at]] * _PLACE[place & 1023], first) if len(first) else np.zeros(0, np.uint64)
-    return at, first, size, _mix(h + size.astype(np.uint64)), cls
-
-
-def _hash_of(word: str) -> np.uint64:
-    return _word_hashes(word.encode())[3][0]
-
-
-PLACEHOLDERS = np.array([0, *[_hash_of(f"placeholder{k}") for k in (1, 2, 3, 4)]], np.uint64)
-_UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
-
-
-class Template:
-    """A text as template words: `hashes`, slot `kinds` (0: none), and the words themselves by place."""
-
-    def __init__(self, text: str):
-        self.raw = text.encode()
-        low = self.raw.lower()  # A-Z only
-        self.at, self.first, self.size, h, cls = _word_hashes(low)
-        n = len(self.first)
-        if not n:
-            self.hashes, self.kinds = h, np.zeros(0, np.int8)
-            return
-        b, own = np.frombuffer(low, np.uint8)[self.at], np.frombuffer(self.raw, np.uint8)[self.at]
-        upper = own != b
-        letters = np.add.reduceat((b >= 97).astype(np.int64), self.first)
-        head = b[self.first]
-        digit = (head >= 48) & (head <= 57)
-        last = self.at[self.first + self.size - 1]
-        after = np.concatenate((np.frombuffer(low, np.uint8), np.full(2, 32, np.uint8)))
-        cls = np.concatenate((cls, np.zeros(2, np.uint8)))
-        ends = _STOPS[after[last + 1]] | (cls[last + 1] == _OTHER) & _STOPS[after[last + 2]]
-        starts_sentence = np.concatenate(([True], ends[:-1]))
-        kinds = np.zeros(n, np.int8)
-        name = upper[self.first] & (np.add.reduceat(upper.astype(np.int64), self.first) == 1) & (self.size > 1) & ~starts_sentence
-        kinds[name] = NAME_SLOT
-        kinds[digit & (letters == 0)] = NUMBER_SLOT
-        for i in np.flatnonzero(digit & (letters > 0)).tolist():
-            m = _MEASURE.fullmatch(self.word(i))
-            if m and m[1] in ("st", "nd", "rd", "th"):
-                kinds[i] = NUMBER_SLOT
-            elif m and m[1] in UNITS:
-                kinds[i] = MEASURE_SLOT
-        number_before = np.concatenate(([False], kinds[:-1] == NUMBER_SLOT))
-        if number_before.any():
-            place = np.minimum(np.searchsorted(_UNIT_HASHES, h), len(_UNIT_HASHES) - 1)
-            kinds[number_before & (_UNIT_HASHES[place] == h)] = UNIT_SLOT
-        self.hashes, self.kinds = np.where(kinds > 0, PLACEHOLDERS[kinds], h), kinds
-
-    def word(self, i: int) -> str:
-        """The word at place i in lower case, from its first letter or digit to its last."""
-        a, e = self.at[self.first[i]], self.at[self.first[i] + self.size[i] - 1]
-        return self.raw[a : e + 1].decode("utf-8", "replace").lower()
-
-
-def windows(h: np.ndarray, kinds: np.ndarray, lengths: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, hash) of the template windows; those of placeholders for more than half are left out."""
-    starts, sizes, hashes = [], [], []
-    slots = np.concatenate(([0], np.cumsum(kinds > 0)))
-    for n in sorted(set(lengths)):
-        if len(h) < n:
-            continue
-        with np.errstate(over="ignore"):
-            x = np.full(len(h) - n + 1, n, np.uint64)
-            for k in range(n):
-                x = _mix(x * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + 1 + k])
-        at = np.flatnonzero(2 * (slots[n:] - slots[:-n]) <= n)
-        starts.append(at)
-        sizes.append(np.full(len(at), n))
-        hashes.append(x[at])
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(sizes), np.concatenate(hashes)
+    raw, stages = text.encode(), []
+    digits = _DIGIT.search(raw) is not None
+    for mark, pattern in SLOTS:
+        if digits or pattern is _NAME:
+            stages.append((mark, raw))
+            raw = pattern.sub(mark, raw)
+    return raw.lower().translate(None, _DROPPED).split(), stages
 
 
-class Filter:
-    """A Bloom filter with two bits per hash and a fixed size."""
+def slot_values(stages: list[tuple[bytes, bytes]]) -> dict[bytes, list[str]]:
+    """The values that each placeholder stands for, in their order in the text."""
+    patterns = dict(SLOTS)
+    return {mark: [m.rstrip(b".,:/").lower().decode("utf-8", "replace") for m in patterns[mark].findall(raw)] for mark, raw in stages}
 
-    def __init__(self, words: np.ndarray):
-        self.words = words
 
-    @staticmethod
-    def bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)
+class Hasher:
+    """64-bit hashes of words, remembered."""
 
-    def holds(self, h: np.ndarray) -> np.ndarray:
-        a, b = self.bits(h)
-        one = np.uint64(1)
-        hit = (self.words[(a >> np.uint64(6)).astype(np.int64)] >> (a & np.uint64(63))) & one
-        return (hit & (self.words[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)))) == one
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
 
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        from xxhash import xxh64_intdigest
 
-def _filter_of(bench: DataFrame) -> Filter:
-    """The filter of all benchmark windows; bits are combined by Spark, at most FILTER_BITS / 64 numbers reach the driver."""
-    bit = F.explode(F.array(F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(FILTER_BITS - 1))))
-    rows = (
-        bench.select(bit.alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-        .collect()
-    )
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in rows:
-        words[r["word"]] = r["bits"]
-    return Filter(words.view(np.uint64))
+        known = self.known
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        got = list(map(known.get, words))
+        if None in got:
+            for w in [w for w, g in zip(words, got) if g is None]:
+                known[w] = xxh64_intdigest(w)
+            got = list(map(known.__getitem__, words))
+        return np.array(got, np.uint64)
+
+
+def windows(h: np.ndarray, slot: np.ndarray, lengths: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, hash) of the template windows; those of placeholders for more than half are left out."""
+    starts, sizes, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    up, down = Powers.to(len(h))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up)))
+    slots = np.concatenate(([0], np.cumsum(slot))) if slot.any() else None
+    for n in sorted(set(lengths)):
+        if len(h) >= n > 0:
+            x = mix64((total[n:] - total[:-n]) * down[: len(h) - n + 1] + np.uint64(n))
+            at = np.arange(len(x)) if slots is None else np.flatnonzero(2 * (slots[n:] - slots[:-n]) <= n)
+            starts.append(at)
+            sizes.append(np.full(len(at), n))
+            hashes.append(x if slots is None else x[at])
+    return np.concatenate(starts), np.concatenate(sizes), np.concatenate(hashes)
 
 
 _WINDOW = "id long, pos long, size long, h long, slots array<string>, total long"
@@ -168,19 +115,27 @@ def _rows(df: DataFrame, id_col: str, text_col: str, window: int, lengths: Itera
     """Windows of each text.  lengths None: a text shorter than `window` is one window of its own length."""
 
     def run(batches):
+        hasher = Hasher()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t = Template(text)
-                starts, sizes, hashes = windows(t.hashes, t.kinds, lengths if lengths is not None else [min(window, len(t.hashes))] if len(t.hashes) else [])
+                words, stages = template(text)
+                if not words:
+                    continue
+                is_slot = [False] * len(words) if PLACEHOLDERS.isdisjoint(words) else [w in PLACEHOLDERS for w in words]
+                starts, sizes, hashes = windows(hasher(words), np.array(is_slot), lengths if lengths is not None else [min(window, len(words))])
                 total = len(starts)
                 if allowed is not None and total:
                     keep = allowed.value.holds(hashes)
                     if not keep.any():
                         continue
                     starts, sizes, hashes = starts[keep], sizes[keep], hashes[keep]
+                values, place = {k: iter(v) for k, v in slot_values(stages).items()}, {}
+                for k, w in enumerate(words):
+                    if is_slot[k]:
+                        place[k] = next(values[w], "")
                 for s, n, x in zip(starts.tolist(), sizes.tolist(), hashes.view(np.int64).tolist()):
-                    slots = [t.word(s + k) for k in np.flatnonzero(t.kinds[s : s + n]).tolist()]
+                    slots = [place[k] for k in range(s, s + n) if k in place]
                     for column, v in zip(out, (i, s, n, x, slots, total)):
                         column.append(v)
             yield pa.RecordBatch.from_arrays(
@@ -212,7 +167,7 @@ def contaminated(
     """
     spark = docs.sparkSession
     items = written(_rows(benchmark, item_col, item_text_col, window, None, None).where(F.col("size") >= min_words), "items")
-    allowed = spark.sparkContext.broadcast(_filter_of(items))
+    allowed = spark.sparkContext.broadcast(filter_of(items, "h"))
     short = [r["size"] for r in items.select("size").distinct().collect()]  # at most `window` different sizes
     found = _rows(docs, id_col, text_col, window, short or [window], allowed)
     met = found.select(F.col("id").alias("doc_id"), "pos", "size", "h", F.col("slots").alias("theirs")).join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import decontam, exact_dedup, html_text, line_dedup, simhash, sp_tokens, toxicity, warc
+from pelagia.llm import decontam, exact_dedup, html_text, line_dedup, pii, quotes, simhash, sp_tokens, toxicity, warc
 from pelagia.llm.common import scratch_path
 
 
@@ -19,10 +19,19 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = quotes.as_messages(table(spark, sf_dir, "conversations"))
+    return quotes.conversations(messages, words=5, min_share=0.8, thread_col="conv_id")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_tokens.encode_digests(table(spark, sf_dir, "documents"), piece_model())
 
@@ -55,7 +64,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quotation_linking": op3_quotation_linking,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
