@@ -173,7 +173,7 @@ def contaminated(
     met = found.select(F.col("id").alias("doc_id"), "pos", "size", "h", F.col("slots").alias("theirs")).join(
         items.select(F.col("id").alias("item_id"), F.col("pos").alias("at"), "size", "h", F.col("slots").alias("own"), "total"), ["h", "size"]
     )
-    met = met.where(F.size("own") == F.size("theirs")).withColumn("offset", F.col("pos") - F.col("at"))
+    met = written(met.where(F.size("own") == F.size("theirs")).withColumn("offset", F.col("pos") - F.col("at")), "met")  # texts are read once
     pair = ["doc_id", "item_id", "offset"]
     slots = met.select(*pair, F.explode_outer(F.arrays_zip("own", "theirs")).alias("s")).select(*pair, "s.own", "s.theirs")
     clash = slots.where("own is not null").groupBy(*pair, "own").agg((F.min("theirs") != F.max("theirs")).alias("clash"), F.min(F.col("own") == F.col("theirs")).alias("same"))
