@@ -91,12 +91,13 @@ def sha1_base32(data: bytes) -> str:
 
 
 _VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r\n")
+_VERSION_HERE = re.compile(rb"WARC/1\.[01]\r\n")
 _HEAD_LIMIT = 1 << 16
 
 
 def _record(buf: bytes, at: int, final: bool) -> tuple[int, dict | str] | None:
     """The record that begins at `at`: (its end, fields), or (where to search on, what is wrong); None: more bytes are needed."""
-    m = _VERSION.match(buf, at)
+    m = _VERSION_HERE.match(buf, at)
     if not m:
         if not final and len(buf) - at < 10:
             return None
@@ -211,7 +212,7 @@ def salvage(data: bytes) -> Iterator[tuple]:
             for kind, _, _, reason, fields in good:  # damaged, but these came whole
                 yield kind, at, at, reason, fields
             gap = at if gap is None else gap
-        elif _VERSION.match(data, at):
+        elif _VERSION_HERE.match(data, at):
             nxt = data.find(b"\x1f\x8b\x08", at)
             while nxt >= 0 and zlib_fails(data, nxt):
                 nxt = data.find(b"\x1f\x8b\x08", nxt + 1)
