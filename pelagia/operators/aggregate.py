@@ -32,8 +32,11 @@ def resample(df: DataFrame, time: str, unit: str, how: dict[str, tuple[str, str]
 
 
 def auto_unit(df: DataFrame, time: str, by: Sequence[str] = ()) -> str:
-    """hour if the median gap is under an hour, day if under a day, else month."""
-    w = Window.partitionBy(*by).orderBy(time) if by else Window.partitionBy(F.lit(0)).orderBy(time)
+    """hour if the median gap is under an hour, day if under a day, else month.
+
+    Without `by`, gaps are taken within calendar years, so no task orders all times.
+    """
+    w = Window.partitionBy(*(by or [F.year(time)])).orderBy(time)
     times = df.select(*by, time).distinct()
     gap = times.select((seconds_of(F.col(time)) - seconds_of(F.lag(time).over(w))).alias("g")).agg(F.median("g")).first()[0]
     return "hour" if gap is not None and gap < 3600 else "day" if gap is not None and gap < 86_400 else "month"

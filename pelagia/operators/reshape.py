@@ -27,7 +27,10 @@ def flatten_grid(df: DataFrame, dims: dict[str, str], value: str) -> DataFrame:
 
 
 def expand_ragged(profiles: DataFrame, observations: DataFrame, size: str = "row_size", profile: str = "profile", position: str = "obs", by: str | None = None) -> DataFrame:
-    """Observations with their profile's columns: profile k holds the next row_size observations, counted from 0 in each `by`."""
+    """Observations with their profile's columns: profile k holds the next row_size observations, counted from 0 in each `by`.
+
+    Give `by` (the file) for more than one file's profiles: without it one task numbers all.
+    """
     keys = [by] if by else []
     w = (Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))).orderBy(profile).rowsBetween(Window.unboundedPreceding, 0)
     ranges = profiles.withColumn("__end", F.sum(size).over(w)).withColumn("__start", F.col("__end") - F.col(size)).where(F.col(size) > 0)
@@ -36,7 +39,10 @@ def expand_ragged(profiles: DataFrame, observations: DataFrame, size: str = "row
 
 
 def repair_sizes(profiles: DataFrame, total: str, size: str = "row_size", profile: str = "profile", by: str | None = None) -> DataFrame:
-    """Row sizes made consistent: negative ones are 0, running sums stop at the number of observations, the last profile takes the rest."""
+    """Row sizes made consistent: negative ones are 0, running sums stop at the number of observations, the last profile takes the rest.
+
+    As above, `by` is for anything larger than one file.
+    """
     part = Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))
     w = part.orderBy(profile)
     run = F.least(F.sum(F.greatest(F.col(size), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col(total))
