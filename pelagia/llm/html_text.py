@@ -39,8 +39,9 @@ SIGMA = 1.0
 class PageLines(HTMLParser):
     """Turns parser events into lines of text, one per block, with tag counts and the regions around them."""
 
-    def __init__(self):
+    def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
         self.stack: list[tuple[str, bool, int, bool]] = []  # tag, dropped, region, in comments
         self.regions: list[tuple[int, bool]] = [(-1, False)]  # parent, is a landmark
         self.lines: list[tuple[str, int, int]] = []  # text, tags, region
@@ -78,7 +79,7 @@ class PageLines(HTMLParser):
                 hidden = True
         comments = self.comments or bool(words & COMMENTS)
         landmark = (tag in LANDMARK or role in ("main", "article")) and not comments
-        furniture = bool(words & FURNITURE) and not words & {"no", "has", "with", "without"} and tag not in ("html", "body") and not landmark
+        furniture = self.by_name and bool(words & FURNITURE) and not words & {"no", "has", "with", "without"} and tag not in ("html", "body") and not landmark
         dropped = tag in DROPPED or role in ROLES or hidden or furniture or comments or (self.dropped and not (landmark and tag in LANDMARK))
         region = self.region
         if landmark or (tag in ("div", "section", "body", "td", "center") and not dropped):
@@ -146,12 +147,15 @@ def cluster(values: np.ndarray) -> np.ndarray:
 
 def main_text(html: str) -> str:
     """The article of a page as one string."""
-    parser = PageLines()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    lines = parser.lines
-    if not lines:
+    for by_name in (True, False):  # a page whose wrapper is named like furniture is read again without names
+        parser = PageLines(by_name)
+        parser.feed(html)
+        parser.close()
+        parser.flush()
+        lines = parser.lines
+        if lines:
+            break
+    else:
         return ""
     chosen = cluster(ratios(lines))
     regions = parser.regions
