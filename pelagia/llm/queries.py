@@ -29,7 +29,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = quotes.as_messages(table(spark, sf_dir, "conversations"))
-    return quotes.conversations(messages, words=5, min_share=0.8, thread_col="conv_id")
+    return quotes.conversations(messages, min_share=0.8, thread_col="conv_id")
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
