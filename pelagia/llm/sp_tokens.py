@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import text_of
+from pelagia.llm.common import slices, text_of
 
 SPACE = "▁"
 #: Words that a worker keeps encoded, in each of two halves; when the newer is full it becomes the older.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 #: Up to so many symbols a scan for the best pair is cheaper than a heap.
 SHORT = 40
 
@@ -114,6 +114,10 @@ class MergeEncoder:
             joined = " ".join(map(str, found))
         self.words[word], self.joined[word] = found, joined
 
+    def forget(self) -> None:
+        """Drops the remembered words, so that an idle worker holds none."""
+        self.words, self.joined, self.older, self.older_joined = {}, {}, {}, {}
+
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids, with the end id, and the same ids as text."""
         if not text:
@@ -157,7 +161,7 @@ def encode(docs: DataFrame, model_path: str, check: bool = False, id_col: str =
 
     def run(batches):
         enc = encoder(model_path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             ids = [enc.encode(t)[0] for t in texts]
             if check:
@@ -166,6 +170,7 @@ def encode(docs: DataFrame, model_path: str, check: bool = False, id_col: str =
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array([enc.library.decode(i) for i in ids], pa.string())],
                 names=["doc_id", "ids", "n_tokens", "decoded"],
             )
+        enc.forget()
 
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, decoded string")
 
@@ -177,7 +182,7 @@ def encode_digests(docs: DataFrame, model_path: str, check: bool = False) -> Dat
     def run(batches):
         enc = encoder(model_path)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             n, ids_sha, decoded_sha = [], [], []
             for t in texts:
@@ -191,6 +196,7 @@ def encode_digests(docs: DataFrame, model_path: str, check: bool = False) -> Dat
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        enc.forget()
 
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
