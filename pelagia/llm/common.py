@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import contextlib
+import ctypes
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.sources.scratch import delete_path, scratch_path
+
 #: Sorts before every real id; stands for a missing id where an order is needed.
 LOWEST = -(2**63)
 
@@ -18,6 +21,13 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def trim() -> None:
+    """Gives freed memory back to the system; Spark keeps Python workers, which else hold it while idle."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches cut into pieces of at most `rows` rows, which bounds what a task holds as Python objects."""
     for batch in batches:
@@ -25,25 +35,6 @@ def slices(batches, rows: int = 512):
             yield batch.slice(at, rows)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir).
-
-    Where it is unset a temporary one is made, but only for a local master: on a
-    cluster a machine-local folder would lose rows.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="pelagia-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/pelagia-{uuid.uuid4().hex}/{name}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -52,13 +43,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a scratch table, in whatever store it is."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """Connected components of an edge list: (node, root), root the smallest node of the component.
 
@@ -91,7 +75,7 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
         ).distinct()
         after, new = keep(small)
         if len(used) > 2:
-            drop_path(spark, used.pop(0))
+            delete_path(spark, used.pop(0))
         same, mark, current = new == mark, new, after
         if same:
             break
@@ -100,6 +84,27 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     )
 
 
+def forest_roots(parents: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, root) of every node that has a parent, in a forest (each node has one parent at most, no cycles).
+
+    Pointers are doubled: each round a node takes over what its present root points to, so
+    rounds grow with the logarithm of the depth and each moves a row per node.
+    """
+    spark = parents.sparkSession
+    current, used = parents.select(F.col(node).alias("node"), F.col(parent).alias("root")), []
+    while True:
+        up = current.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        path = scratch_path(spark, "roots")
+        current.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")).write.parquet(path)
+        used.append(path)
+        after = spark.read.parquet(path)
+        current = after.select("node", "root")
+        if len(used) > 2:
+            delete_path(spark, used.pop(0))
+        if after.where("moved").isEmpty():
+            return current
+
+
 #: Bits of the filter that tasks hold; its size does not depend on the table's.
 FILTER_BITS = 1 << 23
 

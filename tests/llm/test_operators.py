@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pelagia.llm import decontam, exact_dedup, html_text, line_dedup, near_dedup, pii, quotes, simhash, sp_tokens, toxicity, warc
-from pelagia.llm.common import components, filter_of
+from pelagia.llm.common import components, filter_of, forest_roots
 from pelagia.llm.queries import piece_model
 
 SF = "/root/testdata/sf0.001"
@@ -213,6 +213,13 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 300: 100}
 
 
+def test_forest_roots(spark):
+    parents = [(i, i - 1) for i in range(1, 40)] + [(101, 100), (102, 100), (103, 102)]
+    got = {r["node"]: r["root"] for r in forest_roots(spark.createDataFrame(parents, "n long, p long"), "n", "p").collect()}
+    assert got == {**{i: 0 for i in range(1, 40)}, 101: 100, 102: 100, 103: 100}
+    assert forest_roots(spark.createDataFrame([], "n long, p long"), "n", "p").count() == 0
+
+
 def test_near_groups(spark, empty):
     import random
 
@@ -401,6 +408,7 @@ def test_article_text(spark, empty):
     assert html_text.main_text(PAGE.replace('<div id="content">', "<main><article>").replace("</script></div>", "</script></article></main>")) == want
     assert html_text.main_text("") == "" and html_text.main_text("<nav>x</nav>") == "" and html_text.main_text("plain text") == "plain text"
     assert html_text.main_text("<p>a<br>b</p><td>c") == "a b c"
+    assert html_text.main_text('<div class="layout sidebar-right"><p>All of the text.</p></div><footer>x</footer>') == "All of the text."
     rows = [(1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "long " * 30_000), (3, "w", "<article>x</article>")]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))).collect()
     assert len(got) == 5 and {r["n_chars"] for r in got} >= {0, len(want), 1} and all(r["n_chars"] == len(r["text"]) for r in got)
