@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import filter_of, mix64, text_of, written
+from pelagia.llm.common import filter_of, mix64, slices, text_of, trim, written
 
 UNITS = frozenset(
     """kg g mg t lb lbs oz km m cm mm mi ft in yd l ml s sec secs ms min mins h hr hrs hours hour minutes minute seconds second days day weeks week months month years year
@@ -18,7 +18,7 @@ UNITS = frozenset(
     mph kmh kph hz khz mhz ghz kb mb gb tb w kw kwh v""".split()
 )
 #: Words whose hashes a worker keeps; beyond that many it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 _IN = rb"A-Za-z0-9\x80-\xff"
 _UNIT = b"|".join(sorted((u.encode() for u in UNITS), key=len, reverse=True))
@@ -116,7 +116,7 @@ def _rows(df: DataFrame, id_col: str, text_col: str, window: int, lengths: Itera
 
     def run(batches):
         hasher = Hasher()
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words, stages = template(text)
@@ -141,6 +141,8 @@ def _rows(df: DataFrame, id_col: str, text_col: str, window: int, lengths: Itera
             yield pa.RecordBatch.from_arrays(
                 [*[pa.array(c, pa.int64()) for c in out[:4]], pa.array(out[4], pa.list_(pa.string())), pa.array(out[5], pa.int64())], names=[c.split()[0] for c in _WINDOW.split(", ")]
             )
+        hasher.known.clear()
+        trim()
 
     return df.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).where("id is not null").mapInArrow(run, _WINDOW)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import LOWEST, text_of, written
+from pelagia.llm.common import LOWEST, text_of, trim, written
 
 
 def _md5(data: bytes) -> bytes:
@@ -25,6 +25,8 @@ def _signer(content_hash: Callable[[bytes], bytes], with_text: bool):
         columns = {"h": pa.array([content_hash(b) for b in norm], pa.binary()), "sha": pa.array([hashlib.sha256(b).hexdigest() for b in norm], pa.string())}
         if with_text:
             columns["norm"] = pa.array(norm, pa.binary()).cast(pa.string())
+        del norm
+        trim()
         return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
     return sign

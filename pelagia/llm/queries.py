@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagia.llm import decontam, exact_dedup, html_text, line_dedup, pii, quotes, simhash, sp_tokens, toxicity, warc
-from pelagia.llm.common import scratch_path
+from pelagia.sources.scratch import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=8, min_share=0.5)
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=8, min_share=0.3)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

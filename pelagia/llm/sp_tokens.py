@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import slices, text_of
+from pelagia.llm.common import slices, text_of, trim
 
 SPACE = "▁"
 #: Words that a worker keeps encoded, in each of two halves; when the newer is full it becomes the older.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 120_000
 #: Up to so many symbols a scan for the best pair is cheaper than a heap.
 SHORT = 40
 
@@ -171,6 +171,7 @@ def encode(docs: DataFrame, model_path: str, check: bool = False, id_col: str =
                 names=["doc_id", "ids", "n_tokens", "decoded"],
             )
         enc.forget()
+        trim()
 
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, decoded string")
 
@@ -197,6 +198,7 @@ def encode_digests(docs: DataFrame, model_path: str, check: bool = False) -> Dat
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
         enc.forget()
+        trim()
 
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

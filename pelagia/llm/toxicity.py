@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import text_of, written
+from pelagia.llm.common import slices, text_of, trim, written
 
 #: Stripped from the ends of tokens.
 EDGES = ".,;:!?*$%&#|\"'()[]{}<>-_~=+/\\"
@@ -36,7 +36,7 @@ COST_LEET, COST_SEPARATOR, COST_REPEAT = math.log(0.3), math.log(0.5), math.log(
 PREFIXES = (3, 4, 5, 6, 7)
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 #: Distinct words that a task counts before it folds them into trigrams.
-FOLD_WORDS = 200_000
+FOLD_WORDS = 100_000
 
 
 def fold(word: str) -> str:
@@ -61,13 +61,15 @@ def count_trigrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         words, found = Counter(), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 words.update([w.strip(EDGES) for w in text.lower().split()])
                 if len(words) > FOLD_WORDS:
                     found.update(trigrams(words))
                     words.clear()
         found.update(trigrams(words))
+        words.clear()
+        trim()
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["gram", "n"])
 
     return docs.select(text_of(text_col)).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -256,15 +258,25 @@ def fit(
 
     def counted(batches):
         seen, hits = Counter(), Counter()
-        for batch in batches:
+
+        def out():
+            row = pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64()), pa.array([hits[f] for f in seen], pa.int64())], names=["f", "n", "hits"]
+            )
+            seen.clear()
+            hits.clear()
+            return row
+
+        for batch in slices(batches):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                f = features(tokens(text, shared.value))
+                f = features(tokens(text, shared.value)).keys()
                 seen.update(f)
                 if y:
                     hits.update(f)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64()), pa.array([hits[f] for f in seen], pa.int64())], names=["f", "n", "hits"]
-        )
+                if len(seen) > FOLD_WORDS:
+                    yield out()
+        yield out()
+        trim()
 
     total, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < positive < total:
@@ -281,7 +293,7 @@ def fit(
 
     def present(batches):
         known = shared_index.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [sorted((known[f], x) for f, x in features(tokens(t, shared.value)).items() if f in known) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([[i for i, _ in x] for x in found], pa.list_(pa.int32())), pa.array([[v for _, v in x] for x in found], pa.list_(pa.float64())), batch.column(1)],
@@ -299,7 +311,9 @@ def scorer(docs: DataFrame, model: ToxicModel):
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array([shared.value.score(t) for t in text.to_pylist()], pa.float64())
+        out = pa.array([shared.value.score(t.as_py()) for t in text], pa.float64())
+        trim()
+        return out
 
     return score
 
