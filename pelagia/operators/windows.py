@@ -39,12 +39,24 @@ def median_gap(df: DataFrame, by: Sequence[str], time: str) -> DataFrame:
     return df.withColumn("__g", gap).groupBy(*by).agg(F.median("__g").alias("gap_s"))
 
 
-def cumulative_track(df: DataFrame, by: str, time: str, lat: str, lon: str) -> DataFrame:
-    """Per platform and day: all positions up to that day, in order."""
-    day = F.date_trunc("day", F.col(time))
+def track_points(df: DataFrame, by: str, time: str) -> DataFrame:
+    """Per platform and day: how many positions its track has up to that day.  The window runs over one row per day."""
     w = Window.partitionBy(by).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    daily = df.groupBy(by, day.alias("day")).agg(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(lat).alias("lat"), F.col(lon).alias("lon")))).alias("points"))
-    return daily.withColumn("track", F.flatten(F.collect_list("points").over(w))).drop("points")
+    daily = df.groupBy(by, F.date_trunc("day", F.col(time)).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return daily.select(by, "day", "n", F.sum("n").over(w).alias("points"))
+
+
+def cumulative_track(df: DataFrame, by: str, time: str, lat: str, lon: str) -> DataFrame:
+    """A row per position: platform, day, t, lat, lon and its place in the platform's track, from 1.
+
+    The track up to a day is the rows of that day and the days before, in order of `place`;
+    a task orders one platform's day, never its whole history.
+    """
+    before = track_points(df, by, time).select(by, "day", (F.col("points") - F.col("n")).alias("__before"))
+    rows = df.select(by, F.date_trunc("day", F.col(time)).alias("day"), F.col(time).alias("t"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+    w = Window.partitionBy(by, "day").orderBy("t", "lat", "lon")
+    numbered = rows.withColumn("__k", F.row_number().over(w)).join(before, (rows[by].eqNullSafe(before[by])) & (rows["day"].eqNullSafe(before["day"])))
+    return numbered.select(rows[by], rows["day"], "t", "lat", "lon", (F.col("__before") + F.col("__k")).alias("place"))
 
 
 def steps_from(df: DataFrame, time: str, start, n: int) -> DataFrame:

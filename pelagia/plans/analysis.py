@@ -35,8 +35,7 @@ def hourly_median(spark: SparkSession, d: str) -> DataFrame:
 def auto_band(spark: SparkSession, d: str) -> DataFrame:
     """Mean and band per bin, the bin chosen by the median gap of the data."""
     o = obs(spark, d)
-    unit = A.auto_unit(o.where("user_id < 8"), "ts", ["user_id"])
-    return rnd(A.band(o, "ts", "day" if unit == "hour" else unit, "value", ["user_id"]), "mean", "p05", "p95")
+    return rnd(A.band(o, "ts", A.auto_unit(o, "ts", ["user_id"]), "value", ["user_id"]), "mean", "p05", "p95")
 
 
 @query("""SELECT month(l_shipdate)::INTEGER AS month, count(l_quantity) AS n, quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.5) AS p50, quantile_cont(l_quantity, 0.75) AS p75,
@@ -351,8 +350,8 @@ def median_gap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {OBS}, p AS (SELECT user_id, date_trunc('day', ts) AS day, count(*) AS n, sum(event_id) AS s FROM obs WHERE user_id % 10 = 3 GROUP BY ALL) SELECT user_id, day, (sum(n) OVER w)::BIGINT AS points FROM p WINDOW w AS (PARTITION BY user_id ORDER BY day)""")
 def cumulative_track(spark: SparkSession, d: str) -> DataFrame:
-    """The track of each platform up to each day."""
-    return windows.cumulative_track(obs(spark, d).where("user_id % 10 = 3"), "user_id", "ts", "lat", "lon").select("user_id", "day", F.size("track").cast("long").alias("points"))
+    """The length of the track up to each day, of the platforms that the SQL has."""
+    return windows.track_points(obs(spark, d).where("user_id % 10 = 3"), "user_id", "ts").select("user_id", "day", "points")
 
 
 @query(f"""WITH {OBS}, s AS (SELECT user_id, ts, lat, lead(ts) OVER w AS ts_next, lead(lat) OVER w AS lat_next FROM obs WHERE qc = 0 WINDOW w AS (PARTITION BY user_id ORDER BY ts)) SELECT * FROM s WHERE ts_next IS NOT NULL""")
