@@ -88,21 +88,20 @@ def forest_roots(parents: DataFrame, node: str, parent: str) -> DataFrame:
     """(node, root) of every node that has a parent, in a forest (each node has one parent at most, no cycles).
 
     Pointers are doubled: each round a node takes over what its present root points to, so
-    rounds grow with the logarithm of the depth and each moves a row per node.
+    rounds grow with the logarithm of the depth.  A node that has reached its root leaves
+    the rounds, so short trees aren't moved along with deep ones.
     """
     spark = parents.sparkSession
-    current, used = parents.select(F.col(node).alias("node"), F.col(parent).alias("root")), []
+    active, reached = parents.select(F.col(node).alias("node"), F.col(parent).alias("root"), F.lit(False).alias("done")), None
     while True:
-        up = current.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        path = scratch_path(spark, "roots")
-        current.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")).write.parquet(path)
-        used.append(path)
-        after = spark.read.parquet(path)
-        current = after.select("node", "root")
-        if len(used) > 2:
-            delete_path(spark, used.pop(0))
-        if after.where("moved").isEmpty():
-            return current
+        known = active if reached is None else reached.union(active)
+        up = known.select(F.col("node").alias("root"), F.col("root").alias("above"), F.col("done").alias("above_done"))
+        step = active.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.coalesce("above_done", F.lit(True)).alias("done"))
+        after = written(step, "roots")
+        done, active = after.where("done"), after.where("not done")
+        reached = done if reached is None else reached.union(done)
+        if active.isEmpty():
+            return reached.select("node", "root")
 
 
 #: Bits of the filter that tasks hold; its size does not depend on the table's.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -58,12 +58,23 @@ def normal(text: str) -> str:
     return " ".join(_NOT_WORD.sub("", text.lower()).split())
 
 
+def _hash(unit: str) -> int:
+    return (h := xxh64_intdigest(unit)) - (h >> 63 << 64)
+
+
 def unit_hashes(text: str, min_words: int = 3) -> list[int]:
     """Signed 64-bit hashes of the normalised sentences of `min_words` words or more; of the whole text if it has none."""
     units = [u for u in map(normal, _SENTENCE.split(text)) if u.count(" ") >= min_words - 1]
-    if not units and (whole := normal(text)).count(" ") >= min_words - 1:
+    if not units and (whole := normal(text)):
         units = [whole]
-    return list(dict.fromkeys((h := xxh64_intdigest(u)) - (h >> 63 << 64) for u in units))
+    return list(map(_hash, dict.fromkeys(units)))
+
+
+def own_hashes(text: str) -> list[int]:
+    """The units of a message's own text, and those of each paragraph, as a short paragraph is quoted as a passage of its own."""
+    found = unit_hashes(text)
+    parts = re.split(r"\r?\n[ \t]*(?:\r?\n[ \t]*)+", text)
+    return list(dict.fromkeys(found + [h for p in parts for h in unit_hashes(p)])) if len(parts) > 1 else found
 
 
 def _parsed(messages: DataFrame) -> DataFrame:
@@ -73,7 +84,7 @@ def _parsed(messages: DataFrame) -> DataFrame:
     def run(text: pa.Array) -> pa.Array:
         out = []
         for own, found in map(parse, text.to_pylist()):
-            out.append({"own_text": own, "own": unit_hashes(own), "quoted": [{"level": k, "units": u} for k, t in found if (u := unit_hashes(t))]})
+            out.append({"own_text": own, "own": own_hashes(own), "quoted": [{"level": k, "units": u} for k, t in found if (u := unit_hashes(t))]})
         kind = pa.struct([("own_text", pa.string()), ("own", pa.list_(pa.int64())), ("quoted", pa.list_(pa.struct([("level", pa.int32()), ("units", pa.list_(pa.int64()))])))])
         return pa.array(out, kind)
 
@@ -84,25 +95,54 @@ def link_quotes(parsed: DataFrame, min_share: float = 0.8) -> DataFrame:
     """(id, parent, level): the original message of each quoted passage.
 
     Passages and own texts are compared by the hashes of their sentences, so a passage may
-    be any part of a message and may be wrapped anew.  Each sentence leads to its original,
-    the earliest message of the thread whose own text holds it: one row per sentence
-    however many messages share it, so a stock phrase is no hot key.  Of the messages that
-    a passage's sentences lead to, those are kept that were sent before it and hold at
-    least `min_share` of them; the passage links to the one with most of them, of equals
-    to the earliest.
+    be any part of a message and may be wrapped anew.  Of the messages of the thread that
+    were sent before it and hold at least `min_share` of its sentences, the passage links
+    to the one with most of them, of equals to the earliest.
+
+    None is left out: a message that holds enough of k sentences holds one of any
+    k - least + 1, so the holders of that many of the rarest are all candidates.  Messages
+    with the same sentences count as their earliest, and passages with the same sentences
+    are looked up once, so repeated texts and stock phrases don't multiply.
     """
-    have = parsed.select("thread", F.col("id").alias("parent"), F.col("sent").alias("parent_sent"), F.explode("own").alias("h"))
-    blocks = parsed.select("thread", "id", "sent", F.posexplode("quoted").alias("block", "q"))
-    need = blocks.select("thread", "id", "sent", "block", F.explode("q.units").alias("h"))
-    total = blocks.select("id", "block", "q.level", F.size("q.units").alias("total"))
-    first = have.groupBy("thread", "h").agg(F.min(F.struct("parent_sent", "parent")).alias("o")).select("thread", "h", "o.parent", "o.parent_sent")
-    led = need.join(first, ["thread", "h"]).where("parent_sent < sent").select("id", "block", "parent", "parent_sent").distinct()
-    hits = led.join(need.select("id", "block", "h"), ["id", "block"]).join(have.select("parent", "h"), ["parent", "h"]).groupBy("id", "block", "parent", "parent_sent").agg(F.count(F.lit(1)).alias("n"))
-    good = hits.join(total, ["id", "block"]).where(F.col("n") >= min_share * F.col("total"))
-    best = good.groupBy("id", "block").agg(F.min_by(F.struct("parent", "level"), F.struct(-F.col("n"), "parent_sent", "parent")).alias("x"))
+    key = F.md5(F.concat_ws("|", F.concat_ws(",", F.col("units").cast("array<string>")), "thread"))
+    own = parsed.where(F.size("own") > 0).groupBy("thread", F.array_sort("own").alias("own")).agg(F.min(F.struct("sent", "id")).alias("o"))
+    own = written(own.select("thread", "own", F.col("o.sent").alias("parent_sent"), F.col("o.id").alias("parent")), "originals")
+    have = own.select("thread", "parent", F.explode("own").alias("h"))
+    blocks = parsed.select("thread", "id", "sent", F.posexplode("quoted").alias("block", "q")).select("thread", "id", "sent", "block", "q.level", F.array_sort("q.units").alias("units"))
+    blocks = written(blocks.withColumn("key", key), "passages")
+    sets = written(blocks.groupBy("key").agg(F.first("thread").alias("thread"), F.first("units").alias("units")), "sets")
+    need = sets.select("key", "thread", F.explode("units").alias("h"))
+    held = have.groupBy("thread", "h").agg(F.count(F.lit(1)).alias("held"))
+    spare = F.size("by_rarity") - F.ceil(min_share * F.size("by_rarity") - F.lit(1e-6)) + 1
+    by_rarity = F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "h")))
+    rare = need.join(held, ["thread", "h"], "left").groupBy("key", "thread").agg(by_rarity.alias("by_rarity"))
+    rare = rare.select("key", "thread", F.explode(F.slice("by_rarity", F.lit(1), spare.cast("int"))).alias("r")).where("r.held > 0").select("key", "thread", F.col("r.h").alias("h"))
+    led = rare.join(have, ["thread", "h"]).select("key", "parent").distinct()
+    n = F.size(F.array_intersect("units", "own"))
+    hits = led.join(sets.select("key", "units"), "key").join(own.select("parent", "parent_sent", "own"), "parent").select("key", "parent", "parent_sent", n.alias("n"), F.size("units").alias("total"))
+    # Per set of sentences and number of them that are held, the earliest message.
+    steps = hits.where(F.col("n") >= min_share * F.col("total")).groupBy("key", "n").agg(F.min(F.struct("parent_sent", "parent")).alias("o"))
+    best = blocks.select("id", "sent", "block", "level", "key").join(steps, "key").where("o.parent_sent < sent")
+    best = best.groupBy("id", "block").agg(F.min_by(F.struct("o.parent", "level"), F.struct(-F.col("n"), "o.parent_sent", "o.parent")).alias("x"))
     return best.select("id", "x.parent", "x.level").groupBy("id", "parent").agg(F.min("level").alias("level"))
 
 
+def numbered(rows: DataFrame, group: str, order: list[str], name: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The rows with their number within `group`, and with the block and the number of blocks of the group.
+
+    Rows are dealt by ranges of group and order, so a group of any size is spread over many
+    tasks; each range numbers its own rows and adds those of the group in ranges before.
+    `ties` order rows that are equal in `order`.
+    """
+    placed = written(rows.repartitionByRange(group, *order).withColumn("__block", F.spark_partition_id()), name)
+    sizes = placed.groupBy(group, "__block").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    split = sizes.withColumns({"__before": F.sum("n").over(w), "__blocks": F.count(F.lit(1)).over(Window.partitionBy(group))}).where("__blocks > 1").drop("n")
+    out = placed.withColumn("__k", F.row_number().over(Window.partitionBy(group, "__block").orderBy(*order, *ties)).cast("long"))
+    out = out.join(split, [group, "__block"], "left")  # a group for each border between ranges at most
+    return out.withColumn("k", F.col("__k") + F.coalesce("__before", F.lit(0))).drop("__before")
+
+
 def conversations(messages: DataFrame, min_share: float = 0.8, thread_col: str | None = None) -> DataFrame:
     """Reply-ordered conversations without quotes: conversation, position, reply_to, id, text.
 
@@ -125,15 +165,27 @@ def conversations(messages: DataFrame, min_share: float = 0.8, thread_col: str |
     links = link_quotes(rows, min_share)
     parent = written(links.groupBy("id").agg(F.min_by("parent", F.struct("level", -F.col("parent"))).alias("reply_to")), "replies")
     rooted = forest_roots(parent, "id", "reply_to")
-    order = Window.partitionBy("conversation").orderBy("sent", "id")
-    return (
+    found = (
         rows.select("id", "sent", F.col("own_text").alias("text"))
         .join(rooted.select(F.col("node").alias("id"), "root"), "id", "left")
         .join(parent, "id", "left")
         .select(F.coalesce("root", "id").alias("conversation"), "sent", "reply_to", "id", "text")
-        .withColumn("position", F.row_number().over(order))
-        .select("conversation", "position", "reply_to", "id", "text")
     )
+    return numbered(found, "conversation", ["sent", "id"], "found").select("conversation", F.col("k").cast("int").alias("position"), "reply_to", "id", "text")
+
+
+#: Turns of a conversation that are numbered in one run of ids, and the distance of such runs.
+RUN, RUNS_APART = 1000, 1 << 44
+
+
+def message_id(conv: Column, k: Column) -> Column:
+    """conv * 1000 + k below 1,000 turns; each further thousand lies 2**44 higher, so no two turns share an id.
+
+    Conversation ids beyond 8.7e9 in size or more than 5e8 turns fail instead of overlapping.
+    """
+    out = conv * RUN + k % RUN + F.floor(k / RUN).cast("long") * F.lit(RUNS_APART)
+    sound = (F.abs(conv) < RUNS_APART // 2 // RUN) & (k < (1 << 19) * RUN)
+    return F.when(sound, out).otherwise(F.raise_error(F.lit("conversation id or turn count beyond the range of message ids")).cast("long"))
 
 
 def as_messages(turns: DataFrame) -> DataFrame:
@@ -142,9 +194,16 @@ def as_messages(turns: DataFrame) -> DataFrame:
     A message holds its own text, the whole turn before it one level deep and the turn
     before that two levels deep, as mail programs write it; ids grow with time.
     """
-    w = Window.partitionBy("conv_id").orderBy("turn", "text")
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), text_of("text").alias("text")).where("conv_id is not null")
-    rows = rows.withColumn("k", F.row_number().over(w)).withColumn("p1", F.lag("text", 1).over(w)).withColumn("p2", F.lag("text", 2).over(w))
+    rows = numbered(rows, "conv_id", ["turn"], "turns", ties=("text",))
+    w = Window.partitionBy("conv_id", "__block").orderBy("turn", "text")
+    w_back = Window.partitionBy("conv_id", "__block").orderBy(F.desc("k"))
+    # Where a conversation goes on in the next range, its last two turns are handed over.
+    edges = written(rows.where("__blocks > 1").withColumn("__back", F.row_number().over(w_back)).where("__back <= 2").select("conv_id", "k", "text"), "edges")
+    rows = rows.withColumn("p1", F.lag("text", 1).over(w)).withColumn("p2", F.lag("text", 2).over(w))
+    for name, back in (("p1", 1), ("p2", 2)):
+        before = edges.select("conv_id", (F.col("k") + back).alias("k"), F.col("text").alias(f"edge{back}"))
+        rows = rows.join(before, ["conv_id", "k"], "left").withColumn(name, F.coalesce(name, f"edge{back}"))
     mark = lambda c, m: F.regexp_replace(c, r"(?m)^", m)
     quote = F.when(F.col("p1").isNotNull(), F.concat(F.lit("\nSomeone wrote:\n"), F.coalesce(F.concat(mark(F.col("p2"), ">> "), F.lit("\n")), F.lit("")), mark(F.col("p1"), "> ")))
-    return rows.select((F.col("conv_id") * 1000 + F.col("k")).alias("id"), F.col("k").alias("sent"), "conv_id", F.concat("text", F.coalesce(quote, F.lit(""))).alias("text"))
+    return rows.select(message_id(F.col("conv_id"), F.col("k")).alias("id"), F.col("k").alias("sent"), "conv_id", F.concat("text", F.coalesce(quote, F.lit(""))).alias("text"))
