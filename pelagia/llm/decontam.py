@@ -22,8 +22,10 @@ CACHE_WORDS = 150_000
 
 _IN = rb"A-Za-z0-9\x80-\xff"
 _UNIT = b"|".join(sorted((u.encode() for u in UNITS), key=len, reverse=True))
-#: A capitalised word within a sentence: after a word or a comma and one blank.
-_NAME = re.compile(rb"(?<=[a-z0-9,;\x80-\xff] )[A-Z][a-z]+(?![" + _IN + rb"])")
+#: Capitals of ASCII, Latin-1, Latin Extended-A, Greek and Cyrillic, as UTF-8.
+_CAPITAL = "|".join(re.escape(chr(c)) for c in [*range(65, 91), *range(0xC0, 0x180), *range(0x386, 0x3AC), *range(0x400, 0x430)] if chr(c).isupper()).encode()
+#: A capitalised word within a sentence: after a word or a comma and white space, which is one blank by then.
+_NAME = re.compile(rb"(?<=[a-z0-9,;\x80-\xff] )(?:" + _CAPITAL + rb")(?:[a-z]|[\xc3-\xf4][\x80-\xbf]+)+(?![" + _IN + rb"])")
 _NUMBER = re.compile(rb"(?<![" + _IN + rb"])[0-9][0-9.,:/]*(?:st|nd|rd|th)?(?![" + _IN + rb"])")
 _MEASURE = re.compile(rb"(?<![" + _IN + rb"])[0-9][0-9.,]*(?:" + _UNIT + rb")(?![" + _IN + rb"])", re.I)
 _UNIT_AFTER = re.compile(rb"(?<=\x02 )(?:" + _UNIT + rb")(?![" + _IN + rb"])", re.I)
@@ -32,6 +34,9 @@ SLOTS = ((b"\x01", _NAME), (b"\x04", _MEASURE), (b"\x02", _NUMBER), (b"\x03", _U
 PLACEHOLDERS = frozenset(p for p, _ in SLOTS)
 _DROPPED = bytes(c for c in range(5, 128) if not chr(c).isalnum() and c not in b" \t\n\x0b\x0c\r")
 _DIGIT = re.compile(rb"[0-9]")
+_IN_WORD = re.compile(rb"[\x01-\x04]")
+#: Added to the length of a window that is compared by its words as they are.
+EXACT = 1 << 32
 
 
 _STEP = 0xD6E8FEB86659FD93
@@ -55,9 +60,9 @@ class Powers:
 def template(text: str) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
     """(template words, the text at each stage of the replacement with the placeholder that comes next).
 
-    White space parts words; case of A-Z and punctuation are dropped.
+    White space parts words, however much of it; case of A-Z and punctuation are dropped.
     """
-    raw, stages = text.encode(), []
+    raw, stages = b" ".join(_IN_WORD.sub(b"", text.encode()).split()), []
     digits = _DIGIT.search(raw) is not None
     for mark, pattern in SLOTS:
         if digits or pattern is _NAME:
@@ -72,6 +77,17 @@ def slot_values(stages: list[tuple[bytes, bytes]]) -> dict[bytes, list[str]]:
     return {mark: [m.rstrip(b".,:/").lower().decode("utf-8", "replace") for m in patterns[mark].findall(raw)] for mark, raw in stages}
 
 
+def places(words: list[bytes], stages: list[tuple[bytes, bytes]]) -> tuple[dict[int, list[str]], dict[int, bytes]]:
+    """By the position of each word that has slots, alone or glued to text: their values, and the word with these put back."""
+    values, held, plain = {k: iter(v) for k, v in slot_values(stages).items()}, {}, {}
+    for k, w in enumerate(words):
+        if marks := _IN_WORD.findall(w):
+            held[k] = [next(values[m], "") for m in marks]
+            back = iter(held[k])
+            plain[k] = _IN_WORD.sub(lambda _: next(back).encode(), w)  # noqa: B023
+    return held, plain
+
+
 class Hasher:
     """64-bit hashes of words, remembered."""
 
@@ -92,27 +108,38 @@ class Hasher:
         return np.array(got, np.uint64)
 
 
-def windows(h: np.ndarray, slot: np.ndarray, lengths: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, hash) of the template windows; those of placeholders for more than half are left out."""
+def windows(h: np.ndarray, slot: np.ndarray, lengths: Iterable[int], heavy: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, hash) of the windows that are placeholders for at most half, or with `heavy` of those for more."""
     starts, sizes, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     up, down = Powers.to(len(h))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up)))
     slots = np.concatenate(([0], np.cumsum(slot))) if slot.any() else None
     for n in sorted(set(lengths)):
         if len(h) >= n > 0:
-            x = mix64((total[n:] - total[:-n]) * down[: len(h) - n + 1] + np.uint64(n))
-            at = np.arange(len(x)) if slots is None else np.flatnonzero(2 * (slots[n:] - slots[:-n]) <= n)
+            x = mix64((total[n:] - total[:-n]) * down[: len(h) - n + 1] + np.uint64(n + EXACT * heavy))
+            many = np.zeros(len(x), bool) if slots is None else 2 * (slots[n:] - slots[:-n]) > n
+            at = np.flatnonzero(many == heavy)
             starts.append(at)
             sizes.append(np.full(len(at), n))
-            hashes.append(x if slots is None else x[at])
+            hashes.append(x[at])
     return np.concatenate(starts), np.concatenate(sizes), np.concatenate(hashes)
 
 
+def _any_heavy(slot: np.ndarray, lengths: Iterable[int]) -> bool:
+    slots = np.concatenate(([0], np.cumsum(slot)))
+    return any((2 * (slots[n:] - slots[:-n]) > n).any() for n in lengths if len(slot) >= n > 0)
+
+
 _WINDOW = "id long, pos long, size long, h long, slots array<string>, total long"
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str, window: int, lengths: Iterable[int] | None, allowed) -> DataFrame:
-    """Windows of each text.  lengths None: a text shorter than `window` is one window of its own length."""
+    """Windows of each text.  lengths None: a text shorter than `window` is one window of its own length.
+
+    Windows of placeholders for more than half say little as templates; they are hashed
+    with their values put back.  Of items (lengths None) only those have them that have
+    no other windows.
+    """
 
     def run(batches):
         hasher = Hasher()
@@ -123,19 +150,23 @@ def _rows(df: DataFrame, id_col: str, text_col: str, window: int, lengths: Itera
                 if not words:
                     continue
                 is_slot = [False] * len(words) if PLACEHOLDERS.isdisjoint(words) else [w in PLACEHOLDERS for w in words]
-                starts, sizes, hashes = windows(hasher(words), np.array(is_slot), lengths if lengths is not None else [min(window, len(words))])
+                slot, wanted = np.array(is_slot), lengths if lengths is not None else [min(window, len(words))]
+                starts, sizes, hashes = windows(hasher(words), slot, wanted)
+                held = None
+                if slot.any() and (lengths is not None or not len(starts)) and _any_heavy(slot, wanted):
+                    held, plain = places(words, stages)
+                    exact = windows(hasher([plain.get(k, w) for k, w in enumerate(words)]), slot, wanted, heavy=True)
+                    starts, hashes = np.concatenate((starts, exact[0])), np.concatenate((hashes, exact[2]))
+                    sizes = np.concatenate((sizes, exact[1] + EXACT))
                 total = len(starts)
                 if allowed is not None and total:
                     keep = allowed.value.holds(hashes)
                     if not keep.any():
                         continue
                     starts, sizes, hashes = starts[keep], sizes[keep], hashes[keep]
-                values, place = {k: iter(v) for k, v in slot_values(stages).items()}, {}
-                for k, w in enumerate(words):
-                    if is_slot[k]:
-                        place[k] = next(values[w], "")
+                place = places(words, stages)[0] if held is None else held
                 for s, n, x in zip(starts.tolist(), sizes.tolist(), hashes.view(np.int64).tolist()):
-                    slots = [place[k] for k in range(s, s + n) if k in place]
+                    slots = [v for k in range(s, s + n) for v in place.get(k, ())] if n < EXACT else []
                     for column, v in zip(out, (i, s, n, x, slots, total)):
                         column.append(v)
             yield pa.RecordBatch.from_arrays(
@@ -156,8 +187,11 @@ def contaminated(
     Numbers, names and units become typed placeholders; windows of `window` template words
     are joined by hash.  Windows of an item that lie at the same distance in a document
     belong together; they count if the slots are consistent, that is, if each slot value
-    of the item stands for one value in the document.  The item is found if `min_share` of
-    its windows match so; `same_slots` tells whether no value was changed.
+    of the item stands for one value in the document.  Where a value stands for itself in
+    some windows and for others elsewhere, just the windows of the others don't count;
+    where it stands for several others, none does.  An item all of whose windows are
+    placeholders for more than half is compared word by word.  The item is found if `min_share` of its windows match so;
+    `same_slots` tells whether no value was changed in these.
 
     Tasks drop windows that no item has by a filter of fixed size, so few reach the join,
     which is exact; whether the join is broadcast Spark decides by the items' size.
@@ -168,20 +202,22 @@ def contaminated(
     table on either side gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    items = written(_rows(benchmark, item_col, item_text_col, window, None, None).where(F.col("size") >= min_words), "items")
+    items = written(_rows(benchmark, item_col, item_text_col, window, None, None).where(F.col("size") % EXACT >= min_words), "items")
     allowed = spark.sparkContext.broadcast(filter_of(items, "h"))
-    short = [r["size"] for r in items.select("size").distinct().collect()]  # at most `window` different sizes
+    short = [r["size"] for r in items.select((F.col("size") % EXACT).alias("size")).distinct().collect()]  # at most `window` different sizes
     found = _rows(docs, id_col, text_col, window, short or [window], allowed)
     met = found.select(F.col("id").alias("doc_id"), "pos", "size", "h", F.col("slots").alias("theirs")).join(
         items.select(F.col("id").alias("item_id"), F.col("pos").alias("at"), "size", "h", F.col("slots").alias("own"), "total"), ["h", "size"]
     )
     met = written(met.where(F.size("own") == F.size("theirs")).withColumn("offset", F.col("pos") - F.col("at")), "met")  # texts are read once
     pair = ["doc_id", "item_id", "offset"]
-    slots = met.select(*pair, F.explode_outer(F.arrays_zip("own", "theirs")).alias("s")).select(*pair, "s.own", "s.theirs")
-    clash = slots.where("own is not null").groupBy(*pair, "own").agg((F.min("theirs") != F.max("theirs")).alias("clash"), F.min(F.col("own") == F.col("theirs")).alias("same"))
-    clash = clash.groupBy(*pair).agg(F.max("clash").alias("clash"), F.min("same").alias("same"))
-    runs = met.groupBy(*pair).agg(F.countDistinct("at").alias("n"), F.first("total").alias("total"))
-    good = runs.join(clash, pair, "left").where(~F.coalesce("clash", F.lit(False)))
+    slots = met.select(*pair, "at", F.explode(F.arrays_zip("own", "theirs")).alias("s")).select(*pair, "at", "s.own", "s.theirs")
+    ways = slots.groupBy(*pair, "own").agg((F.min("theirs") != F.max("theirs")).alias("several"), F.max(F.col("own") == F.col("theirs")).alias("itself"))
+    ways = ways.where("several").select(*pair, "own", "itself")
+    off = slots.join(ways, [*pair, "own"]).where("not itself or theirs <> own").select(*pair, F.when(F.col("itself"), F.col("at")).alias("at")).distinct()
+    whole = off.where("at is null").select(*pair)
+    sound = met.withColumn("same", F.forall(F.arrays_zip("own", "theirs"), lambda x: x["own"] == x["theirs"])).join(off, [*pair, "at"], "left_anti").join(whole, pair, "left_anti")
+    good = sound.groupBy(*pair).agg(F.countDistinct("at").alias("n"), F.first("total").alias("total"), F.min("same").alias("same"))
     return (
         good.select("doc_id", "item_id", (F.col("n") / F.col("total")).alias("share"), F.coalesce("same", F.lit(True)).alias("same_slots"))
         .where(F.col("share") >= min_share)
