@@ -28,6 +28,9 @@ FURNITURE = frozenset(
     disclaimer""".split()
 )
 COMMENTS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+#: Words of class and id that name a wrapper, and tags that hold a piece of prose.
+WRAPPER = frozenset("layout wrapper wrap container content page main body".split())
+PROSE = frozenset("p li h1 h2 h3 h4 h5 h6 tr dd pre blockquote".split())
 _WORD = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Closed by the next start tag of the same kind.
@@ -39,10 +42,15 @@ SIGMA = 1.0
 class PageLines(HTMLParser):
     """Turns parser events into lines of text, one per block, with tag counts and the regions around them."""
 
-    def __init__(self, by_name: bool = True):
+    def __init__(self, by_name: bool = True, kept: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.by_name = by_name
-        self.stack: list[tuple[str, bool, int, bool]] = []  # tag, dropped, region, in comments
+        self.by_name, self.kept = by_name, kept
+        self.stack: list[tuple[str, bool, int, bool, bool, int, bool]] = []  # tag, and what was before it: dropped, region, in comments, dropped but for names, named element, in a link
+        self.seen = 0  # start tags
+        self.hard, self.named, self.link = False, -1, False
+        #: Per outermost element dropped by its name: characters outside links, pieces of prose, whether it has a wrapper's name.
+        self.held: dict[int, list] = {}
+        self.total = 0
         self.regions: list[tuple[int, bool]] = [(-1, False)]  # parent, is a landmark
         self.lines: list[tuple[str, int, int]] = []  # text, tags, region
         self.parts: list[str] = []
@@ -59,6 +67,7 @@ class PageLines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        self.seen += 1
         if tag in VOID:
             if tag not in INLINE:
                 self.flush()
@@ -79,14 +88,23 @@ class PageLines(HTMLParser):
                 hidden = True
         comments = self.comments or bool(words & COMMENTS)
         landmark = (tag in LANDMARK or role in ("main", "article")) and not comments
-        furniture = self.by_name and bool(words & FURNITURE) and not words & {"no", "has", "with", "without"} and tag not in ("html", "body") and not landmark
-        dropped = tag in DROPPED or role in ROLES or hidden or furniture or comments or (self.dropped and not (landmark and tag in LANDMARK))
+        furniture = self.by_name and bool(words & FURNITURE) and not words & {"no", "has", "with", "without"} and tag not in ("html", "body") and not landmark and self.seen not in self.kept
+        escapes = landmark and tag in LANDMARK
+        for_sure = tag in DROPPED or role in ROLES or hidden or comments
+        dropped = for_sure or furniture or (self.dropped and not escapes)
+        hard = for_sure or (self.hard and not escapes)
+        named = -1 if escapes else self.named
+        if furniture and named < 0 and not hard:
+            named = self.seen
+            self.held[named] = [0, 0, bool(words & WRAPPER)]
+        if named >= 0 and not hard and tag in PROSE:
+            self.held[named][1] += 1
         region = self.region
         if landmark or (tag in ("div", "section", "body", "td", "center") and not dropped):
             self.regions.append((self.region, landmark))
             region = len(self.regions) - 1
-        self.stack.append((tag, self.dropped, self.region, self.comments))
-        self.dropped, self.region, self.comments = dropped, region, comments
+        self.stack.append((tag, self.dropped, self.region, self.comments, self.hard, self.named, self.link))
+        self.dropped, self.region, self.comments, self.hard, self.named, self.link = dropped, region, comments, hard, named, self.link or tag == "a"
 
     def _close_open(self, closes) -> None:
         """Ends the nearest open element of `closes`, unless a list, table or block lies between."""
@@ -100,7 +118,7 @@ class PageLines(HTMLParser):
                 return
 
     def _pop_to(self, i: int) -> None:
-        _, self.dropped, self.region, self.comments = self.stack[i]
+        _, self.dropped, self.region, self.comments, self.hard, self.named, self.link = self.stack[i]
         del self.stack[i:]
 
     def handle_endtag(self, tag):
@@ -114,12 +132,21 @@ class PageLines(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
+        self.seen += 1
         if tag not in INLINE:
             self.flush()
 
     def handle_data(self, data):
         if not self.dropped:
             self.parts.append(data)
+        if not self.hard and not self.link and (n := len(data.strip())):
+            self.total += n
+            if self.named >= 0:
+                self.held[self.named][0] += n
+
+    def wrappers(self) -> frozenset[int]:
+        """Elements named like furniture that hold more than half of the page's text outside links, as more than one piece of prose or by a wrapper's name."""
+        return frozenset(k for k, (n, pieces, wraps) in self.held.items() if 2 * n > self.total and (pieces > 1 or wraps))
 
 
 def ratios(lines: list[tuple[str, int, int]]) -> np.ndarray:
@@ -147,17 +174,18 @@ def cluster(values: np.ndarray) -> np.ndarray:
 
 def main_text(html: str) -> str:
     """The article of a page as one string."""
-    for by_name in (True, False):  # a page whose wrapper is named like furniture is read again without names
-        parser = PageLines(by_name)
-        parser.feed(html)
-        parser.close()
-        parser.flush()
-        lines = parser.lines
-        if lines:
-            break
-    else:
+    parser = _read(html, True)
+    while wrappers := parser.wrappers():  # a wrapper that is named like furniture is kept, what it holds is looked at anew
+        parser = _read(html, True, parser.kept | wrappers)
+    if not parser.lines:
+        parser = _read(html, False)
+    lines = parser.lines
+    if not lines:
         return ""
-    chosen = cluster(ratios(lines))
+    values = ratios(lines)
+    upper = cluster(values)
+    # Two clusters are found in prose alone too: lines with half the upper one's mean ratio belong to it.
+    chosen = upper | (values >= 0.5 * values[upper].mean())
     regions = parser.regions
     # Characters of chosen lines inside each region, its inner regions included.
     mass = [0] * len(regions)
@@ -165,17 +193,25 @@ def main_text(html: str) -> str:
         while yes and region >= 0:
             mass[region] += len(text)
             region = regions[region][0]
-    inside = _landmarks(regions, mass)
+    inside, outer = _landmarks(regions, mass)
     if not inside:
-        inside = {_densest(regions, mass, lines)}
-    return " ".join(t for t, _, r in lines if _within(regions, r, inside))
+        inside = {_densest(regions, mass)}
+    return " ".join(t for (t, _, r), yes in zip(lines, chosen.tolist()) if _within(regions, r, inside) or (yes and outer and _within(regions, r, outer)))
+
 
+def _read(html: str, by_name: bool, kept: frozenset[int] = frozenset()) -> PageLines:
+    parser = PageLines(by_name, kept)
+    parser.feed(html)
+    parser.close()
+    parser.flush()
+    return parser
 
-def _landmarks(regions, mass) -> set[int]:
-    """The innermost landmarks with content of their own that no other such landmark holds."""
+
+def _landmarks(regions, mass) -> tuple[set[int], set[int]]:
+    """The innermost landmarks with most of their content, of which all lines count, and those around them, of which the chosen lines count."""
     marked = [i for i, (_, landmark) in enumerate(regions) if landmark and mass[i]]
     if not marked:
-        return {i for i, (_, landmark) in enumerate(regions) if landmark}
+        return {i for i, (_, landmark) in enumerate(regions) if landmark}, set()
     holders = set()
     for i in marked:
         up = regions[i][0]
@@ -183,17 +219,18 @@ def _landmarks(regions, mass) -> set[int]:
             if up in marked and mass[i] >= 0.5 * mass[up]:
                 holders.add(up)
             up = regions[up][0]
-    return set(marked) - holders
+    return set(marked) - holders, holders
 
 
-def _densest(regions, mass, lines) -> int:
-    """The smallest region that still holds most of the chosen text."""
-    total, best = mass[0], 0
-    while True:
-        inner = [i for i, (parent, _) in enumerate(regions) if parent == best and mass[i] >= 0.7 * total]
-        if not inner or not total:
-            return best
+def _densest(regions, mass) -> int:
+    """The smallest region that holds all of the chosen text."""
+    best = 0
+    while mass[0]:
+        inner = [i for i, (parent, _) in enumerate(regions) if parent == best and mass[i] == mass[0]]
+        if not inner:
+            break
         best = inner[0]
+    return best
 
 
 def _within(regions, region: int, wanted: set[int]) -> bool:
@@ -211,7 +248,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     role, class or id) never count; the others are weighed by their smoothed text-to-tag
     ratio, a threshold parts them in two clusters, and the region that holds the upper one
     is the article: its landmarks (article, main) where there are any, else the smallest
-    block with most of it.  All lines of that region are kept, short ones too.
+    block with all of it.  All lines of that region are kept, short ones too; of a landmark
+    around others those of the upper cluster.
 
     Edge cases: a null or empty page, and one with no text, give an empty text; broken
     markup and unclosed tags are read as far as they go; pages of any length are read
