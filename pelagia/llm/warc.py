@@ -92,7 +92,6 @@ def sha1_base32(data: bytes) -> str:
 
 _VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r\n")
 _VERSION_HERE = re.compile(rb"WARC/1\.[01]\r\n")
-_HEAD_LIMIT = 1 << 16
 
 
 def _record(buf: bytes, at: int, final: bool) -> tuple[int, dict | str] | None:
@@ -102,9 +101,11 @@ def _record(buf: bytes, at: int, final: bool) -> tuple[int, dict | str] | None:
         if not final and len(buf) - at < 10:
             return None
         return at, "no version line"
-    cut = buf.find(b"\r\n\r\n", at, at + _HEAD_LIMIT)
-    if cut < 0:
-        return None if not final and len(buf) - at < _HEAD_LIMIT else (at + 1, "header does not end")
+    # A header of any length ends at its empty line, or is broken where another version line comes first.
+    cut = buf.find(b"\r\n\r\n", m.end())
+    later = _VERSION.search(buf, m.end(), cut if cut >= 0 else len(buf))
+    if cut < 0 or later:
+        return None if not final and not later else (at + 1, "header does not end")
     head = {}
     for row in buf[m.end() : cut].split(b"\r\n"):
         name, colon, value = row.partition(b":")
@@ -213,16 +214,23 @@ def salvage(data: bytes) -> Iterator[tuple]:
                 yield kind, at, at, reason, fields
             gap = at if gap is None else gap
         elif _VERSION_HERE.match(data, at):
-            nxt = data.find(b"\x1f\x8b\x08", at)
-            while nxt >= 0 and zlib_fails(data, nxt):
-                nxt = data.find(b"\x1f\x8b\x08", nxt + 1)
-            stop = nxt if nxt >= 0 else len(data)
             if gap is not None:
                 yield "gap", gap, at, "not a member or a version line", {}
                 gap = None
-            found, _ = _plain(data[at:stop], at, True)
-            yield from found
-            at = stop
+            # A sound frame is followed by its Content-Length, whatever bytes its block has.
+            end, fields = _record(data, at, True)
+            if isinstance(fields, dict):
+                yield "record", at, end, "", fields
+            else:  # else the next version line or gzip member that inflates is searched for
+                if end <= at + 1:
+                    version = _VERSION.search(data, at + 1)
+                    end = version.start() if version else len(data)
+                    nxt = data.find(b"\x1f\x8b\x08", at, end)
+                    while nxt >= 0 and zlib_fails(data, nxt):
+                        nxt = data.find(b"\x1f\x8b\x08", nxt + 1, end)
+                    end = nxt if nxt >= 0 else end
+                yield "gap", at, end, fields, {}
+            at = end
             continue
         else:
             gap = at if gap is None else gap
