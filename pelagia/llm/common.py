@@ -35,11 +35,16 @@ def slices(batches, rows: int = 512):
             yield batch.slice(at, rows)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again: cuts lineage and survives lost executors."""
+def written(df: DataFrame, name: str, used: list[str] | None = None) -> DataFrame:
+    """The rows written to the shared folder and read again: cuts lineage and survives lost executors.
+
+    The folder's path is added to `used`, for the caller to delete when nothing reads it any more.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if used is not None:
+        used.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -104,8 +109,10 @@ def forest_roots(parents: DataFrame, node: str, parent: str) -> DataFrame:
             return reached.select("node", "root")
 
 
-#: Bits of the filter that tasks hold; its size does not depend on the table's.
-FILTER_BITS = 1 << 23
+#: Bits of the filter that tasks hold, at least and at most: 32 per hash or more between these bounds.
+FILTER_BITS, MOST_FILTER_BITS = 1 << 16, 1 << 26
+#: Words whose hashes a worker keeps; beyond that many it starts anew.
+CACHE_WORDS = 150_000
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -115,34 +122,54 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Hasher:
+    """64-bit hashes of words, remembered."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        from xxhash import xxh64_intdigest
+
+        known = self.known
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        got = list(map(known.get, words))
+        if None in got:
+            for w in [w for w, g in zip(words, got) if g is None]:
+                known[w] = xxh64_intdigest(w)
+            got = list(map(known.__getitem__, words))
+        return np.array(got, np.uint64)
+
+
 class Filter:
-    """A Bloom filter with two bits per hash and a fixed size."""
+    """A Bloom filter with two bits per hash; its size is a power of two."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
-
-    @staticmethod
-    def bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)
+        self.mask = np.uint64(64 * len(words) - 1)
 
     def holds(self, h: np.ndarray) -> np.ndarray:
-        a, b = self.bits(h)
-        one = np.uint64(1)
+        a, b, one = h & self.mask, (h >> np.uint64(32)) & self.mask, np.uint64(1)
         hit = (self.words[(a >> np.uint64(6)).astype(np.int64)] >> (a & np.uint64(63))) & one
         return (hit & (self.words[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)))) == one
 
 
 def filter_of(df: DataFrame, column: str) -> Filter:
-    """The filter of all 64-bit hashes in a column; bits are combined by Spark, at most FILTER_BITS / 64 numbers reach the driver."""
+    """The filter of all 64-bit hashes in a column, sized by their number up to MOST_FILTER_BITS.
+
+    Bits are combined by Spark; at most MOST_FILTER_BITS / 64 numbers reach the driver.  A
+    filter of that size that is overfull lets more pass, and never drops a hash it was given.
+    """
+    bits = min(MOST_FILTER_BITS, max(FILTER_BITS, 1 << (32 * df.count()).bit_length()))
     h = F.col(column)
-    bit = F.explode(F.array(h.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(FILTER_BITS - 1))))
+    bit = F.explode(F.array(h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))))
     rows = (
         df.select(bit.alias("bit"))
         .groupBy(F.shiftright("bit", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-        .collect()
+        .toPandas()
     )
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in rows:
-        words[r["word"]] = r["bits"]
+    words = np.zeros(bits // 64, np.int64)
+    words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return Filter(words.view(np.uint64))

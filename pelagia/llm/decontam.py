@@ -10,16 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import filter_of, mix64, slices, text_of, trim, written
+from pelagia.llm.common import Hasher, filter_of, mix64, slices, text_of, trim, written
 
 UNITS = frozenset(
     """kg g mg t lb lbs oz km m cm mm mi ft in yd l ml s sec secs ms min mins h hr hrs hours hour minutes minute seconds second days day weeks week months month years year
     meters metres meter metre miles mile feet foot inches inch liters litres grams kilograms kilometers kilometres dollars dollar cents euros euro pounds percent degrees
     mph kmh kph hz khz mhz ghz kb mb gb tb w kw kwh v""".split()
 )
-#: Words whose hashes a worker keeps; beyond that many it starts anew.
-CACHE_WORDS = 150_000
-
 _IN = rb"A-Za-z0-9\x80-\xff"
 _UNIT = b"|".join(sorted((u.encode() for u in UNITS), key=len, reverse=True))
 #: Capitals of ASCII, Latin-1, Latin Extended-A, Greek and Cyrillic, as UTF-8.
@@ -88,26 +85,6 @@ def places(words: list[bytes], stages: list[tuple[bytes, bytes]]) -> tuple[dict[
     return held, plain
 
 
-class Hasher:
-    """64-bit hashes of words, remembered."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        from xxhash import xxh64_intdigest
-
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        got = list(map(known.get, words))
-        if None in got:
-            for w in [w for w, g in zip(words, got) if g is None]:
-                known[w] = xxh64_intdigest(w)
-            got = list(map(known.__getitem__, words))
-        return np.array(got, np.uint64)
-
-
 def windows(h: np.ndarray, slot: np.ndarray, lengths: Iterable[int], heavy: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, length, hash) of the windows that are placeholders for at most half, or with `heavy` of those for more."""
     starts, sizes, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
