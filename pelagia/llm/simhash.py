@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import components, text_of, written
+from pelagia.llm.common import components, slices, text_of, written
 
 #: Bytes of a 64-bit fingerprint.
 BYTES = 8
+#: Fingerprints of a posting that meet all others in one task; larger postings are dealt to several.
+BLOCK = 512
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -44,19 +46,57 @@ def simhash(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) of every row."""
+    """(doc_id, fp long) of every row.
+
+    Edge cases: a text without words (null, empty, white space) has fingerprint zero; one
+    with fewer words than a shingle is one shingle; a missing id stays missing and
+    repeated rows get equal results; an empty table gives no rows; other columns are not read.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             fps = [simhash(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def _byte(fp: str, i: int):
-    return F.shiftrightunsigned(F.col(fp), 8 * i).bitwiseAND(F.lit(255))
+def posting_positions(max_bits: int) -> list[list[int]]:
+    """The byte positions of each posting: the eight positions dealt into max_bits + 2 groups, a posting for any two groups.
+
+    Positions that differ spoil at most `max_bits` groups, so two groups stay whole and a
+    linked pair meets in their posting.
+    """
+    groups = [list(range(BYTES))[k :: max_bits + 2] for k in range(max_bits + 2)]
+    return [sorted(a + b) for a, b in combinations(groups, 2)]
+
+
+def _only(positions: list[int]) -> int:
+    """The mask of some byte positions, as a signed number."""
+    bits = sum(255 << (8 * i) for i in positions)
+    return bits - 2**64 if bits >= 2**63 else bits
+
+
+def met(fps: DataFrame, max_bits: int = 2) -> DataFrame:
+    """(a, b, tally) of the pairs of distinct fingerprints that meet in a posting, a < b, each once, with the number of byte positions they share."""
+    postings = posting_positions(max_bits)
+    keys = ["posting", "bytes"]
+    one = fps.select("fp").distinct()
+    index = one.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_only(p))) for p in postings])).alias(*keys))
+    sizes = index.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    index = index.join(sizes, keys).select("fp", *keys, blocks.alias("blocks"))
+    left = index.select(F.col("fp").alias("a"), *keys, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block"))
+    right = index.select(F.col("fp").alias("b"), *keys, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    same = [differ.bitwiseAND(F.lit(_only([i]))) == 0 for i in range(BYTES)]
+    tally = sum((s.cast("int") for s in same[1:]), same[0].cast("int"))
+    first = F.lit(-1)
+    for k in reversed(range(len(postings))):
+        first = F.when(differ.bitwiseAND(F.lit(_only(postings[k]))) == 0, F.lit(k)).otherwise(first)
+    pairs = left.join(right, [*keys, "block"]).where("a < b")
+    return pairs.where(F.col("posting") == first).select("a", "b", tally.alias("tally"))
 
 
 def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -64,39 +104,17 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
 
     Bits that differ spoil at most `max_bits` of the eight byte positions, so a linked pair
     shares at least 8 - max_bits positional bytes: the guaranteed minimum.  A posting of the
-    index is that many positions with their bytes; a pair meets in the posting of the bytes
-    it shares.  The shared bytes of each pair that meets are tallied, pairs below the
-    minimum go, and the rest are verified bit by bit.  A pair that meets in several
-    postings is taken from the first.  Postings hold distinct fingerprints only, which
-    within one differ in no more than `max_bits` bytes, so copies don't make them grow.
+    inverted index holds the fingerprints with the same bytes at some four positions (for
+    two bits), which every linked pair does somewhere.  The shared bytes of each pair that
+    meets are tallied, pairs below the minimum go, and the rest are verified bit by bit.  A
+    pair that meets in several postings is taken from the first.  Postings hold distinct
+    fingerprints only, so copies don't make them grow; those with one member are dropped
+    before the join, and large ones are dealt to several tasks.
     """
-    need = BYTES - max_bits
-    if not 0 <= max_bits < BYTES - 1:
+    if not 0 <= max_bits <= BYTES - 2:
         raise ValueError("max_bits must leave two shared byte positions or more")
-    free = list(combinations(range(BYTES), max_bits))
-    mask = lambda out: ~sum(255 << (8 * i) for i in out) & (2**64 - 1)
-    signed = lambda x: x - 2**64 if x >= 2**63 else x
-    one = fps.select("fp").distinct()
-    index = one.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(mask(out)))) for out in free])).alias("posting", "bytes"))
-    left = index.select(F.col("fp").alias("a"), "posting", "bytes")
-    right = index.select(F.col("fp").alias("b"), "posting", "bytes")
-    met = left.join(right, ["posting", "bytes"]).where("a < b")
-    same = [(_byte("a", i) == _byte("b", i)) for i in range(BYTES)]
-    tally = sum((s.cast("int") for s in same[1:]), same[0].cast("int"))
-    first = F.array_position(F.array(*[_all([same[i] for i in range(BYTES) if i not in out]) for out in free]), True) - 1
-    return (
-        met.where(tally >= need)
-        .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-        .where(F.col("posting") == first)
-        .select("a", "b")
-    )
-
-
-def _all(conditions):
-    out = F.lit(True)
-    for c in conditions:
-        out = out & c
-    return out
+    pairs = met(fps, max_bits).where(F.col("tally") >= BYTES - max_bits)
+    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
