@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
+from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,19 +16,74 @@ from pyspark.sql import functions as F
 from pelagia.llm.common import slices, text_of, trim
 
 SPACE = "▁"
-#: Words that a worker keeps encoded, in each of two halves; when the newer is full it becomes the older.
-CACHE_WORDS = 120_000
-#: Up to so many symbols a scan for the best pair is cheaper than a heap.
-SHORT = 40
+#: Characters of the words that a worker keeps encoded, in each of two halves (some 25 MB); when the newer is full it becomes the older.
+CACHE_CHARS = 2_000_000
+#: Characters of the texts that are encoded at once.
+SLICE_CHARS = 1_000_000
+#: Pairs of symbols whose merge a worker remembers; beyond that many it starts anew.
+CACHE_PAIRS = 400_000
+_RUNS = re.compile(r" +[^ ]*")
+
+
+class _Merges(dict):
+    """Symbol on the right -> the symbol that the two merge into, or NONE; looked up when first asked for."""
+
+    def __init__(self, symbols: Symbols, left: str):
+        super().__init__()
+        self.symbols, self.left = symbols, left
+
+    def __missing__(self, right: int) -> int:
+        piece = self.left + self.symbols.strings[right]
+        found = self[right] = self.symbols.number(piece) if piece in self.symbols.rank else NONE
+        self.symbols.pairs += 1
+        return found
+
+
+class Symbols:
+    """Symbols by number: their strings, their place in the agenda, their ids and what they merge into."""
+
+    def __init__(self, rank: dict[str, int], ids: Callable[[str], list[int]], kind: type):
+        self.rank, self.ids, self.kind = rank, ids, kind
+        self.numbers: dict[str, int] = {}
+        self.strings: list[str] = []
+        self.place: list[int] = []
+        self.encoded: list[bytes] = []
+        self.merges: list[dict[int, int]] = []
+        self.pairs = 0
+        for _ in range(NONE + 1):  # nothing is left of, or right of, NONE that it would merge with
+            self.strings.append("\0\0")
+            self.place.append(-1)
+            self.encoded.append(b"")
+            self.merges.append(_Never())
+
+    def number(self, string: str) -> int:
+        found = self.numbers.get(string)
+        if found is None:
+            found = self.numbers[string] = len(self.strings)
+            self.strings.append(string)
+            self.place.append(self.rank.get(string, -1) << 32)
+            self.encoded.append(np.array(self.ids(string), self.kind).tobytes())
+            self.merges.append(_Merges(self, string))
+        return found
+
+
+class _Never(dict):
+    def __missing__(self, right: int) -> int:
+        return NONE
+
+
+#: The symbol that stands for a place whose symbol has merged into the one before, and behind the last.
+NONE = 0
 
 
 class MergeEncoder:
     """Encodes text with the vocabulary of a merge-type SentencePiece model.
 
     The vocabulary (pieces and scores) comes from the library; the merging is done here:
-    the adjacent pair whose piece has the highest score merges first, the leftmost of
-    equals.  No piece holds a space mark after another character, so merges never cross
-    from one word into the next and words are encoded one at a time and remembered.
+    an agenda holds the adjacent pairs of symbols whose piece is in the vocabulary, the
+    one with the highest score merges first, the leftmost of equals.  No piece holds a
+    space mark after another character, so merges never cross from one word into the next
+    and words are encoded one at a time and remembered.
     """
 
     def __init__(self, path: str):
@@ -35,176 +91,168 @@ class MergeEncoder:
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         n = self.library.vocab_size()
-        self.ids = {}
+        self.pieces = {}
         scores = {}
         for i in range(n):
             piece = self.library.id_to_piece(i)
             if not (self.library.is_control(i) or self.library.is_unknown(i) or self.library.is_byte(i) or self.library.is_unused(i)):
-                self.ids[piece] = i
+                self.pieces[piece] = i
                 scores[piece] = self.library.get_score(i)
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
+        if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece crosses words; this encoder splits at spaces")
         ranks = {s: r for r, s in enumerate(sorted(set(scores.values()), reverse=True))}
         self.rank = {p: ranks[s] for p, s in scores.items()}
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown, self.end = self.library.unk_id(), self.library.eos_id()
         self.byte_fallback = all(self.library.is_byte(i) for i in self.bytes)
-        self.words: dict[str, list[int]] = {}
-        self.joined: dict[str, str] = {}
-        self.older: dict[str, list[int]] = {}
-        self.older_joined: dict[str, str] = {}
-
-    def merge(self, symbols: list[str]) -> list[str]:
-        return self._scan(symbols) if len(symbols) <= SHORT else self._heap(symbols)
-
-    def _scan(self, symbols: list[str]) -> list[str]:
-        get, none = self.rank.get, 1 << 60
-        order = [get(a + b, none) for a, b in zip(symbols, symbols[1:])]
-        while order:
-            best = min(order)
-            if best == none:
-                break
-            i = order.index(best)
-            symbols[i] += symbols.pop(i + 1)
-            order.pop(i)
-            if i < len(order):
-                order[i] = get(symbols[i] + symbols[i + 1], none)
-            if i:
-                order[i - 1] = get(symbols[i - 1] + symbols[i], none)
-        return symbols
-
-    def _heap(self, symbols: list[str]) -> list[str]:
-        n, get = len(symbols), self.rank.get
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda: list[tuple[int, int, int, str]] = []
-
-        def offer(left: int, right: int) -> None:
-            if left >= 0 and right >= 0 and (r := get(piece := symbols[left] + symbols[right])) is not None:
-                heapq.heappush(agenda, (r, left, right, piece))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
+        self.kind = np.uint16 if n <= 1 << 16 else np.uint32
+        self.text_of = list(map(str, range(n)))
+        self.symbols = Symbols(self.rank, self.piece_ids, self.kind)
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.kept = 0
+
+    def piece_ids(self, piece: str) -> list[int]:
+        """The id of a piece; of a character that the vocabulary lacks those of its bytes."""
+        found = self.pieces.get(piece)
+        return [found] if found is not None else [self.bytes[b] for b in piece.encode()] if self.byte_fallback else [self.unknown]
+
+    def merge(self, word: str) -> list[int]:
+        """The symbols of a word after all merges; NONE where one has merged into the symbol before."""
+        symbols = self.symbols
+        numbers, merges, place = symbols.numbers, symbols.merges, symbols.place
+        row = [numbers[c] if c in numbers else symbols.number(c) for c in word]
+        agenda = [place[m] + i for i, m in enumerate([merges[a][b] for a, b in zip(row, row[1:])]) if m]
+        if not agenda:
+            return row
+        heapify(agenda)
+        n = len(row)
+        row.append(NONE)
+        after, before = list(range(1, n + 2)), list(range(-1, n + 1))
         while agenda:
-            _, left, right, piece = heapq.heappop(agenda)
-            if not symbols[left] or not symbols[right] or symbols[left] + symbols[right] != piece or after[left] != right:
-                continue  # one of the two has merged meanwhile
-            symbols[left], symbols[right] = piece, ""
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            offer(before[left], left)
-            offer(left, after[left])
-        return [s for s in symbols if s]
-
-    def _word(self, word: str) -> None:
-        """Encodes one word, given without the space mark before it, and remembers it."""
-        old = self.older.get(word)
-        if old is not None:
-            found, joined = old, self.older_joined[word]
-        else:
-            found = []
-            for piece in self.merge([SPACE, *word]):
-                i = self.ids.get(piece)
-                if i is not None:
-                    found.append(i)
-                elif self.byte_fallback:
-                    found.extend([self.bytes[b] for b in piece.encode()])
-                else:
-                    found.append(self.unknown)
-            joined = " ".join(map(str, found))
-        self.words[word], self.joined[word] = found, joined
-
-    def forget(self) -> None:
-        """Drops the remembered words, so that an idle worker holds none."""
-        self.words, self.joined, self.older, self.older_joined = {}, {}, {}, {}
-
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """Ids, with the end id, and the same ids as text."""
+            top = heappop(agenda)
+            left = top & 0xFFFFFFFF
+            right = after[left]
+            new = merges[row[left]][row[right]]
+            if not new or place[new] + left != top:
+                continue  # one of the two has changed meanwhile
+            row[left], row[right] = new, NONE
+            after[left] = right = after[right] if right < n else n
+            before[right] = left
+            if m := merges[new][row[right]]:
+                heappush(agenda, place[m] + left)
+            back = before[left]
+            if back >= 0 and (m := merges[row[back]][new]):
+                heappush(agenda, place[m] + back)
+        return row
+
+    @staticmethod
+    def split(text: str) -> list[str]:
+        """The words of a text; further spaces before a word are marks that belong to it."""
         if not text:
-            return [self.end], str(self.end)
+            return []
         if SPACE in text:
             text = text.replace(SPACE, " ")
         parts = text.split(" ")
-        if "" in parts:
-            parts = [w[1:].replace(" ", SPACE) for w in re.findall(r" +[^ ]*", " " + text)]
-        if len(self.words) >= CACHE_WORDS:  # what is still in use comes back from the older half
-            self.older, self.older_joined, self.words, self.joined = self.words, self.joined, {}, {}
-        got = list(map(self.words.get, parts))
-        if None in got:
-            for p in [p for p, g in zip(parts, got) if g is None]:
-                if p not in self.words:
-                    self._word(p)
-            got = map(self.words.__getitem__, parts)
-        ids = list(chain.from_iterable(got))
-        ids.append(self.end)
-        return ids, " ".join(map(self.joined.__getitem__, parts)) + f" {self.end}"
+        return [w[1:].replace(" ", SPACE) for w in _RUNS.findall(" " + text)] if "" in parts else parts
+
+    def _learn(self, new: list[str], check: bool) -> None:
+        merge, encoded = self.merge, self.symbols.encoded
+        found = [b"".join([encoded[s] for s in merge(SPACE + w)]) for w in new]
+        if check:  # but the mark alone, which the library gives for the space at a text's end only
+            theirs = self.library.encode(new, num_threads=1)
+            for w, a, b in zip(new, found, theirs):
+                if w and a != np.array(b, self.kind).tobytes():
+                    raise ValueError(f"the library encodes {w[:80]!r} otherwise")
+        self.words.update(zip(new, found))
+        self.kept += sum(map(len, new))
+
+    def encode(self, texts: list[str], check: bool = True) -> list[list[int]]:
+        """Ids of each text, with the end id.  With `check` the library encodes every word that isn't remembered too, and a difference raises an error."""
+        split = list(map(self.split, texts))
+        if self.kept > CACHE_CHARS:  # what is still in use comes back from the older half
+            self.older, self.words, self.kept = self.words, {}, 0
+        if self.symbols.pairs > CACHE_PAIRS:
+            self.symbols = Symbols(self.rank, self.piece_ids, self.kind)
+        new = set().union(*split) - self.words.keys()
+        back = new & self.older.keys()
+        for w in back:
+            self.words[w] = self.older[w]
+            self.kept += len(w)
+        self._learn(list(new - back), check)
+        get = self.words.__getitem__
+        return [[*np.frombuffer(b"".join(map(get, s)), self.kind).tolist(), self.end] for s in split]
+
+    def joined(self, ids: list[int]) -> str:
+        return " ".join(map(self.text_of.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> MergeEncoder:
-    """One encoder per Python worker; its words stay between batches."""
+    """One encoder per Python worker; its words stay between tasks, within the bounds above."""
     return MergeEncoder(path)
 
 
-def encode(docs: DataFrame, model_path: str, check: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _portions(batches):
+    """Slices of Arrow batches with at most SLICE_CHARS characters, or one text."""
+    for batch in slices(batches):
+        texts = batch.column(1).to_pylist()
+        at = size = 0
+        for k, t in enumerate(texts):
+            if size and size + len(t) > SLICE_CHARS:
+                yield batch.column(0).slice(at, k - at), texts[at:k]
+                at, size = k, 0
+            size += len(t)
+        if at < len(texts):
+            yield batch.column(0).slice(at), texts[at:]
+
+
+def encode(docs: DataFrame, model_path: str, check: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, ids array<int>, n_tokens, decoded text.
 
     Ids are those of the sentencepiece library with an end id and no sampling; `decoded`
-    is what the library's decode gives for them.  With `check`, every batch is encoded by
-    the library too, and a difference raises an error.
+    is what the library's decode gives for them.  With `check`, the library encodes each
+    word too when a worker meets it and doesn't remember it, by batches, and a difference
+    raises an error; words are encoded one by one, so that covers the texts.
 
     Edge cases: a null text is the empty one, whose only id is the end id; texts of any
-    length and words without spaces are encoded whole; an empty table gives no rows; other
-    columns are not read.  The model file must exist on every executor.
+    length and words without spaces are encoded whole; a missing id stays missing and
+    repeated rows get equal results; an empty table gives no rows; other columns are not
+    read.  The model file must exist on every executor.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):
         enc = encoder(model_path)
-        for batch in slices(batches):
-            texts = batch.column(1).to_pylist()
-            ids = [enc.encode(t)[0] for t in texts]
-            if check:
-                _compare(enc, texts, ids)
+        for keys, texts in _portions(batches):
+            ids = enc.encode(texts, check)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array([enc.library.decode(i) for i in ids], pa.string())],
+                [keys, pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array([enc.library.decode(i) for i in ids], pa.string())],
                 names=["doc_id", "ids", "n_tokens", "decoded"],
             )
-        enc.forget()
         trim()
 
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, decoded string")
 
 
-def encode_digests(docs: DataFrame, model_path: str, check: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: `encode` with digests for the long columns."""
+def encode_digests(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: `encode` with digests for the long columns, and its edge cases."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
 
     def run(batches):
         enc = encoder(model_path)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for batch in slices(batches):
-            texts = batch.column(1).to_pylist()
-            n, ids_sha, decoded_sha = [], [], []
-            for t in texts:
-                ids, joined = enc.encode(t)
-                if check:
-                    _compare(enc, [t], [ids])
-                n.append(len(ids))
-                ids_sha.append(sha(joined))
-                decoded_sha.append(sha(enc.library.decode(ids)))
+        for keys, texts in _portions(batches):
+            ids = enc.encode(texts, check)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
+                [
+                    keys,
+                    pa.array(list(map(len, ids)), pa.int64()),
+                    pa.array([sha(enc.joined(i)) for i in ids], pa.string()),
+                    pa.array([sha(enc.library.decode(i)) for i in ids], pa.string()),
+                ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
-        enc.forget()
         trim()
 
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-
-def _compare(enc: MergeEncoder, texts: list[str], ids: list[list[int]]) -> None:
-    theirs = enc.library.encode(texts, add_eos=True, num_threads=1)
-    if theirs != ids:
-        bad = next(i for i, (a, b) in enumerate(zip(ids, theirs)) if a != b)
-        raise ValueError(f"the library encodes {texts[bad][:80]!r}... otherwise")

@@ -143,7 +143,7 @@ def test_agenda_on_odd_strings():
     rng = random.Random(3)
     for n in [*[rng.randint(0, 120) for _ in range(1500)], 20_000]:
         s = "".join(rng.choice("ab e▁é\n\t日本😀<>sthenr   ") for _ in range(n))
-        assert enc.encode(s)[0] == enc.library.encode(s, add_eos=True)
+        assert enc.encode([s])[0] == enc.library.encode(s, add_eos=True)
 
 
 # fingerprints ----------------------------------------------------------------
