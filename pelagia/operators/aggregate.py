@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagia.functions.columns import rose_sector, season, seconds_of
+from pelagia.sources.scratch import scratch_path
 
 #: Steps of resampling: the unit and, for the spine, the interval.
 STEPS = {"hour": "interval 1 hour", "day": "interval 1 day", "month": "interval 1 month", "year": "interval 1 year"}
@@ -32,14 +33,42 @@ def resample(df: DataFrame, time: str, unit: str, how: dict[str, tuple[str, str]
 
 
 def auto_unit(df: DataFrame, time: str, by: Sequence[str] = ()) -> str:
-    """hour if the median gap is under an hour, day if under a day, else month.
+    """hour if the median gap between times is under an hour, day if under a day, else month.
 
-    Without `by`, gaps are taken within calendar years, so no task orders all times.
+    The median itself is never taken: it is under a limit if more than half of the gaps
+    are, which is counted; with an even number and just half of them, the gaps next to the
+    limit decide.  Gaps are within `by`; without it within ranges of time, and the gap
+    between one range and the next is added, so no task orders all times.
     """
-    w = Window.partitionBy(*(by or [F.year(time)])).orderBy(time)
-    times = df.select(*by, time).distinct()
-    gap = times.select((seconds_of(F.col(time)) - seconds_of(F.lag(time).over(w))).alias("g")).agg(F.median("g")).first()[0]
-    return "hour" if gap is not None and gap < 3600 else "day" if gap is not None and gap < 86_400 else "month"
+    found = gaps(df, time, by)
+    under = lambda limit: F.col("g") < limit
+    limits = {"hour": 3600, "day": 86_400}
+    parts = [F.count("g").alias("n")]
+    for unit, limit in limits.items():
+        parts += [F.count_if(under(limit)).alias(unit), F.max(F.when(under(limit), F.col("g"))).alias(f"{unit}_low"), F.min(F.when(~under(limit), F.col("g"))).alias(f"{unit}_high")]
+    r = found.agg(*parts).first()
+    for unit, limit in limits.items():
+        if 2 * r[unit] > r["n"] + 1 or (r["n"] % 2 and 2 * r[unit] > r["n"]):
+            return unit
+        if r["n"] and r["n"] % 2 == 0 and 2 * r[unit] in (r["n"], r["n"] + 1) and (r[f"{unit}_low"] + r[f"{unit}_high"]) / 2 < limit:
+            return unit
+    return "month"
+
+
+def gaps(df: DataFrame, time: str, by: Sequence[str] = ()) -> DataFrame:
+    """(g): seconds between consecutive distinct times, within `by` or over all."""
+    times = df.select(*by, time).where(F.col(time).isNotNull()).distinct()
+    if by:
+        w = Window.partitionBy(*by).orderBy(time)
+        return times.select((seconds_of(F.col(time)) - seconds_of(F.lag(time).over(w))).alias("g")).where("g is not null")
+    spark = df.sparkSession
+    path = scratch_path(spark, "times")
+    times.repartitionByRange(time).select(F.col(time).alias("t"), F.spark_partition_id().alias("part")).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    inner = dealt.select((seconds_of(F.col("t")) - seconds_of(F.lag("t").over(Window.partitionBy("part").orderBy("t")))).alias("g"))
+    ends = dealt.groupBy("part").agg(F.min("t").alias("a"), F.max("t").alias("b"))  # a row per range, not per time
+    between = ends.select((seconds_of(F.col("a")) - seconds_of(F.lag("b").over(Window.orderBy("part")))).alias("g"))
+    return inner.union(between).where("g is not null")
 
 
 def band(df: DataFrame, time: str, unit: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -216,22 +245,34 @@ def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return half(pts) + half(pts[::-1])
 
 
-def convex_hulls(df: DataFrame, by: str, lon: str, lat: str, digits: int = 2) -> DataFrame:
+#: Positions that a task takes at most when it looks for the vertices of a part of a platform's positions.
+HULL_POINTS = 50_000
+
+
+def convex_hulls(df: DataFrame, by: str, lon: str, lat: str) -> DataFrame:
     """(by, vertices, hull_lon, hull_lat): number and mean of the hull's vertices, for platforms with three points or more.
 
-    Only the lowest and highest latitude of each rounded longitude can be vertices, so a
-    group that reaches Python has no more rows than there are such longitudes.
+    A vertex of all points is one of every part that holds it, so each platform's points
+    are dealt into parts of some HULL_POINTS, and only the parts' vertices meet; that is
+    exact for coordinates of any precision.
     """
-    ends = df.withColumn("__x", F.round(lon, digits)).groupBy(by, "__x").agg(F.min(lat).alias("a"), F.max(lat).alias("b"))
+    ends = df.groupBy(by, F.col(lon).alias("x")).agg(F.min(lat).alias("a"), F.max(lat).alias("b")).where("x is not null and a is not null")
     kind = df.schema[by].dataType.simpleString()
+    parts = ends.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / HULL_POINTS).cast("int").alias("__parts"))
+    dealt = ends.join(parts, by).withColumn("__part", F.pmod(F.xxhash64("x"), F.col("__parts")))
+
+    def vertices(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        h = hull([*zip(pdf["x"], pdf["a"]), *zip(pdf["x"], pdf["b"])])
+        return pd.DataFrame({by: [key[0]] * len(h), "x": [p[0] for p in h], "y": [p[1] for p in h]})
 
     def of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        h = hull([*zip(pdf["__x"], pdf["a"]), *zip(pdf["__x"], pdf["b"])])
+        h = hull([*zip(pdf["x"], pdf["y"])])
         if len(h) < 3:
             return pd.DataFrame({by: [], "vertices": [], "hull_lon": [], "hull_lat": []})
         return pd.DataFrame({by: [key[0]], "vertices": [len(h)], "hull_lon": [sum(p[0] for p in h) / len(h)], "hull_lat": [sum(p[1] for p in h) / len(h)]})
 
-    return ends.groupBy(by).applyInPandas(of, f"{by} {kind}, vertices long, hull_lon double, hull_lat double")
+    corners = dealt.groupBy(by, "__part").applyInPandas(vertices, f"{by} {kind}, x double, y double")
+    return corners.groupBy(by).applyInPandas(of, f"{by} {kind}, vertices long, hull_lon double, hull_lat double")
 
 
 def mean_spectrum(df: DataFrame, wavelength: str, value: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def target_grid(spark, low: float, high: float, step: float) -> DataFrame:
 def regrid_linear(df: DataFrame, keys: Sequence[str], x: str, y: str, grid: DataFrame) -> DataFrame:
     """Values on a new grid of one dimension, per series, linear between the nearest known points; NULL outside."""
     series = df.select(*keys).distinct()
-    wanted = series.crossJoin(F.broadcast(grid.select(F.col("x").alias(x)))).withColumn("__new", F.lit(True)).withColumn(y, F.lit(None).cast("double"))
+    wanted = series.crossJoin(grid.select(F.col("x").alias(x))).withColumn("__new", F.lit(True)).withColumn(y, F.lit(None).cast("double"))
     both = df.select(*keys, x, F.lit(False).alias("__new"), F.col(y).cast("double").alias(y)).where(F.col(y).isNotNull()).unionByName(wanted.select(*keys, x, "__new", y))
     w = Window.partitionBy(*keys).orderBy(x, "__new")
     known = F.when(~F.col("__new"), F.struct(F.col(x).alias("x"), F.col(y).alias("y")))
@@ -83,7 +84,7 @@ def reconcile_dims(df: DataFrame, dims: Sequence[str], coordinates: dict[str, Da
         raise ValueError(f"dimensions that the store lacks: {extra}")
     for d in dims:
         if d not in df.columns:
-            df = df.crossJoin(F.broadcast(coordinates[d].select(d).distinct()))
+            df = df.crossJoin(coordinates[d].select(d).distinct())
     return df.select(*dims, *[c for c in df.columns if c not in dims])
 
 
@@ -98,8 +99,38 @@ def upsert_times(old: DataFrame, new: DataFrame, time: str) -> DataFrame:
 
 
 def add_missing_variable(df: DataFrame, name: str, kind: T.DataType) -> DataFrame:
+    """A declared variable that the file lacks, as typed NULLs."""
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(kind))
 
 
+def add_missing_coordinate(df: DataFrame, name: str, template: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """A coordinate that the file lacks, taken from a template grid by the declared dimensions; places that the template lacks are NULL."""
+    return df if name in df.columns else df.join(template.select(*dims, name).distinct(), list(dims), "left")
+
+
+def cast_variables(df: DataFrame, schema: dict[str, T.DataType]) -> DataFrame:
+    """Variables in their declared types; others as they are."""
+    return df.select(*[F.col(c).cast(schema[c]).alias(c) if c in schema else F.col(c) for c in df.columns])
+
+
+def decode_times(df: DataFrame, units: dict[str, tuple[str, str]], keep_numeric: Sequence[str] = ()) -> DataFrame:
+    """Numbers of (unit, since) as timestamps: unit is days, hours, minutes or seconds; variables in `keep_numeric` stay numbers."""
+    seconds = {"days": 86_400, "hours": 3600, "minutes": 60, "seconds": 1}
+    wanted = {c: F.timestamp_micros((F.unix_micros(F.lit(since).cast("timestamp")) + F.round(F.col(c) * seconds[unit] * 1_000_000).cast("long"))) for c, (unit, since) in units.items() if c in df.columns and c not in keep_numeric}
+    return df.withColumns(wanted)
+
+
+def usable(df: DataFrame, file: str, dims: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of the files that pass the structural check, the refused files): a file without an index on a dimension is left out and the rest is taken again."""
+    refused = files_without_index(df, file, dims).select(file).distinct()
+    return df.join(refused, file, "left_anti"), refused
+
+
+def combine_sorted(frames: Sequence[DataFrame], append: str, sort_by: Sequence[str] = ()) -> DataFrame:
+    """Files joined by variable name along the append dimension, each task's rows in the order of `sort_by`, or of the append dimension."""
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return out.repartitionByRange(append).sortWithinPartitions(*(sort_by or [append]))
+
+
 def named_source(df: DataFrame, column: str = "filename", unknown: str = "UNKNOWN_FILENAME.nc") -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), F.lit(unknown)))

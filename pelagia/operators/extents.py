@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 #: Roles by standard name, asked after the column's own name.
 STANDARD_ROLES = {"time": "TIME_AXIS", "latitude": "LATITUDE", "longitude": "LONGITUDE", "depth": "DEPTH", "sea_water_pressure": "DEPTH"}
 NAME_ROLES = {"time": "TIME_AXIS", "juld": "TIME_AXIS", "latitude": "LATITUDE", "lat": "LATITUDE", "longitude": "LONGITUDE", "lon": "LONGITUDE", "depth": "DEPTH", "pres": "DEPTH"}
-#: Keywords of dataset names and the type that each tells, in order.
-TYPE_RULES = (("radar", "radar"), ("satellite", "satellite"), ("mooring", "mooring"), ("vessel", "vessel"), ("animal", "animal"), ("model", "model"), ("argo", "profile"))
+#: Words of dataset names and variables that tell a dataset's type.
+ANIMAL_WORDS = ("animal", "tracking", "biologging", "tagging")
+SURVEY_WORDS = ("aggregated", "diver", "benthic", "fish", "photoquadrat", "seabird", "seagrass", "kelp", "survey")
+SERIES_WORDS = ("mooring", "station", "wave_buoy", "timeseries", "hourly", "nrs", "realtime", "delayed_qc")
+DEPTH_NAMES = ("depth", "nominal_depth", "pres", "pres_adjusted")
+DEPTH_STANDARDS = ("depth", "pressure")
 
 
 def key_extent(df: DataFrame, key: str = "timestamp") -> DataFrame:
@@ -81,14 +85,33 @@ def variable_roles(catalogue: DataFrame) -> DataFrame:
 
 
 def dataset_types(catalogue: DataFrame) -> DataFrame:
-    """(dataset, kind): by keywords of the name, then by the variables: gridded data lack a platform's track."""
-    variables = catalogue.groupBy("dataset").agg(F.collect_set(F.lower("variable")).alias("vs"))
-    kind: Column = F.lit(None).cast("string")
-    for word, name in reversed(TYPE_RULES):
-        kind = F.when(F.contains(F.lower("dataset"), F.lit(word)), name).otherwise(kind)
-    has = lambda *names: F.arrays_overlap("vs", F.array(*[F.lit(n) for n in names]))
-    by_vars = F.when(has("depth", "pres") & has("lat", "latitude"), "profile").when(has("lat", "latitude"), "point").otherwise("table")
-    return variables.select("dataset", F.coalesce(kind, by_vars).alias("kind"))
+    """(dataset, kind), the first rule that holds: radar cubes by what they measure, animal tracks by name, other
+    cubes as grids, surveys by name, tables with a depth as profiles, series by name, else tabular.
+
+    A dataset's layout is its global attribute `format` (cube or table).
+    """
+    key, value, variable = F.col("key"), F.lower("value"), F.lower("variable")
+    deep = variable.isin(*DEPTH_NAMES) | ((key == "standard_name") & value.isin(*DEPTH_STANDARDS)) | ((key == "axis") & (value == "z"))
+    per = catalogue.groupBy("dataset").agg(
+        F.collect_set(variable).alias("vs"),
+        F.max(F.when((variable == "global") & (key == "format"), value)).alias("layout"),
+        F.coalesce(F.bool_or(deep & (variable != "global")), F.lit(False)).alias("deep"),
+    )
+    named = lambda *words: F.lower("dataset").rlike("|".join(words))
+    have = lambda *names: F.size(F.array_intersect("vs", F.array(*[F.lit(n) for n in names]))) == len(names)
+    grid = F.coalesce(F.col("layout") == "cube", F.lit(False))
+    table = F.coalesce(F.col("layout") == "table", F.lit(False))
+    radar = F.when(have("ucur", "vcur"), "radar_velocity").when(have("vavh", "wppe"), "radar_wave").when(have("wspd_mean", "wdir_mean") | named("wind"), "radar_wind").otherwise("radar_velocity")
+    kind = (
+        F.when(grid & named("radar"), radar)
+        .when(named(*ANIMAL_WORDS), "animal_tracking")
+        .when(grid, "gridded")
+        .when(named(*SURVEY_WORDS), "tabular")
+        .when(table & F.col("deep"), "profiles")
+        .when(named(*SERIES_WORDS), "timeseries")
+        .otherwise("tabular")
+    )
+    return per.select("dataset", kind.alias("kind"))
 
 
 def decoded(value: Column) -> Column:
@@ -139,7 +162,7 @@ def find_datasets(catalogue: DataFrame, value: str, key: str = "standard_name",
     return wanted.join(distinct.where(F.col("score") >= threshold), "value").select("dataset").distinct()
 
 
-#: Weights of the fields that a search looks at.
+#: Weights of the fields that a search looks at.
 FIELD_WEIGHTS = {"name": 3.0, "title": 2.0, "description": 1.0, "variable": 2.0}
 
 

@@ -150,13 +150,19 @@ def batches(files: DataFrame, size: int, order: str = "filename") -> DataFrame:
 
     Places come from each range partition's count, so no task takes the whole list.
     """
+    placed = places(files, order)
+    return placed.withColumn("batch", F.ceil(F.col("place") / size).cast("long")).drop("place")
+
+
+def places(files: DataFrame, order: str) -> DataFrame:
+    """The rows with their 1-based place in an order, numbered by ranges."""
     from pyspark.sql import Window
 
     parts = files.repartitionByRange(F.col(order)).withColumn("part", F.spark_partition_id())
     local = parts.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy(order)))
     counts = local.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = counts.alias("a").join(counts.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy("a.part").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    return local.join(before, "part").withColumn("batch", F.ceil((F.col("before") + F.col("place")) / size).cast("long")).drop("part", "place", "before")
+    return local.join(before, "part").withColumn("place", F.col("before") + F.col("place")).drop("part", "before")
 
 
 def combine(frames: Sequence[DataFrame], order: Sequence[str] = ()) -> DataFrame:

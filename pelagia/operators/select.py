@@ -11,13 +11,23 @@ from pyspark.sql import functions as F
 
 from pelagia.functions.columns import period_key
 
-#: Names by which a coordinate is known, in order of preference.
+#: Names by which a coordinate is known in tables and in cubes, in order of preference.
 CANDIDATES = {
-    "TIME": ["TIME", "time", "JULD", "detection_timestamp", "timestamp", "date", "ts"],
-    "LATITUDE": ["LATITUDE", "latitude", "lat", "LAT", "decimalLatitude"],
-    "LONGITUDE": ["LONGITUDE", "longitude", "lon", "LON", "decimalLongitude"],
-    "DEPTH": ["DEPTH", "depth", "PRES", "pressure"],
+    "table": {
+        "TIME": ["TIME", "JULD", "juld_location", "detection_timestamp", "eventDate", "end_date", "s_date", "d_date", "de_date", "qc_start_date", "date"],
+        "LATITUDE": ["LATITUDE", "latitude", "LAT", "lat"],
+        "LONGITUDE": ["LONGITUDE", "longitude", "LON", "lon"],
+        "DEPTH": ["DEPTH", "depth", "PRES", "pres", "PRES_ADJUSTED", "pres_adjusted", "NOMINAL_DEPTH", "nominal_depth"],
+    },
+    "cube": {
+        "TIME": ["TIME", "time", "datetime", "date", "Date", "DateTime"],
+        "LATITUDE": ["latitude", "lat", "LATITUDE", "LAT"],
+        "LONGITUDE": ["longitude", "lon", "LONGITUDE", "LON"],
+        "DEPTH": ["depth", "nominal_depth", "pres", "pres_adjusted", "DEPTH", "PRES", "PRES_ADJUSTED", "NOMINAL_DEPTH"],
+    },
 }
+#: Looked for after these: names that only this library's tables use.
+OWN_NAMES = {"TIME": ["time", "timestamp", "ts"], "LATITUDE": ["decimalLatitude"], "LONGITUDE": ["decimalLongitude"], "DEPTH": ["pressure"]}
 
 
 class DateOutOfRange(ValueError):
@@ -28,8 +38,9 @@ class BoxOutside(ValueError):
     """No cell of the data touches the asked box."""
 
 
-def coordinate(df: DataFrame, role: str) -> str:
-    found = next((c for c in CANDIDATES[role] if c in df.columns), None)
+def coordinate(df: DataFrame, role: str, layout: str = "table") -> str:
+    """The column of a role, by the names known for the layout (table or cube); the first that is there."""
+    found = next((c for c in [*CANDIDATES[layout][role], *OWN_NAMES[role]] if c in df.columns), None)
     if found is None:
         raise KeyError(f"no column for {role}")
     return found

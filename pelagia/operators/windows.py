@@ -85,6 +85,10 @@ def last_position_daily(df: DataFrame, by: str, time: str, columns: Sequence[str
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """The first row of each key; by column names it is combined on the map side, so a key with many rows costs one per task."""
+    if all(isinstance(o, str) for o in order):
+        row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+        return df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("__row")).select("__row.*")
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 

@@ -31,7 +31,21 @@ def hourly_median(spark: SparkSession, d: str) -> DataFrame:
     return rnd(rnd(A.resample(obs(spark, d), "ts", "hour", {"median": ("value", "median"), "total": ("value", "sum")}, ["event_type"], dense=False), "median"), "total", digits=4)
 
 
-@query(f"""WITH {OBS} SELECT user_id, date_trunc('day', ts) AS bin, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.95), 6) AS p95 FROM obs GROUP BY ALL""")
+def unit_sql(rows: str, by: str, time: str) -> str:
+    """The unit that the median gap of `rows` gives."""
+    gap = f"SELECT epoch({time}) - lag(epoch({time})) OVER (PARTITION BY {by} ORDER BY {time}) AS g FROM (SELECT DISTINCT {by} AS k, {time} FROM {rows})".replace(f"PARTITION BY {by}", "PARTITION BY k")
+    return f"(SELECT CASE WHEN median(g) < 3600 THEN 'hour' WHEN median(g) < 86400 THEN 'day' ELSE 'month' END FROM ({gap}))"
+
+
+@query(f"SELECT 'all' AS series, {unit_sql('events', '0', 'ts')} AS unit UNION ALL SELECT 'platform', {unit_sql('events', 'user_id', 'ts')} UNION ALL SELECT 'customer', {unit_sql('orders', 'o_custkey', 'o_orderdate')}")
+def auto_units(spark: SparkSession, d: str) -> DataFrame:
+    """The unit that the median gap of three series gives."""
+    e, o = table(spark, d, "events"), table(spark, d, "orders")
+    units = {"all": A.auto_unit(e, "ts"), "platform": A.auto_unit(e, "ts", ["user_id"]), "customer": A.auto_unit(o, "o_orderdate", ["o_custkey"])}
+    return spark.createDataFrame(list(units.items()), "series string, unit string")
+
+
+@query(f"""WITH {OBS}, u AS (SELECT {unit_sql('obs', 'user_id', 'ts')} AS unit) SELECT user_id, date_trunc((SELECT unit FROM u), ts) AS bin, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.95), 6) AS p95 FROM obs GROUP BY ALL""")
 def auto_band(spark: SparkSession, d: str) -> DataFrame:
     """Mean and band per bin, the bin chosen by the median gap of the data."""
     o = obs(spark, d)
@@ -116,11 +130,11 @@ def common_wavelengths(spark: SparkSession, d: str) -> DataFrame:
     return rnd(A.common_wavelengths(s, ["a", "b"]), "a", "b")
 
 
-@query("SELECT day(ts)::INTEGER AS day, " + ", ".join(f"round(avg(value) FILTER (WHERE hour(ts) = {h}), 6) AS h{h}" for h in range(0, 24, 6)) + " FROM events WHERE hour(ts) % 6 = 0 GROUP BY 1")
+@query("SELECT day(ts)::INTEGER AS day, " + ", ".join(f"round(avg(value) FILTER (WHERE hour(ts) = {h}), 6) AS h{h}" for h in range(24)) + " FROM events GROUP BY 1")
 def pivot_day_hour(spark: SparkSession, d: str) -> DataFrame:
     """Day by hour."""
-    hours = [f"h{h}" for h in range(0, 24, 6)]
-    e = table(spark, d, "events").where(F.hour("ts") % 6 == 0).withColumn("h", F.concat(F.lit("h"), F.hour("ts")))
+    hours = [f"h{h}" for h in range(24)]
+    e = table(spark, d, "events").withColumn("h", F.concat(F.lit("h"), F.hour("ts")))
     return rnd(e.groupBy(F.dayofmonth("ts").alias("day")).pivot("h", hours).agg(F.avg("value")), *hours)
 
 

@@ -30,10 +30,31 @@ def variable_roles(spark: SparkSession, d: str) -> DataFrame:
     return extents.variable_roles(catalogue(spark, d))
 
 
-@query(f"""WITH {BASE} SELECT dataset, CASE WHEN contains(dataset, 'radar') THEN 'radar' WHEN contains(dataset, 'vessel') THEN 'vessel' WHEN bool_or(variable = 'LATITUDE') THEN 'point' ELSE 'table' END AS kind FROM catalogue GROUP BY 1""")
+#: Names and variables so dealt that each rule of the types decides for some part.
+NAMES = ["radar_north", "radar_wind_north", "animal_radar", "satellite_chlorophyll", "diver_survey_depth", "argo_floats", "mooring_hourly", "vessel_tracks"]
+VARIABLES = ["UCUR", "VCUR", "VAVH", "WPPE", "WSPD_MEAN", "WDIR_MEAN", "TEMP", "PRES"]
+
+
+@query(f"""WITH b AS (SELECT {NAMES}[p_partkey % 8 + 1] || '_' || (p_partkey // 8 % 16) AS dataset, p_partkey // 128 % 3 AS f, {VARIABLES}[p_size % 8 + 1] AS v, p_type = 'PROMO' AS deep FROM part),
+    t AS (SELECT dataset, list(DISTINCT v) AS vs, max(CASE WHEN f = 0 THEN 'cube' WHEN f = 1 THEN 'table' END) AS layout, bool_or(v = 'PRES' OR deep) AS deep FROM b GROUP BY 1)
+    SELECT dataset, CASE WHEN layout = 'cube' AND contains(dataset, 'radar') THEN CASE WHEN list_has_all(vs, ['UCUR', 'VCUR']) THEN 'radar_velocity' WHEN list_has_all(vs, ['VAVH', 'WPPE']) THEN 'radar_wave'
+        WHEN list_has_all(vs, ['WSPD_MEAN', 'WDIR_MEAN']) OR contains(dataset, 'wind') THEN 'radar_wind' ELSE 'radar_velocity' END WHEN contains(dataset, 'animal') THEN 'animal_tracking' WHEN layout = 'cube' THEN 'gridded'
+        WHEN contains(dataset, 'survey') THEN 'tabular' WHEN layout = 'table' AND deep THEN 'profiles' WHEN contains(dataset, 'mooring') THEN 'timeseries' ELSE 'tabular' END AS kind FROM t""")
 def dataset_types(spark: SparkSession, d: str) -> DataFrame:
-    """The type of each dataset."""
-    return extents.dataset_types(catalogue(spark, d))
+    """The type of each dataset by the first rule that holds."""
+    pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
+    k = F.col("p_partkey")
+    name = F.concat(pick(NAMES, k % 8), F.lit("_"), (F.floor(k / 8) % 16).cast("string"))
+    p = table(spark, d, "part").select(name.alias("dataset"), (F.floor(k / 128) % 3).alias("f"), pick(VARIABLES, F.col("p_size") % 8).alias("variable"), "p_type")
+    layout = p.where("f < 2").select("dataset", F.lit("global").alias("variable"), F.lit("format").alias("key"), F.when(F.col("f") == 0, "cube").otherwise("table").alias("value"))
+    standard = p.select("dataset", "variable", F.lit("standard_name").alias("key"), F.when(F.col("p_type") == "PROMO", "Depth").otherwise("other").alias("value"))
+    return extents.dataset_types(layout.union(standard))
+
+
+@query()
+def find_datasets_fuzzy(spark: SparkSession, d: str) -> DataFrame:
+    """Datasets with a variable like a misspelt name, at the usual threshold."""
+    return extents.find_datasets(catalogue(spark, d), "blue_wigdet", threshold=80.0)
 
 
 @query(f"WITH {BASE} SELECT DISTINCT dataset FROM catalogue WHERE key = 'standard_name' AND contains(value, 'widget')")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pelagia.plans import analysis, catalogue, tabular  # noqa: F401  they register their queries
+from pelagia.plans import analysis, catalogue, stores, tabular  # noqa: F401  they register their queries
 from pelagia.plans.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

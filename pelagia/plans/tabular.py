@@ -263,18 +263,18 @@ def ragged_repair(spark: SparkSession, d: str) -> DataFrame:
     return reshape.repair_sizes(p, "total", profile="o_orderkey", by="o_custkey").select("o_custkey", "o_orderkey", long("row_size").alias("row_size"))
 
 
-@query("""SELECT vec_id, i - 1 AS level, (350 + (i - 1) * 10)::INTEGER AS depth, round(embedding[i]::DOUBLE, 6) AS value FROM (SELECT vec_id, embedding, unnest(range(1, 9)) AS i FROM embeddings)""")
+@query("""SELECT vec_id, i - 1 AS level, (350 + (i - 1) * 10)::INTEGER AS depth, round(embedding[i]::DOUBLE, 6) AS value FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""")
 def profile_explode(spark: SparkSession, d: str) -> DataFrame:
     """Parallel arrays of profiles to rows."""
-    e = table(spark, d, "embeddings").select("vec_id", F.slice("embedding", 1, 8).alias("value"), F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.lit(350) + k * 10).alias("depth"))
+    e = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("value"), F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda k: F.lit(350) + k * 10).alias("depth"))
     return reshape.explode_levels(e, ["depth", "value"]).select("vec_id", long("level").alias("level"), "depth", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-@query("""SELECT vec_id, a * 10 AS y, b AS x, round(embedding[a * 4 + b + 1]::DOUBLE, 6) AS value FROM embeddings, range(0, 3) ta(a), range(0, 4) tb(b)""")
+@query("""SELECT vec_id, a * 10 AS y, b AS x, round(embedding[a * 8 + b + 1]::DOUBLE, 6) AS value FROM embeddings, range(0, 8) ta(a), range(0, 8) tb(b)""")
 def grid_flatten(spark: SparkSession, d: str) -> DataFrame:
     """A variable on two in-file dimensions to rows."""
-    nested = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda a: F.slice("embedding", a * 4 + 1, 4))
-    e = table(spark, d, "embeddings").select("vec_id", F.array(F.lit(0), F.lit(10), F.lit(20)).alias("ys"), F.array(*[F.lit(k) for k in range(4)]).alias("xs"), nested.alias("value"))
+    nested = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda a: F.slice("embedding", a * 8 + 1, 8))
+    e = table(spark, d, "embeddings").select("vec_id", F.array(*[F.lit(10 * k) for k in range(8)]).alias("ys"), F.array(*[F.lit(k) for k in range(8)]).alias("xs"), nested.alias("value"))
     return reshape.flatten_grid(e, {"y": "ys", "x": "xs"}, "value").select("vec_id", long("y").alias("y"), long("x").alias("x"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
@@ -331,6 +331,6 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "export")
     df = select.with_good_flags(obs(spark, d), "qc", [0, 1]).select("event_type", "ts", "value")
     note = spark.range(1).select(F.lit("title").alias("key"), F.lit("observations").alias("value"))
-    store.export_csv(df, path, note)
-    back = files.read_csv(spark, f"{path}/data", df.schema, {"header": 0, "sep": ","}, strict=True)
+    at = store.export_csv(df, path, "observations", note)
+    back = files.read_csv(spark, at, df.schema, {"header": None, "sep": ",", "comment": "#"}).where("value is not null")  # but the line of names
     return rnd(resample(back, "ts", "day", {"mean": ("value", "mean"), "n": ("value", "count")}, ["event_type"], dense=False), "mean")

@@ -16,6 +16,8 @@ from pelagia.sources.store import write_table
 class Dataset:
     """A table of observations; `settings` may name its columns, its period and its cell size."""
 
+    layout = "table"
+
     def __init__(self, spark: SparkSession, path: str, settings: dict | None = None):
         self.spark, self.path, self.settings = spark, path, settings or {}
 
@@ -26,7 +28,7 @@ class Dataset:
         return df.withColumn("timestamp", F.col("timestamp").cast("long")) if "timestamp" in df.columns else df
 
     def column(self, role: str) -> str:
-        return self.settings.get(role) or select.coordinate(self.df, role)
+        return self.settings.get(role) or select.coordinate(self.df, role, self.layout)
 
     def get_data(self, start=None, end=None, box=None, scalars=None, columns: Sequence[str] | None = None) -> DataFrame:
         df = self.df
@@ -55,6 +57,8 @@ class Dataset:
 class CubeDataset(Dataset):
     """A long cube table: a row per cell and time."""
 
+    layout = "cube"
+
     def get_data(self, start=None, end=None, box=None, scalars=None, columns=None, mask=None) -> DataFrame:
         a, b, c, d = box or (None,) * 4
         time, lat, lon = (self.column(r) for r in ("TIME", "LATITUDE", "LONGITUDE"))

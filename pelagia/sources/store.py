@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pelagia.sources.files import read_parquet
-from pelagia.sources.scratch import delete_path, path_exists
+from pelagia.sources.scratch import delete_path, path_exists, scratch_path
 
 #: Rows of a row group, so that statistics prune within files.
 ROWS_PER_GROUP = 20_000
@@ -29,16 +30,17 @@ def _touched(keys: Sequence[str], df: DataFrame) -> DataFrame:
 
 def _rewrite(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], after: DataFrame, touched: DataFrame) -> None:
     """Replaces the touched partitions by the rows of `after`; partitions left without rows go."""
-    staging = f"{path.rstrip('/')}__staging"
+    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
     write_table(after, staging, keys, order)
     # Dynamic overwrite leaves a partition that has no new rows as it was; such ones are dropped by name.
     left = _touched(keys, read_parquet(spark, staging)) if path_exists(spark, staging) and not after.isEmpty() else None
     emptied = touched if left is None else touched.join(left, list(keys), "left_anti")
-    for row in emptied.toLocalIterator():  # names of partitions, not rows
-        delete_path(spark, path.rstrip("/") + "/" + "/".join(f"{k}={row[k]}" for k in keys))
+    gone = ["/".join(f"{k}={row[k]}" for k in keys) for row in emptied.toLocalIterator()]  # names of partitions, not rows
     if left is not None:
         types = {k: "string" for k in keys}
         read_parquet(spark, staging, **types).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    for part in gone:  # after the new rows are in place, so a crash between loses none
+        delete_path(spark, f"{path.rstrip('/')}/{part}")
     delete_path(spark, staging)
 
 
@@ -62,7 +64,9 @@ def delete_files(spark: SparkSession, path: str, files: DataFrame, keys: Sequenc
     """Deletes the rows of the given files; returns (file, rows) of what was, or with `dry_run` would be, deleted."""
     old = read_parquet(spark, path)
     hit = old.join(files.select(by).distinct(), by, "left_semi")
-    counts = spark.createDataFrame(hit.groupBy(by).agg(F.count(F.lit(1)).alias("rows")).collect(), T.StructType([old.schema[by], T.StructField("rows", T.LongType())]))
+    said = scratch_path(spark, "deleted")  # written, as the rows counted are gone afterwards
+    hit.groupBy(by).agg(F.count(F.lit(1)).alias("rows")).write.parquet(said)
+    counts = spark.read.parquet(said)
     if not dry_run:
         touched = _touched(keys, hit)
         kept = old.join(touched, list(keys), "left_semi").join(files.select(by).distinct(), by, "left_anti")
@@ -108,10 +112,10 @@ def attribute_mismatches(catalogue: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def codes(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """(rows with 0-based codes of the sorted distinct values in place of a string column, the codes); missing is -1."""
-    from pyspark.sql import Window
+    from pelagia.operators.ingest import places
 
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    coded = values.withColumn("code", (F.row_number().over(Window.orderBy(column)) - 1).cast("int"))
+    coded = places(values, column).select(column, (F.col("place") - 1).cast("int").alias("code"))
     joined = df.join(coded, column, "left").withColumn(column, F.coalesce("code", F.lit(-1))).select(*df.columns)
     return joined, coded.select("code", F.regexp_replace(column, " ", "_").alias("meaning"))
 
@@ -125,7 +129,17 @@ def content_hash(df: DataFrame) -> DataFrame:
     return df.select(F.xxhash64(*df.columns).cast("decimal(38,0)").alias("h")).agg(F.sha2(F.concat_ws(":", F.count(F.lit(1)), F.sum("h")), 256).alias("sha256"))
 
 
-def export_csv(df: DataFrame, path: str, attributes: DataFrame) -> None:
-    """CSV parts under path/data and the attributes under path/attributes as "# key: value" lines."""
-    df.write.mode("overwrite").option("header", "true").csv(f"{path}/data")
-    attributes.select(F.concat(F.lit("# "), "key", F.lit(": "), "value").alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/attributes")
+def export_csv(df: DataFrame, path: str, name: str, attributes: DataFrame) -> str:
+    """CSV with a "# key: value" line per attribute, then the header, then the rows; returns where it is, <name>_<hash>.csv.
+
+    The hash is the first 8 hex digits of `content_hash`.  The lines before the rows are
+    the first part and the rows the parts after it, written by many tasks; the parts in
+    the order of their names are the one file.
+    """
+    spark = df.sparkSession
+    at = f"{path.rstrip('/')}/{name}_{content_hash(df).first()['sha256'][:8]}.csv"
+    notes = attributes.orderBy("key").select(F.concat(F.lit("# "), "key", F.lit(": "), "value").alias("value")).coalesce(1)
+    head = spark.range(1, numPartitions=1).select(F.lit(",".join(df.columns)).alias("value"))
+    body = df.select(F.to_csv(F.struct(*df.columns)).alias("value"))
+    notes.union(head).union(body).write.mode("overwrite").text(at)
+    return at
