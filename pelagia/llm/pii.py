@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import text_of
+from pelagia.llm.common import slices, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 BASE = {
@@ -28,6 +28,10 @@ BASE = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+#: The same as the patterns above, read in linear time: a run is entered at its start only, and given up as a whole.
+_RUN_OF_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -51,6 +55,26 @@ def _valid(kind: str, span: str) -> bool:
     return True
 
 
+def _emails(text: str):
+    """Spans of the email pattern: from each at-sign back over the local part, which may begin where the match before ended."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < at and (m := _DOMAIN.match(text, at + 1)):
+            yield start, m.end()
+            done = m.end()
+        at = text.find("@", max(done, at + 1))
+
+
+def _matches(kind: str, text: str):
+    if kind == "email":
+        return _emails(text)
+    return (m.span() for m in (_RUN_OF_IP if kind == "ip" else BASE[kind]).finditer(text))
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the fixed patterns: leftmost and non-overlapping per kind, those that fail their check dropped."""
     kinds = []
@@ -60,11 +84,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
         kinds += ["ip", "card"]
         if "+" in text:
             kinds.append("phone")
-    return [(m.start(), m.end(), k) for k in kinds for m in BASE[k].finditer(text) if _valid(k, m.group())]
+    return [(a, b, k) for k in kinds for a, b in _matches(k, text) if _valid(k, text[a:b])]
 
 
 #: Runs of tokens with digits or at-signs: where candidate segments are looked for.
-REGION = re.compile(r"[^\s0-9@]*[0-9@]\S*(?:[ \t]+[^\s0-9@]*[0-9@]\S*)*")
+REGION = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:[ \t]++[^\s0-9@]*+[0-9@]\S*+)*+")
 _PIECE = re.compile(r"[A-Za-z]+|[0-9]+|\s+|.", re.S)
 #: Longest segment, in pieces (runs of letters, of digits, of blanks, or single signs).
 MAX_PIECES = 16
@@ -124,14 +148,21 @@ def _features(region: str, a: int, b: int, at: bool, dots: int) -> list[str]:
         f"luhn={12 <= len(digits) <= 19 and luhn(digits)}",
         "before=" + side(before),
         "after=" + side(after),
-        "prior=" + side(region[:a].rstrip()[-1:] or " "),
-        "next=" + side(region[b:].lstrip()[:1] or " "),
+        "prior=" + side(_beyond(region, a - 1, -1)),
+        "next=" + side(_beyond(region, b, 1)),
         f"letters={bool(re.search('[A-Za-z]', span))}",
         f"plus={span[0] == '+'},paren={'(' in span}",
         f"blanks={bool(re.search(r'[ ]{2}|[^ -~]', span))}",
     ]
 
 
+def _beyond(region: str, at: int, step: int) -> str:
+    """The next sign that isn't blank, from `at` on in one direction; a blank if there is none."""
+    while 0 <= at < len(region) and region[at].isspace():
+        at += step
+    return region[at] if 0 <= at < len(region) else " "
+
+
 class SegmentField:
     """Weights of (kind, feature), and decoding and training over candidate segments."""
 
@@ -309,7 +340,7 @@ def personal_data(docs: DataFrame, field: SegmentField | None = None, id_col: st
     names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [all_spans(t, shared.value) for t in batch.column(1).to_pylist()]
             counts = [pa.array([sum(s[2] == k for s in base) for base, _ in found], pa.int64()) for k in KINDS]
             digests = [hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found]

@@ -253,7 +253,7 @@ def test_near_groups(spark, empty):
 def test_base_spans():
     t = "é a.b+c@x-y.example.com, 1.2.3.4 1.2.3.256 4111 1111 1111 1111 4111111111111112 +1 (017) 555-7713 +12 34"
     got = [(k, t[a:b]) for a, b, k in pii.base_spans(t)]
-    assert got == [("email", "a.b+c@x-y.example.com"), ("ip", "1.2.3.4"), ("phone", "+1 (017) 555-7713")] or ("card", "4111 1111 1111 1111") in got
+    assert got == [("email", "a.b+c@x-y.example.com"), ("ip", "1.2.3.4"), ("phone", "+1 (017) 555-7713")]  # the digits from 256 on are one run of the card pattern, too long for a card
     for a, b, k in pii.base_spans(t):
         assert pii.BASE[k].fullmatch(t[a:b])
 
