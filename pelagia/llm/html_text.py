@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -10,14 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.llm.common import slices
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 #: Never part of an article's text.
 DROPPED = frozenset(
-    "head title script style noscript template iframe object svg math canvas audio video nav header footer aside form button select option textarea input dialog menu figcaption".split()
-) - {"figcaption"}
+    "head title script style noscript template iframe object svg math canvas audio video nav header footer aside form button select option textarea input dialog menu".split()
+)
 LANDMARK = frozenset(["article", "main"])
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Words of class and id that name page furniture.
@@ -37,6 +40,8 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
+#: Of regions beside one another those are kept that have so much of the largest one's text.
+SHARE = 0.3
 
 
 class PageLines(HTMLParser):
@@ -46,6 +51,7 @@ class PageLines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.by_name, self.kept = by_name, kept
         self.stack: list[tuple[str, bool, int, bool, bool, int, bool]] = []  # tag, and what was before it: dropped, region, in comments, dropped but for names, named element, in a link
+        self.open: Counter = Counter()  # tags on the stack
         self.seen = 0  # start tags
         self.hard, self.named, self.link = False, -1, False
         #: Per outermost element dropped by its name: characters outside links, pieces of prose, whether it has a wrapper's name.
@@ -73,7 +79,7 @@ class PageLines(HTMLParser):
                 self.flush()
             return
         closes = CLOSES.get(tag)
-        if closes and any(s[0] in closes for s in self.stack):
+        if closes and any(self.open[c] for c in closes):
             self._close_open(closes)
         if tag not in INLINE:
             self.flush()
@@ -103,6 +109,7 @@ class PageLines(HTMLParser):
         if landmark or (tag in ("div", "section", "body", "td", "center") and not dropped):
             self.regions.append((self.region, landmark))
             region = len(self.regions) - 1
+        self.open[tag] += 1
         self.stack.append((tag, self.dropped, self.region, self.comments, self.hard, self.named, self.link))
         self.dropped, self.region, self.comments, self.hard, self.named, self.link = dropped, region, comments, hard, named, self.link or tag == "a"
 
@@ -119,16 +126,19 @@ class PageLines(HTMLParser):
 
     def _pop_to(self, i: int) -> None:
         _, self.dropped, self.region, self.comments, self.hard, self.named, self.link = self.stack[i]
+        for frame in self.stack[i:]:
+            self.open[frame[0]] -= 1
         del self.stack[i:]
 
     def handle_endtag(self, tag):
         self.tags += 1
         if tag not in INLINE:
             self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._pop_to(i)
-                return
+        if self.open[tag]:
+            i = len(self.stack) - 1
+            while self.stack[i][0] != tag:
+                i -= 1
+            self._pop_to(i)
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -187,16 +197,18 @@ def main_text(html: str) -> str:
     # Two clusters are found in prose alone too: lines with half the upper one's mean ratio belong to it.
     chosen = upper | (values >= 0.5 * values[upper].mean())
     regions = parser.regions
-    # Characters of chosen lines inside each region, its inner regions included.
-    mass = [0] * len(regions)
+    own, deep = [0] * len(regions), [0] * len(regions)  # characters of chosen lines in each region itself, and with its inner regions
     for (text, _, region), yes in zip(lines, chosen.tolist()):
-        while yes and region >= 0:
-            mass[region] += len(text)
-            region = regions[region][0]
-    inside, outer = _landmarks(regions, mass)
+        own[region] += len(text) * yes
+    for i in range(len(regions) - 1, -1, -1):  # inner regions come after those around them
+        deep[i] += own[i]
+        if (up := regions[i][0]) >= 0:
+            deep[up] += deep[i]
+    inside, outer = _landmarks(regions, deep)
     if not inside:
-        inside = {_densest(regions, mass)}
-    return " ".join(t for (t, _, r), yes in zip(lines, chosen.tolist()) if _within(regions, r, inside) or (yes and outer and _within(regions, r, outer)))
+        inside = _densest(regions, own, deep)
+    within, around = _spread(regions, inside), _spread(regions, outer)
+    return " ".join(t for (t, _, r), yes in zip(lines, chosen.tolist()) if within[r] or (yes and around[r]))
 
 
 def _read(html: str, by_name: bool, kept: frozenset[int] = frozenset()) -> PageLines:
@@ -209,36 +221,49 @@ def _read(html: str, by_name: bool, kept: frozenset[int] = frozenset()) -> PageL
 
 def _landmarks(regions, mass) -> tuple[set[int], set[int]]:
     """The innermost landmarks with most of their content, of which all lines count, and those around them, of which the chosen lines count."""
-    marked = [i for i, (_, landmark) in enumerate(regions) if landmark and mass[i]]
-    if not marked:
+    marked = [landmark and mass[i] > 0 for i, (_, landmark) in enumerate(regions)]
+    if not any(marked):
         return {i for i, (_, landmark) in enumerate(regions) if landmark}, set()
-    holders = set()
-    for i in marked:
+    inner = [0] * len(regions)  # mass of the largest landmark inside
+    for i in range(len(regions) - 1, 0, -1):
         up = regions[i][0]
-        while up >= 0:
-            if up in marked and mass[i] >= 0.5 * mass[up]:
-                holders.add(up)
-            up = regions[up][0]
-    return set(marked) - holders, holders
-
-
-def _densest(regions, mass) -> int:
-    """The smallest region that holds all of the chosen text."""
-    best = 0
-    while mass[0]:
-        inner = [i for i, (parent, _) in enumerate(regions) if parent == best and mass[i] == mass[0]]
-        if not inner:
+        if up >= 0:
+            inner[up] = max(inner[up], inner[i], mass[i] if marked[i] else 0)
+    holders = {i for i, yes in enumerate(marked) if yes and inner[i] >= 0.5 * mass[i]}
+    return {i for i, yes in enumerate(marked) if yes} - holders, holders
+
+
+def _densest(regions, own, deep) -> set[int]:
+    """The regions that hold the text: from the page inwards, those with SHARE of the chosen characters of the largest beside them.
+
+    It goes into a region as long as one alone holds the text there; several beside one
+    another, or text that stands in a region itself, are the article's parts, and more than
+    half of the page's chosen text is never left behind.
+    """
+    inner: list[list[int]] = [[] for _ in regions]
+    for i, (up, _) in enumerate(regions):
+        if up >= 0 and deep[i]:
+            inner[up].append(i)
+    at = 0
+    while inner[at]:
+        most = max(deep[i] for i in inner[at])
+        if own[at] >= SHARE * most:
+            break
+        kept = [i for i in inner[at] if deep[i] >= SHARE * most]
+        if len(kept) > 1:
+            return set(kept)
+        if 2 * deep[kept[0]] < deep[0]:
             break
-        best = inner[0]
-    return best
+        at = kept[0]
+    return {at}
 
 
-def _within(regions, region: int, wanted: set[int]) -> bool:
-    while region >= 0:
-        if region in wanted:
-            return True
-        region = regions[region][0]
-    return False
+def _spread(regions, wanted: set[int]) -> list[bool]:
+    """Whether each region is one of the wanted ones or inside one."""
+    out: list[bool] = []
+    for i, (up, _) in enumerate(regions):
+        out.append(i in wanted or (up >= 0 and out[up]))
+    return out
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -247,8 +272,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     The parser's events give one line per block.  Lines inside page furniture (by tag,
     role, class or id) never count; the others are weighed by their smoothed text-to-tag
     ratio, a threshold parts them in two clusters, and the region that holds the upper one
-    is the article: its landmarks (article, main) where there are any, else the smallest
-    block with all of it.  All lines of that region are kept, short ones too; of a landmark
+    is the article: its landmarks (article, main) where there are any, else the blocks
+    found by going inwards to where the chosen text is.  All lines of that region are kept, short ones too; of a landmark
     around others those of the upper cluster.
 
     Edge cases: a null or empty page, and one with no text, give an empty text; broken
@@ -260,7 +285,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     )
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
