@@ -109,8 +109,8 @@ def forest_roots(parents: DataFrame, node: str, parent: str) -> DataFrame:
             return reached.select("node", "root")
 
 
-#: Bits of the filter that tasks hold, at least and at most: 32 per hash or more between these bounds.
-FILTER_BITS, MOST_FILTER_BITS = 1 << 16, 1 << 26
+#: Bits of the filter that tasks hold, at least and at most: 16 per hash or more between these bounds.
+FILTER_BITS, MOST_FILTER_BITS = 1 << 16, 1 << 24
 #: Words whose hashes a worker keeps; beyond that many it starts anew.
 CACHE_WORDS = 150_000
 
@@ -161,15 +161,15 @@ def filter_of(df: DataFrame, column: str) -> Filter:
     Bits are combined by Spark; at most MOST_FILTER_BITS / 64 numbers reach the driver.  A
     filter of that size that is overfull lets more pass, and never drops a hash it was given.
     """
-    bits = min(MOST_FILTER_BITS, max(FILTER_BITS, 1 << (32 * df.count()).bit_length()))
+    bits = min(MOST_FILTER_BITS, max(FILTER_BITS, 1 << (16 * df.count()).bit_length()))
     h = F.col(column)
     bit = F.explode(F.array(h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))))
     rows = (
         df.select(bit.alias("bit"))
         .groupBy(F.shiftright("bit", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     words = np.zeros(bits // 64, np.int64)
-    words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return Filter(words.view(np.uint64))
