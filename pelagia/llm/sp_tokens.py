@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,60 +20,13 @@ SPACE = "▁"
 CACHE_CHARS = 2_000_000
 #: Characters of the texts that are encoded at once.
 SLICE_CHARS = 1_000_000
-#: Pairs of symbols whose merge a worker remembers; beyond that many it starts anew.
-CACHE_PAIRS = 400_000
+#: Merges that all words of a batch take side by side, one a round; a word with more goes on alone.
+ROUNDS = 32
 _RUNS = re.compile(r" +[^ ]*")
-
-
-class _Merges(dict):
-    """Symbol on the right -> the symbol that the two merge into, or NONE; looked up when first asked for."""
-
-    def __init__(self, symbols: Symbols, left: str):
-        super().__init__()
-        self.symbols, self.left = symbols, left
-
-    def __missing__(self, right: int) -> int:
-        piece = self.left + self.symbols.strings[right]
-        found = self[right] = self.symbols.number(piece) if piece in self.symbols.rank else NONE
-        self.symbols.pairs += 1
-        return found
-
-
-class Symbols:
-    """Symbols by number: their strings, their place in the agenda, their ids and what they merge into."""
-
-    def __init__(self, rank: dict[str, int], ids: Callable[[str], list[int]], kind: type):
-        self.rank, self.ids, self.kind = rank, ids, kind
-        self.numbers: dict[str, int] = {}
-        self.strings: list[str] = []
-        self.place: list[int] = []
-        self.encoded: list[bytes] = []
-        self.merges: list[dict[int, int]] = []
-        self.pairs = 0
-        for _ in range(NONE + 1):  # nothing is left of, or right of, NONE that it would merge with
-            self.strings.append("\0\0")
-            self.place.append(-1)
-            self.encoded.append(b"")
-            self.merges.append(_Never())
-
-    def number(self, string: str) -> int:
-        found = self.numbers.get(string)
-        if found is None:
-            found = self.numbers[string] = len(self.strings)
-            self.strings.append(string)
-            self.place.append(self.rank.get(string, -1) << 32)
-            self.encoded.append(np.array(self.ids(string), self.kind).tobytes())
-            self.merges.append(_Merges(self, string))
-        return found
-
-
-class _Never(dict):
-    def __missing__(self, right: int) -> int:
-        return NONE
-
-
-#: The symbol that stands for a place whose symbol has merged into the one before, and behind the last.
-NONE = 0
+#: A pair of symbols as one number is left << SHIFT | right; symbols are below 1 << SHIFT.
+SHIFT = 22
+#: Place in the agenda of a pair that doesn't merge.
+NEVER = 1 << 30
 
 
 class MergeEncoder:
@@ -83,7 +36,12 @@ class MergeEncoder:
     an agenda holds the adjacent pairs of symbols whose piece is in the vocabulary, the
     one with the highest score merges first, the leftmost of equals.  No piece holds a
     space mark after another character, so merges never cross from one word into the next
-    and words are encoded one at a time and remembered.
+    and words are encoded by themselves and remembered.
+
+    The agendas of a batch's new words lie side by side in arrays; each round takes the
+    first pair of every word, merges it and enters the pairs that this makes.  A word with
+    more than ROUNDS merges goes on from there with its agenda as a heap, so the work is
+    linear in its length but for the heap's logarithm.
     """
 
     def __init__(self, path: str):
@@ -101,13 +59,27 @@ class MergeEncoder:
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece crosses words; this encoder splits at spaces")
         ranks = {s: r for r, s in enumerate(sorted(set(scores.values()), reverse=True))}
-        self.rank = {p: ranks[s] for p, s in scores.items()}
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown, self.end = self.library.unk_id(), self.library.eos_id()
         self.byte_fallback = all(self.library.is_byte(i) for i in self.bytes)
         self.kind = np.uint16 if n <= 1 << 16 else np.uint32
         self.text_of = list(map(str, range(n)))
-        self.symbols = Symbols(self.rank, self.piece_ids, self.kind)
+        # Symbols: the pieces, the characters that they are made of, and any other character behind these by its code point.
+        self.strings = [*self.pieces, *sorted({c for p in self.pieces for c in p} - self.pieces.keys())]
+        self.others = len(self.strings)
+        numbers = {s: k for k, s in enumerate(self.strings)}
+        self.symbol = np.arange(self.others, self.others + 0x110000, dtype=np.int64)
+        for c in filter(lambda c: len(c) == 1, self.strings):
+            self.symbol[ord(c)] = numbers[c]
+        self.into = {
+            numbers[p[:k]] << SHIFT | numbers[p[k:]]: numbers[p] for p in self.pieces for k in range(1, len(p)) if p[:k] in numbers and p[k:] in numbers
+        }
+        self.place = [ranks[scores[p]] for p in self.pieces]
+        self.ids = np.array(list(self.pieces.values()), self.kind)
+        keys = sorted(self.into)
+        self.pairs = np.array([*keys, 1 << 62], np.int64)
+        self.merged = np.array([*(self.into[k] for k in keys), 0], np.int64)
+        self.places = np.array([*(self.place[self.into[k]] for k in keys), NEVER], np.int64)
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.kept = 0
@@ -117,34 +89,88 @@ class MergeEncoder:
         found = self.pieces.get(piece)
         return [found] if found is not None else [self.bytes[b] for b in piece.encode()] if self.byte_fallback else [self.unknown]
 
-    def merge(self, word: str) -> list[int]:
-        """The symbols of a word after all merges; NONE where one has merged into the symbol before."""
-        symbols = self.symbols
-        numbers, merges, place = symbols.numbers, symbols.merges, symbols.place
-        row = [numbers[c] if c in numbers else symbols.number(c) for c in word]
-        agenda = [place[m] + i for i, m in enumerate([merges[a][b] for a, b in zip(row, row[1:])]) if m]
-        if not agenda:
-            return row
+    def _encoded(self, row: list[int]) -> bytes:
+        """The ids of symbols, some of which may be no pieces."""
+        string = lambda s: self.strings[s] if s < self.others else chr(s - self.others)
+        return np.array([i for s in row for i in self.piece_ids(string(s))], self.kind).tobytes()
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the agenda, and symbol that the two merge into, of pairs of symbols."""
+        key = left << SHIFT | right
+        at = np.searchsorted(self.pairs, key)
+        return np.where(self.pairs[at] == key, self.places[at], NEVER), self.merged[at]
+
+    def merge_alone(self, row: list[int]) -> list[int]:
+        """The symbols of one word after all merges, by an agenda that is a heap."""
+        into, place, n = self.into, self.place, len(row)
+        agenda = [place[m] << 32 | i for i in range(n - 1) if (m := into.get(row[i] << SHIFT | row[i + 1])) is not None]
         heapify(agenda)
-        n = len(row)
-        row.append(NONE)
-        after, before = list(range(1, n + 2)), list(range(-1, n + 1))
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while agenda:
             top = heappop(agenda)
             left = top & 0xFFFFFFFF
-            right = after[left]
-            new = merges[row[left]][row[right]]
-            if not new or place[new] + left != top:
+            if row[left] is None or (right := after[left]) == n:
+                continue
+            new = into.get(row[left] << SHIFT | row[right])
+            if new is None or place[new] << 32 | left != top:
                 continue  # one of the two has changed meanwhile
-            row[left], row[right] = new, NONE
-            after[left] = right = after[right] if right < n else n
-            before[right] = left
-            if m := merges[new][row[right]]:
-                heappush(agenda, place[m] + left)
+            row[left], row[right] = new, None
+            after[left] = right = after[right]
+            if right < n:
+                before[right] = left
+                if (m := into.get(new << SHIFT | row[right])) is not None:
+                    heappush(agenda, place[m] << 32 | left)
             back = before[left]
-            if back >= 0 and (m := merges[row[back]][new]):
-                heappush(agenda, place[m] + back)
-        return row
+            if back >= 0 and (m := into.get(row[back] << SHIFT | new)) is not None:
+                heappush(agenda, place[m] << 32 | back)
+        return [s for s in row if s is not None]
+
+    def merge(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, none of them empty, after all merges."""
+        out: list[bytes] = [b""] * len(words)
+        word, size = np.arange(len(words)), np.array(list(map(len, words)), np.int64)
+        row = self.symbol[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        place, new = np.full(len(row), NEVER, np.int64), np.zeros(len(row), np.int64)
+        place[:-1], new[:-1] = self._pair(row[:-1], row[1:])
+        place[np.cumsum(size) - 1] = NEVER  # the last of a word has no right neighbour
+        for k in range(ROUNDS + 1):
+            if not len(word):
+                break
+            first = np.cumsum(size) - size
+            top = np.minimum.reduceat(place << 32 | np.arange(len(row)), first)
+            left = top & 0xFFFFFFFF
+            more = place[left] != NEVER
+            if k == ROUNDS and more.any():
+                for w, a, n in zip(word[more].tolist(), first[more].tolist(), size[more].tolist()):
+                    out[w] = self._encoded(self.merge_alone(row[a : a + n].tolist()))
+            self._put(out, word[~more], row[np.repeat(~more, size)], size[~more])
+            if k == ROUNDS:
+                break
+            left, stays = left[more], np.repeat(more, size)
+            row[left] = new[left]
+            last = first[more] + size[more] - 1
+            ends, starts = left + 1 == last, left == first[more]
+            stays[left + 1] = False
+            row, place, new = row[stays], place[stays], new[stays]
+            left = (np.cumsum(stays) - 1)[left]
+            word, size = word[more], size[more] - 1
+            place[left[ends]] = NEVER
+            for at in (left[~ends], left[~starts] - 1):
+                place[at], new[at] = self._pair(row[at], row[at + 1])
+        return out
+
+    def _put(self, out: list[bytes], word: np.ndarray, row: np.ndarray, size: np.ndarray) -> None:
+        """Enters the ids of finished words."""
+        if not len(word):
+            return
+        known = row < len(self.ids)
+        width, blob = np.dtype(self.kind).itemsize, self.ids[np.where(known, row, 0)].tobytes()
+        end = np.cumsum(size)
+        for w, a, b in zip(word.tolist(), ((end - size) * width).tolist(), (end * width).tolist()):
+            out[w] = blob[a:b]
+        first = end - size
+        for k in np.flatnonzero(~np.logical_and.reduceat(known, first)).tolist():
+            out[int(word[k])] = self._encoded(row[first[k] : end[k]].tolist())
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -157,13 +183,14 @@ class MergeEncoder:
         return [w[1:].replace(" ", SPACE) for w in _RUNS.findall(" " + text)] if "" in parts else parts
 
     def _learn(self, new: list[str], check: bool) -> None:
-        merge, encoded = self.merge, self.symbols.encoded
-        found = [b"".join([encoded[s] for s in merge(SPACE + w)]) for w in new]
-        if check:  # but the mark alone, which the library gives for the space at a text's end only
-            theirs = self.library.encode(new, num_threads=1)
-            for w, a, b in zip(new, found, theirs):
-                if w and a != np.array(b, self.kind).tobytes():
-                    raise ValueError(f"the library encodes {w[:80]!r} otherwise")
+        found = self.merge([SPACE + w for w in new]) if new else []
+        if check and new:  # but the mark alone, which the library gives for the space at a text's end only
+            own = [a for w, a in zip(new, found) if w]
+            theirs = self.library.encode([w for w in new if w], num_threads=1)
+            width, flat = np.dtype(self.kind).itemsize, np.fromiter(chain.from_iterable(theirs), self.kind)
+            if [len(a) // width for a in own] != list(map(len, theirs)) or flat.tobytes() != b"".join(own):
+                wrong = next(w for w, a, b in zip(filter(None, new), own, theirs) if a != np.array(b, self.kind).tobytes())
+                raise ValueError(f"the library encodes {wrong[:80]!r} otherwise")
         self.words.update(zip(new, found))
         self.kept += sum(map(len, new))
 
@@ -172,8 +199,6 @@ class MergeEncoder:
         split = list(map(self.split, texts))
         if self.kept > CACHE_CHARS:  # what is still in use comes back from the older half
             self.older, self.words, self.kept = self.words, {}, 0
-        if self.symbols.pairs > CACHE_PAIRS:
-            self.symbols = Symbols(self.rank, self.piece_ids, self.kind)
         new = set().union(*split) - self.words.keys()
         back = new & self.older.keys()
         for w in back:
