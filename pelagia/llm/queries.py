@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import decontam, exact_dedup, html_text, line_dedup, pii, quotes, simhash, sp_tokens, toxicity, warc
+from pelagia.llm import decontam, exact_dedup, hard_negatives, html_text, line_dedup, pii, quotes, simhash, sp_tokens, toxicity, warc
 from pelagia.sources.scratch import scratch_path
 
 
@@ -63,6 +63,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100, scale=256)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -74,6 +80,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -84,6 +91,15 @@ _BASE32 = "list_reduce(list_transform(range(0, 8), lambda g: " + " || ".join(
 ) + "), lambda a, b: a || b)"
 
 ORACLE = {
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+              FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        n AS (SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS k
+              FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5""",
     "op7_warc": f"""
         SELECT page_id, strlen(t) AS payload_bytes, {_BASE32} AS payload_digest,
                CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
