@@ -7,6 +7,7 @@ import ctypes
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,19 @@ def slices(batches, rows: int = 512):
             yield batch.slice(at, rows)
 
 
+def text_chunks(batches, *keys: str, size: int, column: str = "text"):
+    """(values of each key..., texts in UTF-8) of consecutive rows that have about `size` bytes of text, one row at least."""
+    for batch in batches:
+        texts = batch.column(column).cast(pa.binary())
+        columns = [batch.column(k) for k in keys]
+        ends = np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield *[c.slice(at, to - at).to_pylist() for c in columns], texts.slice(at, to - at).to_pylist()
+            at = to
+
+
 def written(df: DataFrame, name: str, used: list[str] | None = None) -> DataFrame:
     """The rows written to the shared folder and read again: cuts lineage and survives lost executors.
 
@@ -155,13 +169,13 @@ class Filter:
         return (hit & (self.words[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)))) == one
 
 
-def filter_of(df: DataFrame, column: str) -> Filter:
-    """The filter of all 64-bit hashes in a column, sized by their number up to MOST_FILTER_BITS.
+def filter_of(df: DataFrame, column: str, most: int = MOST_FILTER_BITS) -> Filter:
+    """The filter of all 64-bit hashes in a column, sized by their number up to `most` bits.
 
-    Bits are combined by Spark; at most MOST_FILTER_BITS / 64 numbers reach the driver.  A
+    Bits are combined by Spark; at most `most` / 64 numbers reach the driver.  A
     filter of that size that is overfull lets more pass, and never drops a hash it was given.
     """
-    bits = min(MOST_FILTER_BITS, max(FILTER_BITS, 1 << (16 * df.count()).bit_length()))
+    bits = min(most, max(FILTER_BITS, 1 << (16 * df.count()).bit_length()))
     h = F.col(column)
     bit = F.explode(F.array(h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))))
     rows = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import decontam, exact_dedup, hard_negatives, html_text, line_dedup, pii, quotes, simhash, sp_tokens, toxicity, warc
+from pelagia.llm import decontam, exact_dedup, hard_negatives, html_text, line_dedup, phrases, pii, quotes, simhash, sp_tokens, toxicity, warc
 from pelagia.sources.scratch import scratch_path
 
 
@@ -69,6 +69,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100, scale=256)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), min_count=10, max_words=3, inside_share=50, top=2000)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -81,6 +85,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -100,6 +105,22 @@ ORACLE = {
         n AS (SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS k
               FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
         SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5""",
+    "op13_collocations": f"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_NORM}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM d),
+        g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 4) t(k)),
+        f AS (SELECT lang, k AS words, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+        c AS (SELECT lang, words, phrase, a, string_split(phrase, ' ') AS p FROM f WHERE words > 1 AND a >= 10),
+        k AS (SELECT lang, words, phrase, a, k, array_to_string(p[1:k], ' ') AS x, array_to_string(p[k + 1:], ' ') AS y FROM c, range(1, 3) t(k) WHERE k < words),
+        s AS (SELECT k.*, l.a AS l, r.a AS r, (1000000::HUGEINT * k.a * k.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+              FROM k JOIN f l ON l.lang = k.lang AND l.phrase = k.x AND l.words = k.k JOIN f r ON r.lang = k.lang AND r.phrase = k.y AND r.words = k.words - k.k),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        i AS (SELECT lang, p[1:2] AS q, a FROM c WHERE words = 3 UNION ALL SELECT lang, p[2:3], a FROM c WHERE words = 3),
+        h AS (SELECT lang, array_to_string(q, ' ') AS phrase, max(a) AS longer FROM i GROUP BY ALL),
+        o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+              FROM b LEFT JOIN h USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000""",
     "op7_warc": f"""
         SELECT page_id, strlen(t) AS payload_bytes, {_BASE32} AS payload_digest,
                CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
