@@ -30,7 +30,7 @@ def brute(rows, least, most, share, top):
     return sorted((lang, i, p.decode(), -a, l, r, n[lang], -s) for lang, ps in out.items() for i, (s, a, p, l, r) in enumerate(sorted(ps)[:top], 1))
 
 
-def rows_of(seed, n=60):
+def rows_of(seed, n=250):
     r = random.Random(seed)
     words = ["a", "B", "b", "c", "é", "ß", "中文", "d e", "x\x00y", "z"]
     seps = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r\n", "\x0b", "; ", "!?", "\x85", " "]
@@ -41,7 +41,7 @@ def rows_of(seed, n=60):
 @pytest.mark.parametrize("least, most, shards", [(10, 3, 3), (4, 4, 2), (7, 2, 1), (1, 3, 5)])
 def test_collocations_equal_brute_force(spark, monkeypatch, least, most, shards):
     monkeypatch.setattr(phrases, "CHUNK", 50 if shards == 2 else 4000)
-    rows = rows_of(least)
+    rows = rows_of(least) + [(9, "x\x00y Q. x\x00y q", "en", "q", 1)] * 6
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
     got = sorted(tuple(r) for r in phrases.collocations(df, least, most, 50, 40, shards).collect())
     assert got == brute(rows, least, most, 50, 40) and got
