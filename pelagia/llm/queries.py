@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import decontam, exact_dedup, hard_negatives, html_text, line_dedup, phrases, pii, quotes, simhash, sp_tokens, toxicity, warc
+from pelagia.llm import decontam, exact_dedup, hard_negatives, html_text, line_dedup, phrases, pii, quotes, simhash, sp_tokens, substrings, toxicity, warc
 from pelagia.sources.scratch import scratch_path
 
 
@@ -69,6 +69,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100, scale=256)
 
 
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeated_passages(table(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), min_count=10, max_words=3, inside_share=50, top=2000)
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_repeated_passages": op12_repeated_passages,
     "op13_collocations": op13_collocations,
 }
 
@@ -105,6 +111,14 @@ ORACLE = {
         n AS (SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS k
               FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
         SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5""",
+    "op12_repeated_passages": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        x AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+        r AS (SELECT s FROM x GROUP BY s HAVING count(*) > 1),
+        g AS (SELECT doc_id, unnest(range(i, i + 35)) AS pos FROM x SEMI JOIN r USING (s)),
+        p AS (SELECT doc_id, pos, w[pos] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM d)),
+        k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t FROM p ANTI JOIN g USING (doc_id, pos) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op13_collocations": f"""
         WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_NORM}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
         w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM d),
