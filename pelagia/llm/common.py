@@ -156,6 +156,36 @@ class Hasher:
         return np.array(got, np.uint64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of a base modulo 2^64, kept for the next call."""
+    if len(_POWERS.get(base, ())) < n:
+        out = np.full(n, base, np.uint64)
+        out[:1] = 1
+        _POWERS[base] = np.cumprod(out, dtype=np.uint64)
+    return _POWERS[base][:n]
+
+
+#: Odd bases of polynomial hashes modulo 2^64: fixed values without meaning.
+BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+
+
+def span_hashes(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASES[0]) -> np.ndarray:
+    """64-bit hashes of the spans of an array, by running sums: in time that does not depend on their lengths."""
+    sums = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(x * powers(base, len(x)), dtype=np.uint64, out=sums[1:])
+    back = powers(pow(base, -1, 1 << 64), len(x) + 1)[starts]
+    return mix64((sums[ends] - sums[starts]) * back + (ends - starts).astype(np.uint64))
+
+
+def word_spans(data: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the runs of bytes that `letters` (256 flags) has."""
+    edge = np.diff(letters[data].astype(np.int8), prepend=0, append=0)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 class Filter:
     """A Bloom filter with two bits per hash; its size is a power of two."""
 

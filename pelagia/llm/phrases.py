@@ -9,53 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import CACHE_WORDS, filter_of, mix64, text_of, text_chunks, trim, written
+from pelagia.llm.common import BASES, filter_of, mix64, span_hashes, text_chunks, text_of, trim, word_spans, written
 from pelagia.sources.scratch import delete_path
 
 #: What ends a piece becomes a full stop, which no word holds afterwards; A-Z is lower-cased.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(_ENDS + bytes(range(65, 91)), b"." * len(_ENDS) + bytes(range(97, 123)))
-_ODD = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_LETTERS = np.array([b not in b". \t" for b in range(256)])
 #: Bits at most of the filter of candidates; it is overfull beyond a few million of them and then lets more pass.
 FILTER_BITS = 1 << 26
 #: Bytes of text that a task takes at once.
-CHUNK = 4_000_000
-
-
-class Words:
-    """Numbers and 64-bit hashes of words; numbers are exact within a chunk."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-        self.hashes = np.zeros(1 << 12, np.uint64)
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        from xxhash import xxh64_intdigest
-
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        got = list(map(known.get, words))
-        if None in got:
-            for w in [w for w, g in zip(words, got) if g is None]:
-                if w not in known:
-                    at = len(known)
-                    if at == len(self.hashes):
-                        self.hashes = np.concatenate([self.hashes, np.zeros(at, np.uint64)])
-                    known[w], self.hashes[at] = at, xxh64_intdigest(w)
-            got = list(map(known.__getitem__, words))
-        return np.array(got, np.int64)
-
-
-def _split(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """The words of the texts, a full stop between pieces and after each text, and how many each text has with these."""
-    found, counts = [], []
-    for t in texts:
-        w = t.translate(_PLAIN).replace(b".", b" . ").split()  # on bytes, white space is ASCII only
-        w.append(b".")
-        found += w
-        counts.append(len(w))
-    return found, np.array(counts, np.int64)
+CHUNK = 1_500_000
 
 
 def _chunks(batches, *keys: str):
@@ -71,23 +35,29 @@ def _chunks(batches, *keys: str):
             at = to
 
 
-def _runs(ids: np.ndarray, words: Words, most: int, salt: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, starts, hashes) of the runs of 1 to `most` words that no full stop interrupts; a hash is of words and salt."""
-    stop = words.known.get(b".", -1)
-    h, fine = words.hashes[ids], ids != stop
-    total, inside = salt.copy(), fine.copy()
-    for n in range(1, most + 1):
-        if n > 1:
-            total, inside = total[:-1], inside[:-1] & fine[n - 1 :]
-        total = total + h[n - 1 :] * _ODD[n - 1]
-        at = np.flatnonzero(inside)
-        yield n, at, mix64(total[at] + np.uint64(n))
+class _Words:
+    """The words of a chunk of texts in plain form: where they are, the piece and the text of each."""
+
+    def __init__(self, texts: list[bytes]):
+        self.joined = b"\n".join(texts).translate(_PLAIN)
+        self.data = np.frombuffer(self.joined, np.uint8)
+        self.starts, self.ends = word_spans(self.data, _LETTERS)
+        self.piece = np.cumsum(self.data == ord("."))[self.starts]
+        self.text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), self.starts, "right")
 
+    def runs(self, most: int, langs: list[str], base: int = BASES[0]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, first words, hashes) of the runs of 1 to `most` words of a piece; a hash is of words and language."""
+        from xxhash import xxh64_intdigest
 
-def _salts(langs: list[str], counts: np.ndarray) -> np.ndarray:
-    from xxhash import xxh64_intdigest
+        h = span_hashes(self.data, self.starts, self.ends, base)
+        salts = np.array([xxh64_intdigest(x.encode(), 7) for x in langs], np.uint64)[self.text]
+        for n in range(1, most + 1):
+            at = np.flatnonzero(self.piece[: len(h) - n + 1] == self.piece[n - 1 :]) if len(h) >= n else np.zeros(0, np.int64)
+            yield n, at, mix64(span_hashes(h, at, at + n, base) ^ salts[at])
 
-    return np.repeat(np.array([xxh64_intdigest(x.encode(), 7) for x in langs], np.uint64), counts)
+    def phrases(self, at: np.ndarray, n: int) -> list[bytes]:
+        spans = [zip(self.starts[at + k].tolist(), self.ends[at + k].tolist()) for k in range(n)]
+        return [b" ".join([self.joined[a:b] for a, b in words]) for words in zip(*spans)]
 
 
 def phrase_counts(docs: DataFrame, min_count: int = 10, max_words: int = 3, shards: int = 3, text_col: str = "text", lang_col: str = "lang", used: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -107,46 +77,42 @@ def phrase_counts(docs: DataFrame, min_count: int = 10, max_words: int = 3, shar
     bits = np.uint64((1 << max(1, (shards - 1).bit_length())) - 1)
 
     def mine(batches):
-        words = Words()
         for langs, shard, texts in _chunks(batches, "lang", "shard"):
-            found, counts = _split(texts)
-            ids = words(found)
-            part = np.repeat(np.array(shard, np.uint64), counts)
-            for _, at, h in _runs(ids, words, max_words, _salts(langs, counts)):
+            words = _Words(texts)
+            part = np.array(shard, np.uint64)[words.text]
+            for _, at, h in words.runs(max_words, langs):
                 key, n = np.unique((h & ~bits) | part[at], return_counts=True)
                 for a in range(0, len(key), 1 << 16):
                     yield pa.RecordBatch.from_arrays([pa.array(key[a : a + (1 << 16)].view(np.int64), pa.int64()), pa.array(n[a : a + (1 << 16)], pa.int64())], names=["key", "n"])
-        words.known.clear()
         trim()
 
     share = {r["shard"]: r["n"] for r in dealt.groupBy("shard").agg(F.sum(F.length("text") + 1).alias("n")).collect()}  # a number per shard
     whole = sum(share.values()) or 1
     least = F.element_at(F.array(*[F.lit(-(-min_count * share.get(s, 0) // whole) or 1).cast("long") for s in range(shards)]), (F.col("key").bitwiseAND(F.lit(int(bits))) + 1).cast("int"))
-    local = dealt.select("lang", "shard", "text").mapInArrow(mine, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    # Each chunk's counts are combined already; nearly all keys are then rare, and combining them again before the shuffle would only spill.
+    local = dealt.select("lang", "shard", "text").mapInArrow(mine, "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
     candidates = written(local.where(F.col("n") >= least).select(F.col("key").bitwiseAND(F.lit(~int(bits))).alias("h")), "candidates", used)
     some = docs.sparkSession.sparkContext.broadcast(filter_of(candidates, "h", FILTER_BITS))
 
+    def counted_batch(names, lang, phrase, n, f):
+        columns = pa.array(names, pa.string()).take(pa.array(lang, pa.int32())), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(np.full(len(f), n), pa.int32()), pa.array(f, pa.int64())
+        return pa.RecordBatch.from_arrays(list(columns), names=["lang", "phrase", "words", "f"])
+
     def count(batches):
-        words = Words()
         for langs, _, texts in _chunks(batches, "lang", "lang"):
-            found, counts = _split(texts)
-            ids = words(found)
-            names = sorted(set(langs))
-            lang = np.repeat(np.array([names.index(x) for x in langs], np.int64), counts)
-            stop = words.known.get(b".", -1)
-            totals = np.bincount(lang[ids != stop], minlength=len(names))
-            out = [(names[k], None, 0, int(n)) for k, n in enumerate(totals) if n]
-            for n, at, h in _runs(ids, words, max_words, _salts(langs, counts)):
-                at = at[some.value.holds(h & ~bits)]
-                code = lang[at]
-                for k in range(n):  # numbers of prefixes of the runs that are left, so that runs are told apart exactly
-                    code = np.unique((code << 32) | ids[at + k], return_inverse=True)[1]
-                _, first, times = np.unique(code, return_index=True, return_counts=True)
-                out += [(names[lang[a]], b" ".join(found[a : a + n]), n, t) for a, t in zip(at[first].tolist(), times.tolist())]
-            for a in range(0, len(out), 1 << 15):
-                l, p, n, f = zip(*out[a : a + (1 << 15)])
-                yield pa.RecordBatch.from_arrays([pa.array(l, pa.string()), pa.array(p, pa.binary()).cast(pa.string()), pa.array(n, pa.int32()), pa.array(f, pa.int64())], names=["lang", "phrase", "words", "f"])
-        words.known.clear()
+            words, names = _Words(texts), sorted(set(langs))
+            lang = np.array([names.index(x) for x in langs], np.int64)[words.text]
+            totals = np.bincount(lang, minlength=len(names))
+            yield counted_batch(names, range(len(names)), [None] * len(names), 0, totals)
+            for (n, at, h), (_, _, other) in zip(words.runs(max_words, langs), words.runs(max_words, langs, BASES[1])):
+                keep = some.value.holds(h & ~bits)
+                at, both = at[keep], np.stack([h[keep], other[keep]], axis=1)  # 128 bits tell the phrases of a chunk apart
+                order = np.lexsort(both.T)
+                new = np.flatnonzero(np.r_[True, (both[order[1:]] != both[order[:-1]]).any(axis=1)]) if len(at) else order
+                first, times = order[new], np.diff(np.r_[new, len(at)])
+                for a in range(0, len(first), 1 << 15):
+                    places = at[first[a : a + (1 << 15)]]
+                    yield counted_batch(names, lang[places], words.phrases(places, n), n, times[a : a + (1 << 15)])
         trim()
 
     counted = rows.mapInArrow(count, "lang string, phrase string, words int, f long").groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))

@@ -12,34 +12,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pelagia.llm.common import Filter, Hasher, filter_of, mix64, text_chunks, text_of, trim, written
+from pelagia.llm.common import Filter, filter_of, span_hashes, text_chunks, text_of, trim, word_spans, written
 from pelagia.sources.scratch import delete_path
 
-#: Windows of a shard's automaton on average; one that would hold twice as many is dealt to several.
-SHARD_WINDOWS = 10_000
+#: Windows of a shard's automaton on average; one that would hold twice as many is dealt to several.  Small ones are
+#: fast: at its root an automaton compares a letter with all first letters.
+SHARD_WINDOWS = 500
 #: Pieces of text that one automaton reads; a shard with more is copied to several tasks.
 SHARD_PIECES = 20_000
 #: Bytes of text that a task takes at once, and bits at most of the filters that tasks hold.
-CHUNK, FILTER_BITS = 4_000_000, 1 << 26
+CHUNK, FILTER_BITS = 2_000_000, 1 << 26
 #: Bits of a place in a chunk, beside which the rest of a hash decides which seed is least.
 PLACE_BITS = 28
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+#: Bytes of words: all but white space of ASCII.
+_LETTERS = np.array([b not in b" \t\n\x0b\x0c\r" for b in range(256)])
 
 
 def runs_of(h: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of the runs of `size` of the given hashes, in time that does not depend on the size."""
-    if len(h) < size:
-        return np.zeros(0, np.uint64)
-    sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * _powers(_BASE, len(h)), dtype=np.uint64, out=sums[1:])
-    return mix64((sums[size:] - sums[:-size]) * _powers(_INVERSE, len(h) - size + 1) + np.uint64(size))
+    """64-bit hashes of the runs of `size` of the given hashes."""
+    at = np.arange(max(0, len(h) - size + 1))
+    return span_hashes(h, at, at + size)
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -77,9 +69,13 @@ def pieces_of(h: np.ndarray, counts: np.ndarray, window: int, seed: int) -> tupl
     return first, last, value[first], 1 + (right[last] != left[first])
 
 
-def _words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    found = [t.split() for t in texts]  # on bytes, white space is that of ASCII
-    return [w for ws in found for w in ws], np.array([len(ws) for ws in found], np.int64)
+def _words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(the texts in one, its words' starts, ends and hashes, words of each text)."""
+    joined = b"\n".join(texts)
+    data = np.frombuffer(joined, np.uint8)
+    starts, ends = word_spans(data, _LETTERS)
+    begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return joined, starts, ends, span_hashes(data, starts, ends), np.diff(np.searchsorted(starts, begin))
 
 
 def _in(found: Filter):
@@ -96,13 +92,11 @@ def _seeds(rows: DataFrame, window: int, seed: int) -> DataFrame:
     """(h) of the seeds at more than one place of all texts."""
 
     def run(batches):
-        hasher = Hasher()
         for (texts,) in text_chunks(batches, size=CHUNK):
-            words, counts = _words(texts)
-            _, _, value, places = pieces_of(hasher(words), counts, window, seed)
+            *_, words, counts = _words(texts)
+            _, _, value, places = pieces_of(words, counts, window, seed)
             h, at = np.unique(value, return_inverse=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64), pa.int64()), pa.array(np.bincount(at, places, len(h)).astype(np.int64), pa.int64())], names=["h", "n"])
-        hasher.known.clear()
         trim()
 
     return rows.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
@@ -113,43 +107,40 @@ def _pieces(rows: DataFrame, seeds: Filter, window: int, seed: int) -> DataFrame
     seeds = rows.sparkSession.sparkContext.broadcast(seeds)
 
     def run(batches):
-        hasher, base = Hasher(), TaskContext.get().partitionId() << 40
+        base = TaskContext.get().partitionId() << 40
         for keys, texts in text_chunks(batches, "key", size=CHUNK):
-            words, counts = _words(texts)
-            first, last, value, _ = pieces_of(hasher(words), counts, window, seed)
+            joined, starts, ends, words, counts = _words(texts)
+            first, last, value, _ = pieces_of(words, counts, window, seed)
             keep = seeds.value.holds(value)
             first, last, value = first[keep], last[keep], value[keep]
-            ends = np.cumsum(counts)
-            row = np.searchsorted(ends, first, "right")
+            after = np.cumsum(counts)
+            row = np.searchsorted(after, first, "right")
             size = last - first + 1
             number = base + np.cumsum(size) - size
             base += int(size.sum())
-            out = [b" ".join(words[a : b + window]) for a, b in zip(first.tolist(), last.tolist())]
+            out = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[last + window - 1].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[r] for r in row.tolist()], pa.binary()), pa.array(first - (ends - counts)[row], pa.int64()), pa.array(value.view(np.int64), pa.int64()), pa.array(number, pa.int64()), pa.array(out, pa.binary()).cast(pa.string())],
+                [pa.array([keys[r] for r in row.tolist()], pa.binary()), pa.array(first - (after - counts)[row], pa.int64()), pa.array(value.view(np.int64), pa.int64()), pa.array(number, pa.int64()), pa.array(out, pa.binary())],
                 names=["key", "start", "seed", "base", "text"],
             )
-        hasher.known.clear()
         trim()
 
-    return rows.select("key", "text").mapInArrow(run, "key binary, start long, seed long, base long, text string")
+    return rows.select("key", "text").mapInArrow(run, "key binary, start long, seed long, base long, text binary")
 
 
 def _recurring(pieces: DataFrame, window: int) -> DataFrame:
     """(base, place) of the first of each window that recurs, by its seed and hash; the search tells whether its words do."""
 
     def run(batches):
-        hasher = Hasher()
         for seeds, bases, texts in text_chunks(batches, "seed", "base", size=CHUNK):
-            words, counts = _words(texts)
-            h = runs_of(hasher(words), window)
+            *_, words, counts = _words(texts)
+            h = runs_of(words, window)
             size = np.maximum(counts - window + 1, 0)
             within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             at = within + np.repeat(np.cumsum(counts) - counts, size)
             base = np.repeat(np.array(bases, np.int64), size)
             columns = np.repeat(np.array(seeds, np.int64), size), h[at].view(np.int64), base, base + within
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["seed", "w", "base", "place"])
-        hasher.known.clear()
         trim()
 
     found = pieces.select("seed", "base", "text").mapInArrow(run, "seed long, w long, base long, place long")
@@ -166,9 +157,9 @@ class _Shard:
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         self.compiled, self.seen = False, set()
 
-    def add(self, key: bytes, start: int, base: int, text: str, places: list[int]) -> None:
+    def add(self, key: bytes, start: int, base: int, text: bytes, places: list[int]) -> None:
         letters = self.letters
-        words = text.encode().split()
+        words = text.split()
         for w in words:
             if w not in letters:
                 letters[w] = next(self.code)
@@ -178,13 +169,13 @@ class _Shard:
             self.automaton.add_word(line[at : at + self.window], len(self.of))
             self.of.append((key, start + at, p))
 
-    def search(self, start: int, base: int, text: str) -> list[tuple[int, int]]:
+    def search(self, start: int, base: int, text: bytes) -> list[tuple[int, int]]:
         """Spans of a piece's words that the automaton's windows cover, but for a window where it was taken from."""
         if not self.compiled:
             self.automaton.make_automaton()
             self.compiled = True
         known = self.letters.get
-        line = "".join([known(w, "\0") for w in text.encode().split()])
+        line = "".join([known(w, "\0") for w in text.split()])
         spans: list[tuple[int, int]] = []
         for end, k in self.automaton.iter(line):
             at = end - self.window + 1
@@ -222,15 +213,15 @@ def _located(rows: DataFrame, window: int) -> DataFrame:
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                for r in batch.slice(at, 512).to_pylist():
-                    if (r["shard"], r["sub"], r["salt"]) != name:
+                for *at_shard, key, start, base, text, places in zip(*[c.to_pylist() for c in batch.slice(at, 512).columns]):
+                    if at_shard != name:
                         if shard is not None:
-                            out += [(key, a, b) for key, spans in shard.firsts() for a, b in spans]
-                        shard, name = _Shard(window), (r["shard"], r["sub"], r["salt"])
-                    if r["places"] is not None:
-                        shard.add(r["key"], r["start"], r["base"], r["text"], r["places"])
+                            out += [(k, a, b) for k, spans in shard.firsts() for a, b in spans]
+                        shard, name = _Shard(window), at_shard
+                    if places is not None:
+                        shard.add(key, start, base, text, places)
                     elif shard.of:
-                        out += [(r["key"], a, b) for a, b in shard.search(r["start"], r["base"], r["text"])]
+                        out += [(key, a, b) for a, b in shard.search(start, base, text)]
                 yield from rows_out(1 << 15)
         if shard is not None:
             out += [(key, a, b) for key, spans in shard.firsts() for a, b in spans]

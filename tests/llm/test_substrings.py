@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pelagia.llm import substrings as S
+from pelagia.llm.common import mix64
 
 SCHEMA = "doc_id long, text string, key string, spans int"
 
@@ -47,7 +48,7 @@ def test_kept_words_equal_brute_force(spark, monkeypatch, window, seed, small):
 
 def test_hashes_that_collide_remove_nothing(spark, monkeypatch):
     rows = [(i, f"s t u{i} v w x{i} y z", "k", 1) for i in range(5)] + [(9, "s t u1 v w", "k", 1)]
-    every = lambda pieces, window: pieces.select("base", F.explode(F.sequence("base", F.col("base") + F.size(F.split("text", " ")) - window)).alias("place"))
+    every = lambda pieces, window: pieces.select("base", F.explode(F.sequence("base", F.col("base") + F.size(F.split(F.decode("text", "UTF-8"), " ")) - window)).alias("place"))
     monkeypatch.setattr(S, "_recurring", every)  # as if all windows had the hash of another
     got = S.drop_repeated_passages(spark.createDataFrame(rows, SCHEMA), 5, 1).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 5)
@@ -55,7 +56,7 @@ def test_hashes_that_collide_remove_nothing(spark, monkeypatch):
 
 def test_equal_windows_have_equal_seeds():
     r = np.random.default_rng(3)
-    h = S.mix64(r.integers(0, 4, 3000).astype(np.uint64))
+    h = mix64(r.integers(0, 4, 3000).astype(np.uint64))
     first, last, value, places = S.pieces_of(h, np.array([0, 1200, 3, 1797]), 9, 3)
     seeds, seen = {}, Counter()
     w = S.runs_of(h, 9)
