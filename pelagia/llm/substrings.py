@@ -17,7 +17,9 @@ from pelagia.sources.scratch import delete_path
 
 #: Windows of a shard's automaton on average; one that would hold twice as many is dealt to several.  Small ones are
 #: fast: at its root an automaton compares a letter with all first letters.
-SHARD_WINDOWS = 500
+SHARD_WINDOWS = 1000
+#: Passages that a hit of one block is compared with at most.
+SHARED = 8
 #: Pieces of text that one automaton reads; a shard with more is copied to several tasks.
 SHARD_PIECES = 20_000
 #: Bytes of text that a task takes at once, and bits at most of the filters that tasks hold.
@@ -148,56 +150,103 @@ def _recurring(pieces: DataFrame, window: int) -> DataFrame:
     return found.groupBy("seed", "w").agg(F.count(F.lit(1)).alias("n"), F.min("base").alias("base"), F.min("place").alias("place")).where("n > 1").select("base", "place")
 
 
+def _common(a: str, b: str) -> int:
+    """How many first letters two texts have in common."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return next(k for k, (x, y) in enumerate(zip(a, b)) if x != y)
+
+
 class _Shard:
-    """An automaton over windows of words, a character for each word, and where each window was first."""
+    """An automaton over passages of words, a character for each word, and where each passage was first.
+
+    A window of the size w holds one of the blocks of (w + 1) // 2 words, side by side,
+    into which its passage is cut, so the automaton is of blocks and a hit is extended to
+    both sides.  A block that more than SHARED passages have is left to their windows
+    around it, each a key of its own, so that a hit never stands for many passages.
+    """
 
     def __init__(self, window: int):
-        self.window, self.letters, self.of = window, {}, []
+        self.window, self.block, self.letters = window, (window + 1) // 2, {}
         self.code = (chr(c) for c in count(1) if not 0xD800 <= c < 0xE000)
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        self.compiled, self.seen = False, set()
+        self.passages: list[tuple[bytes, int, int, str]] = []
+        self.blocks: dict[str, list[tuple[int, int]]] = {}
+        self.keys: list[tuple[int, list[tuple[int, int]]]] = []
+        self.automaton, self.seen = None, {}
 
     def add(self, key: bytes, start: int, base: int, text: bytes, places: list[int]) -> None:
+        """The passages of a piece that the windows with the numbers `places` make up."""
         letters = self.letters
         words = text.split()
         for w in words:
             if w not in letters:
                 letters[w] = next(self.code)
         line = "".join(map(letters.__getitem__, words))
-        for p in places:
-            at = p - base
-            self.automaton.add_word(line[at : at + self.window], len(self.of))
-            self.of.append((key, start + at, p))
+        places = sorted(places)
+        cuts = [0, *[k for k in range(1, len(places)) if places[k] != places[k - 1] + 1], len(places)]
+        for a, b in zip(cuts, cuts[1:]):
+            first = places[a]
+            passage = line[first - base : places[b - 1] - base + self.window]
+            for at in range(0, len(passage) - self.block + 1, self.block):
+                self.blocks.setdefault(passage[at : at + self.block], []).append((len(self.passages), at))
+            self.passages.append((key, start + first - base, first, passage))
+
+    def compile(self) -> None:
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        windows: dict[str, list[tuple[int, int]]] = {}
+        for text, owners in self.blocks.items():
+            if len(owners) <= SHARED:
+                self.automaton.add_word(text, len(self.keys))
+                self.keys.append((self.block, owners))
+                continue
+            for k, at in owners:
+                passage = self.passages[k][3]
+                for p in range(max(0, at + self.block - self.window), min(at, len(passage) - self.window) + 1):
+                    windows.setdefault(passage[p : p + self.window], [(k, p)])  # a window is of one passage
+        for text, owners in windows.items():
+            self.automaton.add_word(text, len(self.keys))
+            self.keys.append((self.window, owners))
+        self.automaton.make_automaton()
 
     def search(self, start: int, base: int, text: bytes) -> list[tuple[int, int]]:
-        """Spans of a piece's words that the automaton's windows cover, but for a window where it was taken from."""
-        if not self.compiled:
-            self.automaton.make_automaton()
-            self.compiled = True
+        """Spans of a piece's words that passages cover with a window or more, but for a passage where it was taken from."""
+        if self.automaton is None:
+            self.compile()
         known = self.letters.get
         line = "".join([known(w, "\0") for w in text.split()])
-        spans: list[tuple[int, int]] = []
-        for end, k in self.automaton.iter(line):
-            at = end - self.window + 1
-            if base + at != self.of[k][2]:
-                self.seen.add(k)
-                _extend(spans, start + at, start + end + 1)
-        return spans
+        spans, met = [], set()
+        for end, number in self.automaton.iter(line):
+            size, owners = self.keys[number]
+            at = end - size + 1
+            for k, p in owners:
+                _, _, first, passage = self.passages[k]
+                if base + at - p == first or size == self.block and (k, at - p) in met:
+                    continue
+                before = _common(passage[:p][::-1], line[:at][::-1]) if size == self.block else 0
+                after = _common(passage[p + size :], line[end + 1 :]) if size == self.block else 0
+                if before + size + after >= self.window:
+                    met.add((k, at - p))
+                    spans.append((start + at - before, start + end + 1 + after))
+                    self.seen.setdefault(k, set()).add((p - before, p + size + after))
+        return _joined(spans)
 
     def firsts(self):
-        """(key, spans) of the windows that were found elsewhere, where they were taken from."""
-        by_key: dict[bytes, list] = {}
-        for key, at, _ in sorted(self.of[k] for k in self.seen):
-            _extend(by_key.setdefault(key, []), at, at + self.window)
-        return by_key.items()
-
-
-def _extend(spans: list[tuple[int, int]], a: int, b: int) -> None:
-    """Adds a span that begins no earlier than the last one, joining what touches."""
-    if spans and a <= spans[-1][1]:
-        spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-    else:
-        spans.append((a, b))
+        """(key, spans) of the passages, as far as they were found elsewhere, where they were taken from."""
+        for k, spans in self.seen.items():
+            key, start, _, _ = self.passages[k]
+            yield key, [(start + a, start + b) for a, b in _joined(spans)]
+
+
+def _joined(spans) -> list[tuple[int, int]]:
+    """The union of spans."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def _located(rows: DataFrame, window: int) -> DataFrame:
@@ -220,7 +269,7 @@ def _located(rows: DataFrame, window: int) -> DataFrame:
                         shard, name = _Shard(window), at_shard
                     if places is not None:
                         shard.add(key, start, base, text, places)
-                    elif shard.of:
+                    elif shard.passages:
                         out += [(key, a, b) for a, b in shard.search(start, base, text)]
                 yield from rows_out(1 << 15)
         if shard is not None:
@@ -257,11 +306,11 @@ def repeated_spans(docs: DataFrame, window: int = 35, seed: int = 10, text_col:
     sizes = patterns.groupBy("shard").agg(F.ceil(F.sum(F.size("places")) / (2 * SHARD_WINDOWS)).cast("int").alias("subs"))
     load = written(load.join(sizes, "shard"), "load", used)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = F.filter("places", lambda p: F.pmod(p, F.col("subs")) == F.col("sub"))
+    deal = lambda n: F.pmod(F.xxhash64("base"), F.col(n)).cast("int")
     columns = ["shard", "sub", "salt", "key", "start", "base", "text", "places"]
-    compiled = patterns.join(load, "shard").withColumn("sub", each("subs")).withColumn("salt", each("salts")).withColumn("places", own).select(columns)
+    compiled = patterns.join(load, "shard").withColumn("sub", deal("subs")).withColumn("salt", each("salts")).select(columns)
     read = pieces.select(shard, "key", "start", "base", "text").join(load, "shard").withColumn("sub", each("subs"))
-    read = read.withColumns({"salt": F.pmod(F.xxhash64("base"), F.col("salts")).cast("int"), "places": F.lit(None).cast("array<long>")}).select(columns)
+    read = read.withColumns({"salt": deal("salts"), "places": F.lit(None).cast("array<long>")}).select(columns)
     dealt = compiled.union(read).repartition("shard", "sub", "salt").sortWithinPartitions("shard", "sub", "salt", F.col("places").isNull(), "base")
     return written(_located(dealt, window).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans", used)
 
