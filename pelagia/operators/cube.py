@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pelagia.operators.prefix import next_above
+from pelagia.sources.scratch import written
+
 
 def select_variables(df: DataFrame, schema: dict[str, dict]) -> DataFrame:
     """Declared variables that aren't flagged drop_var; none left is an error."""
@@ -39,29 +42,37 @@ def regrid_linear(df: DataFrame, keys: Sequence[str], x: str, y: str, grid: Data
     return out.select(*keys, x, value.alias(y))
 
 
-def coordinate_mismatches(df: DataFrame, file: str, coordinate: str, order: str) -> DataFrame:
-    """(file) of files whose set of coordinate values differs from that of the first file (smallest `order`)."""
-    sets = df.groupBy(file).agg(F.array_sort(F.collect_set(coordinate)).alias("values"), F.min(order).alias("at"))
-    first = sets.agg(F.min_by("values", F.struct("at", file)).alias("wanted"))
-    return sets.crossJoin(F.broadcast(first)).where("values <> wanted").select(file)
+def coordinate_mismatches(df: DataFrame, file: str, coordinate: str, position: str, order: str) -> DataFrame:
+    """(file) of files whose coordinate, as an array in the order of `position`, differs from that of the first file (smallest `order`).
+
+    Arrays are compared by their length and the sum of hashes of (position, value), which
+    tasks add up before the shuffle: reversed, repeated and missing values all tell.
+    """
+    cells = df.groupBy(file, position, coordinate).agg(F.min(order).alias("at"))
+    digest = F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(position, coordinate).cast("decimal(38,0)")).alias("sum"))
+    arrays = cells.groupBy(file).agg(digest.alias("values"), F.min("at").alias("at"))
+    first = arrays.agg(F.min_by("values", F.struct("at", file)).alias("wanted"))  # one row
+    return arrays.crossJoin(F.broadcast(first)).where("values <> wanted").select(file)
 
 
 def overlapping_files(df: DataFrame, file: str, append: str) -> DataFrame:
     """(file) of files to leave out because their range begins at or before the end of the files kept so far.
 
-    Files are taken by their start; a file left out does not extend the kept range, so the
-    rule is a fold over one sorted array of file ranges (files, not rows).
+    Files are taken by their start, of equal starts by name, and a file left out does not
+    extend the kept range.  So after a kept file comes the first that begins after its
+    end: its successor.  The kept files are those that the first one leads to, which are
+    marked by doubling: each round marks what all marked files lead to in as many steps as
+    are marked, then joins the pointers with themselves.  Rounds grow with the logarithm
+    of the files kept, and no task holds all files.  Files without values never overlap.
     """
-    ranges = df.groupBy(file).agg(F.min(append).alias("low"), F.max(append).alias("high"))
-    listed = ranges.agg(F.array_sort(F.collect_list(F.struct("low", F.col(file).alias("file"), "high"))).alias("fs"))
-    kind = ranges.schema["high"].dataType
-    start = F.struct(F.lit(None).cast(kind).alias("end"), F.array().cast("array<string>").alias("out"))
-
-    def step(state: Column, f: Column) -> Column:
-        bad = F.coalesce(f["low"] <= state["end"], F.lit(False))
-        return F.struct(F.when(bad, state["end"]).otherwise(f["high"]).alias("end"), F.when(bad, F.concat(state["out"], F.array(f["file"].cast("string")))).otherwise(state["out"]).alias("out"))
-
-    return listed.select(F.explode(F.aggregate("fs", start, step, lambda s: s["out"])).alias(file))
+    ranges = written(df.groupBy(file).agg(F.min(append).alias("low"), F.max(append).alias("high")).where("low is not null"), "files")
+    after = next_above(ranges.withColumnRenamed("low", "v"), ranges.select(file, F.col("high").alias("v")), "v", file)
+    leads = written(after.where("__next is not null").select(F.col(file).alias("a"), F.col(f"__next.{file}").alias("b")), "successors")
+    marked = written(ranges.agg(F.min_by(file, F.struct("low", file)).alias("f")), "kept")
+    while not leads.isEmpty():
+        marked = written(marked.union(marked.join(leads, F.col("f") == F.col("a")).select("b")), "kept")
+        leads = written(leads.alias("x").join(leads.alias("y"), F.col("x.b") == F.col("y.a")).select("x.a", "y.b"), "successors")
+    return ranges.join(marked.select(F.col("f").alias(file)), file, "left_anti").select(file)
 
 
 def files_without_index(df: DataFrame, file: str, dims: Sequence[str]) -> DataFrame:

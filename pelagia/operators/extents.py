@@ -8,9 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Roles by standard name, asked after the column's own name.
-STANDARD_ROLES = {"time": "TIME_AXIS", "latitude": "LATITUDE", "longitude": "LONGITUDE", "depth": "DEPTH", "sea_water_pressure": "DEPTH"}
-NAME_ROLES = {"time": "TIME_AXIS", "juld": "TIME_AXIS", "latitude": "LATITUDE", "lat": "LATITUDE", "longitude": "LONGITUDE", "lon": "LONGITUDE", "depth": "DEPTH", "pres": "DEPTH"}
+from pelagia.operators.select import CANDIDATES
+
+#: Roles of the coordinates' kinds, and of a coordinate by its standard name.
+ROLES = {"TIME": "TIME_AXIS", "LATITUDE": "LAT", "LONGITUDE": "LON", "DEPTH": "DEPTH"}
+STANDARD_ROLES = {"time": "TIME_AXIS", "latitude": "LAT", "longitude": "LON"}
 #: Words of dataset names and variables that tell a dataset's type.
 ANIMAL_WORDS = ("animal", "tracking", "biologging", "tagging")
 SURVEY_WORDS = ("aggregated", "diver", "benthic", "fish", "photoquadrat", "seabird", "seagrass", "kelp", "survey")
@@ -76,16 +78,22 @@ def describe(df: DataFrame, name: str) -> list[tuple[str, str, str]]:
 
 
 def variable_roles(catalogue: DataFrame) -> DataFrame:
-    """(dataset, variable, role) by the variable's name, then by its standard_name, else DATA."""
-    standard = F.max(F.when(F.col("key") == "standard_name", F.lower("value"))).alias("standard")
-    per = catalogue.where("variable <> 'global'").groupBy("dataset", "variable").agg(standard)
-    by_name = F.create_map(*[F.lit(x) for kv in NAME_ROLES.items() for x in kv])[F.lower("variable")]
-    by_standard = F.create_map(*[F.lit(x) for kv in STANDARD_ROLES.items() for x in kv])[F.col("standard")]
-    return per.select("dataset", "variable", F.coalesce(by_name, by_standard, F.lit("DATA")).alias("role"))
+    """(dataset, variable, role): TIME_AXIS by the exact names of time in cubes, then LAT, LON and DEPTH by theirs in any case, else by the standard name, which tells of coordinates only, else DATA.
+
+    A variable is a coordinate if its attribute `source` is coord.
+    """
+    last = lambda key: F.max(F.when(F.col("key") == key, F.lower("value"))).alias(key)
+    per = catalogue.where("variable <> 'global'").groupBy("dataset", "variable").agg(last("standard_name"), last("source"))
+    role = F.when(F.col("variable").isin(*CANDIDATES["cube"]["TIME"]), ROLES["TIME"])
+    for kind in ("LATITUDE", "LONGITUDE", "DEPTH"):
+        role = role.when(F.lower("variable").isin(*{c.lower() for c in CANDIDATES["cube"][kind]}), ROLES[kind])
+    for standard, name in STANDARD_ROLES.items():
+        role = role.when((F.col("source") == "coord") & (F.col("standard_name") == standard), name)
+    return per.select("dataset", "variable", role.otherwise("DATA").alias("role"))
 
 
 def dataset_types(catalogue: DataFrame) -> DataFrame:
-    """(dataset, kind), the first rule that holds: radar cubes by what they measure, animal tracks by name, other
+    """(dataset, kind), the first rule that holds: radar cubes by any variable of what they measure, animal tracks by name, other
     cubes as grids, surveys by name, tables with a depth as profiles, series by name, else tabular.
 
     A dataset's layout is its global attribute `format` (cube or table).
@@ -98,7 +106,7 @@ def dataset_types(catalogue: DataFrame) -> DataFrame:
         F.coalesce(F.bool_or(deep & (variable != "global")), F.lit(False)).alias("deep"),
     )
     named = lambda *words: F.lower("dataset").rlike("|".join(words))
-    have = lambda *names: F.size(F.array_intersect("vs", F.array(*[F.lit(n) for n in names]))) == len(names)
+    have = lambda *names: F.arrays_overlap("vs", F.array(*[F.lit(n) for n in names]))
     grid = F.coalesce(F.col("layout") == "cube", F.lit(False))
     table = F.coalesce(F.col("layout") == "table", F.lit(False))
     radar = F.when(have("ucur", "vcur"), "radar_velocity").when(have("vavh", "wppe"), "radar_wave").when(have("wspd_mean", "wdir_mean") | named("wind"), "radar_wind").otherwise("radar_velocity")

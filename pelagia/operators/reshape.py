@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pelagia.operators.prefix import running
+
 
 def explode_levels(df: DataFrame, arrays: Sequence[str], position: str = "level") -> DataFrame:
     """One row per element of the parallel arrays; the other columns repeat."""
@@ -26,30 +28,43 @@ def flatten_grid(df: DataFrame, dims: dict[str, str], value: str) -> DataFrame:
     return out.select(*rest, *[F.get(dims[n], F.col(f"__{n}")).alias(n) for n in names], F.col("__v").alias(value))
 
 
+#: Positions of a bucket in which ranges and positions meet.
+BUCKET = 65_536
+
+
 def expand_ragged(profiles: DataFrame, observations: DataFrame, size: str = "row_size", profile: str = "profile", position: str = "obs", by: str | None = None) -> DataFrame:
     """Observations with their profile's columns: profile k holds the next row_size observations, counted from 0 in each `by`.
 
-    Give `by` (the file) for more than one file's profiles: without it one task numbers all.
+    Row sizes are added up by ranges (`running`), and ranges of positions meet positions by
+    buckets: a profile comes once into each bucket that it reaches, before its first
+    position there, and is carried on to the positions after it.  No task orders all
+    profiles and none are repeated for each of their positions.
     """
     keys = [by] if by else []
-    w = (Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))).orderBy(profile).rowsBetween(Window.unboundedPreceding, 0)
-    ranges = profiles.withColumn("__end", F.sum(size).over(w)).withColumn("__start", F.col("__end") - F.col(size)).where(F.col(size) > 0)
-    rows = ranges.select("*", F.explode(F.sequence("__start", F.col("__end") - 1)).alias(position)).drop("__start", "__end")
-    return rows.join(observations, [*keys, position])
+    ends = running(profiles, [profile], F.col(size), keys).where(F.col(size) > 0)
+    head = F.struct(*[F.col(c) for c in profiles.columns])
+    first, last = F.floor((F.col("__sum") - F.col(size)) / BUCKET), F.floor((F.col("__sum") - 1) / BUCKET)
+    ranges = ends.withColumn("__bucket", F.explode(F.sequence(first, last))).select(
+        *keys, "__bucket", F.greatest(F.col("__sum") - F.col(size), F.col("__bucket") * BUCKET).cast("long").alias("__at"), F.lit(0).alias("__kind"), F.struct(head.alias("head"), F.col("__sum").alias("end")).alias("__p"), F.lit(None).cast(observations.select(F.struct(*observations.columns).alias("o")).schema["o"].dataType).alias("__o")
+    )
+    rows = observations.where(F.col(position) >= 0).select(
+        *keys, F.floor(F.col(position) / BUCKET).alias("__bucket"), F.col(position).cast("long").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast(ranges.schema["__p"].dataType).alias("__p"), F.struct(*observations.columns).alias("__o")
+    )
+    w = Window.partitionBy(*keys, "__bucket").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = ranges.union(rows).withColumn("__p", F.last("__p", ignorenulls=True).over(w)).where((F.col("__kind") == 1) & (F.col("__at") < F.col("__p.end")))
+    mine = [F.col(f"__p.head.{c}").alias(c) for c in profiles.columns if c not in keys]
+    return met.select(*keys, F.col(f"__o.{position}").alias(position), *mine, *[F.col(f"__o.{c}").alias(c) for c in observations.columns if c not in {*keys, position}])
 
 
 def repair_sizes(profiles: DataFrame, total: str, size: str = "row_size", profile: str = "profile", by: str | None = None) -> DataFrame:
-    """Row sizes made consistent: negative ones are 0, running sums stop at the number of observations, the last profile takes the rest.
+    """Row sizes made consistent: negative and missing ones are 0, running sums stop at the number of observations, the last profile takes the rest.
 
-    As above, `by` is for anything larger than one file.
+    `total` is the same for all profiles of a file (`by`, or the whole table).
     """
-    part = Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))
-    w = part.orderBy(profile)
-    run = F.least(F.sum(F.greatest(F.col(size), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col(total))
-    out = profiles.withColumn("__run", run)
-    before = F.coalesce(F.lag("__run").over(w), F.lit(0))
-    last = F.lead(profile).over(w).isNull()
-    return out.withColumn("__fixed", F.when(last, F.col(total) - before).otherwise(F.col("__run") - before)).withColumn(size, F.col("__fixed")).drop("__run", "__fixed")
+    own = F.greatest(F.col(size), F.lit(0))
+    out = running(profiles, [profile], own, [by] if by else [])
+    run, before = F.least(F.col("__sum"), F.col(total)), F.least(F.col("__sum") - F.coalesce(own, F.lit(0)), F.col(total))
+    return out.withColumn(size, F.when(F.col("__last"), F.col(total) - before).otherwise(run - before)).drop("__sum", "__last")
 
 
 def packed_columns(df: DataFrame) -> list[str]:

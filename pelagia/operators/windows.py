@@ -2,23 +2,134 @@
 
 from __future__ import annotations
 
+import heapq
+from collections import deque
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pelagia.functions.columns import KM_PER_DEGREE, micros_of, seconds_of
 
 
+#: A time bucket is so many windows long; the halo that two buckets share is one window.
+WINDOWS_PER_BUCKET = 8
+
+
+class RunningMedian:
+    """The median of a changing multiset: two heaps whose removed entries go when they come to the top."""
+
+    def __init__(self):
+        self.low: list[tuple[float, int]] = []  # the smaller half, largest first, negated
+        self.high: list[tuple[float, int]] = []
+        self.where: dict[int, bool] = {}  # entry: whether it is in the smaller half
+        self.sizes = [0, 0]  # live entries of the larger half, of the smaller one
+
+    def _clean(self) -> None:
+        for heap, side in ((self.low, True), (self.high, False)):
+            while heap and self.where.get(heap[0][1]) is not side:
+                heapq.heappop(heap)
+
+    def _move(self, small: bool) -> None:
+        """The top of one half goes to the other."""
+        source, target = (self.low, self.high) if small else (self.high, self.low)
+        value, entry = heapq.heappop(source)
+        heapq.heappush(target, (-value, entry))
+        self.where[entry] = not small
+        self.sizes[small] -= 1
+        self.sizes[not small] += 1
+        self._clean()
+
+    def _balance(self) -> None:
+        self._clean()
+        while self.sizes[1] > self.sizes[0] + 1:
+            self._move(True)
+        while self.sizes[0] > self.sizes[1]:
+            self._move(False)
+
+    def add(self, entry: int, value: float) -> None:
+        small = not self.low or value <= -self.low[0][0]
+        heapq.heappush(self.low if small else self.high, (-value if small else value, entry))
+        self.where[entry] = small
+        self.sizes[small] += 1
+        self._balance()
+
+    def remove(self, entry: int) -> None:
+        self.sizes[self.where.pop(entry)] -= 1
+        self._balance()
+
+    def median(self) -> float:
+        return -self.low[0][0] if self.sizes[1] > self.sizes[0] else (self.high[0][0] - self.low[0][0]) / 2
+
+
+def _medians(batches, keys: int, half: int, least: int):
+    """Arrow batches sorted by (keys, bucket, second) with the medians of their own rows; keeps the rows of a window only.
+
+    Columns: keys, bucket, second, own, value, then the rows of the table.
+    """
+    name, held, window, kept = None, RunningMedian(), deque(), deque()  # window: (second, entry); kept: [batch, own rows, medians, waiting]
+    waiting, entry = deque(), 0  # (second, its batch in kept)
+
+    def settle(until: int | None) -> None:
+        while waiting and (until is None or waiting[0][0] + half < until):
+            second, mine = waiting.popleft()
+            while window and window[0][0] <= second - half:
+                held.remove(window.popleft()[1])
+            mine[2].append(held.median() if len(window) >= max(1, least) else None)
+
+    def ready():
+        while kept and len(kept[0][1]) == len(kept[0][2]):
+            batch, own, medians = kept.popleft()
+            rows = batch.select(list(range(keys + 4, batch.num_columns))).take(pa.array(own, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(medians, pa.float64())], names=[*rows.schema.names, "median"])
+
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns[: keys + 4]]
+        mine = [batch, [], []]
+        kept.append(mine)
+        for row, (*group, second, own, value) in enumerate(zip(*columns)):
+            if group != name:
+                settle(None)
+                name, held, window = group, RunningMedian(), deque()
+            settle(second)
+            if value is not None:
+                held.add(entry, value)
+                window.append((second, entry))
+                entry += 1
+            if own:
+                mine[1].append(row)
+                waiting.append((second, mine))
+        yield from ready()
+    settle(None)
+    yield from ready()
+
+
 def rolling_median(df: DataFrame, by: Sequence[str], time: str, value: str, width_s: int, least: int = 1) -> DataFrame:
-    """Centred rolling median over (t - width/2, t + width/2], exact, in column `median`."""
-    half = width_s // 2
-    w = Window.partitionBy(*by).orderBy(seconds_of(F.col(time))).rangeBetween(-half + 1, half)
-    xs = F.array_sort(F.collect_list(value).over(w))
-    out = df.withColumn("__xs", xs)
-    n = F.size("__xs")
-    middle = (F.get("__xs", F.floor((n - 1) / 2).cast("int")) + F.get("__xs", F.floor(n / 2).cast("int"))) / 2
-    return out.withColumn("median", F.when(n >= least, middle)).drop("__xs")
+    """Centred rolling median over (t - width/2, t + width/2], exact, in column `median`.
+
+    Rows are dealt to time buckets, and to those beside theirs whose windows they reach; a
+    task reads a bucket in the order of time and keeps the values of one window in two
+    heaps, so a row costs the logarithm of the window's rows.  Missing and NaN values are
+    in no window; fewer than `least` values and a missing time give NULL.
+    """
+    half, long = width_s // 2, max(1, WINDOWS_PER_BUCKET * width_s)
+    second = seconds_of(F.col(time)).cast("long")
+    bucket = lambda s: F.floor(s / long)
+    x = F.col(value).cast("double")
+    timed = df.where(F.col(time).isNotNull())
+    dealt = timed.withColumns({"__s": second, "__x": F.when(~F.isnan(x), x)})
+    dealt = dealt.withColumn("__b", F.explode(F.array_distinct(F.array(bucket(F.col("__s") - half), bucket(F.col("__s")), bucket(F.col("__s") + half)))))
+    kept = dealt.where((F.col("__b") == bucket(F.col("__s"))) | F.col("__x").isNotNull())
+    keys = [F.col(b).alias(f"__k{i}") for i, b in enumerate(by)]
+    rows = kept.select(*keys, "__b", "__s", (F.col("__b") == bucket(F.col("__s"))).alias("__own"), "__x", *[F.col(f"`{c}`") for c in df.columns])
+    names = [f"__k{i}" for i in range(len(by))]
+    sorted_rows = rows.repartition(*names, "__b").sortWithinPartitions(*names, "__b", "__s")
+    schema = T.StructType([*df.schema.fields, T.StructField("median", T.DoubleType())])
+    n = len(by)
+    out = sorted_rows.mapInArrow(lambda batches: _medians(batches, n, half, least), schema)
+    return out.unionByName(df.where(F.col(time).isNull()).withColumn("median", F.lit(None).cast("double")))
 
 
 def drift(df: DataFrame, by: str, time: str, lat: str, lon: str) -> DataFrame:

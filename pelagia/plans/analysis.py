@@ -362,10 +362,10 @@ def median_gap(spark: SparkSession, d: str) -> DataFrame:
     return rnd(windows.median_gap(table(spark, d, "events"), ["user_id"], "ts"), "gap_s", digits=4)
 
 
-@query(f"""WITH {OBS}, p AS (SELECT user_id, date_trunc('day', ts) AS day, count(*) AS n, sum(event_id) AS s FROM obs WHERE user_id % 10 = 3 GROUP BY ALL) SELECT user_id, day, (sum(n) OVER w)::BIGINT AS points FROM p WINDOW w AS (PARTITION BY user_id ORDER BY day)""")
+@query(f"WITH {OBS} SELECT user_id, date_trunc('day', ts) AS day, ts AS t, lat, lon, row_number() OVER (PARTITION BY user_id ORDER BY ts, lat, lon) AS place FROM obs")
 def cumulative_track(spark: SparkSession, d: str) -> DataFrame:
-    """The length of the track up to each day, of the platforms that the SQL has."""
-    return windows.track_points(obs(spark, d).where("user_id % 10 = 3"), "user_id", "ts").select("user_id", "day", "points")
+    """Every position of every platform with its day and its place in the track up to that day."""
+    return windows.cumulative_track(obs(spark, d), "user_id", "ts", "lat", "lon")
 
 
 @query(f"""WITH {OBS}, s AS (SELECT user_id, ts, lat, lead(ts) OVER w AS ts_next, lead(lat) OVER w AS lat_next FROM obs WHERE qc = 0 WINDOW w AS (PARTITION BY user_id ORDER BY ts)) SELECT * FROM s WHERE ts_next IS NOT NULL""")
@@ -435,15 +435,15 @@ def regrid_linear(spark: SparkSession, d: str) -> DataFrame:
     return rnd(G.regrid_linear(c, ["time", "lat"], "lon", "value", G.target_grid(spark, -0.5, 9.5, 0.5)), "value")
 
 
-FILE = "'f' || (l_orderkey % 12)"
+GRID = "CASE f WHEN 5 THEN i + 1 WHEN 7 THEN 8 - i WHEN 9 THEN greatest(i, 2) ELSE i END"
 
 
-@query(f"""WITH r AS (SELECT {FILE} AS f, list_sort(list(DISTINCT CASE WHEN l_orderkey % 12 = 5 THEN l_linenumber + 1 ELSE l_linenumber END)) AS v, min(l_orderkey) AS k FROM lineitem GROUP BY 1) SELECT f AS file FROM r WHERE v <> (SELECT v FROM r ORDER BY k, f LIMIT 1)""")
+@query(f"""WITH p AS (SELECT l_orderkey % 12 AS f, l_linenumber AS i, min(l_orderkey) AS k FROM lineitem GROUP BY ALL), a AS (SELECT f, list({GRID} ORDER BY i) AS v, min(k) AS k FROM p GROUP BY 1) SELECT 'f' || f AS file FROM a WHERE v <> (SELECT v FROM a ORDER BY k, 'f' || f LIMIT 1)""")
 def grid_consistency(spark: SparkSession, d: str) -> DataFrame:
-    """Files whose grid differs from the first file's."""
-    li = table(spark, d, "lineitem").withColumn("file", F.concat(F.lit("f"), (F.col("l_orderkey") % 12).cast("string")))
-    li = li.withColumn("level", F.when(F.col("l_orderkey") % 12 == 5, F.col("l_linenumber") + 1).otherwise(F.col("l_linenumber")))
-    return G.coordinate_mismatches(li, "file", "level", "l_orderkey")
+    """Files whose grid differs from the first file's: one is shifted, one reversed, one repeats a value."""
+    li = table(spark, d, "lineitem").select((F.col("l_orderkey") % 12).alias("f"), F.col("l_linenumber").alias("i"), "l_orderkey")
+    li = li.withColumns({"file": F.concat(F.lit("f"), F.col("f").cast("string")), "level": F.expr(GRID)})
+    return G.coordinate_mismatches(li, "file", "level", "i", "l_orderkey")
 
 
 @query("""WITH RECURSIVE r AS (SELECT s_nationkey AS f, min(s_suppkey) AS low, min(s_suppkey) + (max(s_suppkey) - min(s_suppkey)) // 8 AS high FROM supplier GROUP BY 1), o AS (SELECT *, row_number() OVER (ORDER BY low, f) AS k FROM r),
@@ -478,10 +478,10 @@ def cube_upsert(spark: SparkSession, d: str) -> DataFrame:
     return rnd(G.upsert_times(c, new, "time").groupBy("time").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")), "total", digits=4)
 
 
-@query("SELECT l_shipdate AS time, count(DISTINCT l_orderkey % 12) AS files FROM lineitem WHERE l_linenumber = 1 GROUP BY 1 HAVING count(DISTINCT l_orderkey % 12) > 1")
+@query("SELECT l_shipdate AS time, count(DISTINCT l_orderkey % 12) AS files FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_orderkey % 12) > 1")
 def duplicated_times(spark: SparkSession, d: str) -> DataFrame:
     """Times that several files wrote."""
-    li = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.col("l_shipdate").alias("time"), (F.col("l_orderkey") % 12).alias("file"))
+    li = table(spark, d, "lineitem").select(F.col("l_shipdate").alias("time"), (F.col("l_orderkey") % 12).alias("file"))
     return G.duplicated_times(li, "time", "file")
 
 

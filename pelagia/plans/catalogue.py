@@ -24,10 +24,25 @@ BASE = """base AS (SELECT lower(['radar', 'vessel', 'buoy'][p_partkey % 3 + 1] |
     catalogue AS (SELECT DISTINCT dataset, variable, 'units' AS key, lower(p_type) AS value FROM base UNION SELECT DISTINCT dataset, variable, 'standard_name', CASE WHEN contains(p_name, 'red') THEN 'sea_water_pressure' ELSE replace(p_name, ' ', '_') END FROM base)"""
 
 
-@query(f"""WITH {BASE} SELECT dataset, variable, CASE WHEN variable = 'TIME' THEN 'TIME_AXIS' WHEN variable = 'LATITUDE' THEN 'LATITUDE' WHEN max(CASE WHEN key = 'standard_name' THEN value END) = 'sea_water_pressure' THEN 'DEPTH' ELSE 'DATA' END AS role FROM catalogue GROUP BY dataset, variable""")
+def _pick(values: list[str], i):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
+
+
+#: Names of variables, some of coordinates in one case or another, and standard names that tell only of coordinates.
+ROLE_NAMES = ["TIME", "time", "Time", "DateTime", "LATITUDE", "Lat", "lon", "Longitude", "PRES_ADJUSTED", "nominal_depth", "phi", "lambda", "clock", "level", "TEMP"]
+STANDARDS = ["time", "Latitude", "longitude", "depth", "sea_water_pressure", "temperature"]
+
+
+@query(f"""WITH b AS (SELECT 'd' || (p_partkey // 15 % 60) AS dataset, {ROLE_NAMES}[p_partkey % 15 + 1] AS variable, p_partkey // 15 % 3 AS source, {STANDARDS}[p_size % 6 + 1] AS standard FROM part),
+    v AS (SELECT dataset, variable, source = 0 AS coord, max(lower(standard)) AS standard FROM b GROUP BY ALL)
+    SELECT dataset, variable, CASE WHEN variable IN ('TIME', 'time', 'DateTime') THEN 'TIME_AXIS' WHEN lower(variable) IN ('latitude', 'lat') THEN 'LAT' WHEN lower(variable) IN ('longitude', 'lon') THEN 'LON'
+        WHEN lower(variable) IN ('pres_adjusted', 'nominal_depth') THEN 'DEPTH' WHEN coord AND standard = 'time' THEN 'TIME_AXIS' WHEN coord AND standard = 'latitude' THEN 'LAT' WHEN coord AND standard = 'longitude' THEN 'LON' ELSE 'DATA' END AS role FROM v""")
 def variable_roles(spark: SparkSession, d: str) -> DataFrame:
-    """The role of each variable."""
-    return extents.variable_roles(catalogue(spark, d))
+    """The role of each variable, by name and for coordinates by standard name."""
+    k = F.col("p_partkey")
+    p = table(spark, d, "part").select(F.concat(F.lit("d"), (F.floor(k / 15) % 60).cast("string")).alias("dataset"), _pick(ROLE_NAMES, k % 15).alias("variable"), (F.floor(k / 15) % 3).alias("f"), _pick(STANDARDS, F.col("p_size") % 6).alias("standard"))
+    source = p.select("dataset", "variable", F.lit("source").alias("key"), _pick(["coord", "data_var", "column"], F.col("f")).alias("value"))
+    return extents.variable_roles(source.union(p.select("dataset", "variable", F.lit("standard_name"), "standard")))
 
 
 #: Names and variables so dealt that each rule of the types decides for some part.
@@ -37,15 +52,14 @@ VARIABLES = ["UCUR", "VCUR", "VAVH", "WPPE", "WSPD_MEAN", "WDIR_MEAN", "TEMP", "
 
 @query(f"""WITH b AS (SELECT {NAMES}[p_partkey % 8 + 1] || '_' || (p_partkey // 8 % 16) AS dataset, p_partkey // 128 % 3 AS f, {VARIABLES}[p_size % 8 + 1] AS v, p_type = 'PROMO' AS deep FROM part),
     t AS (SELECT dataset, list(DISTINCT v) AS vs, max(CASE WHEN f = 0 THEN 'cube' WHEN f = 1 THEN 'table' END) AS layout, bool_or(v = 'PRES' OR deep) AS deep FROM b GROUP BY 1)
-    SELECT dataset, CASE WHEN layout = 'cube' AND contains(dataset, 'radar') THEN CASE WHEN list_has_all(vs, ['UCUR', 'VCUR']) THEN 'radar_velocity' WHEN list_has_all(vs, ['VAVH', 'WPPE']) THEN 'radar_wave'
-        WHEN list_has_all(vs, ['WSPD_MEAN', 'WDIR_MEAN']) OR contains(dataset, 'wind') THEN 'radar_wind' ELSE 'radar_velocity' END WHEN contains(dataset, 'animal') THEN 'animal_tracking' WHEN layout = 'cube' THEN 'gridded'
+    SELECT dataset, CASE WHEN layout = 'cube' AND contains(dataset, 'radar') THEN CASE WHEN list_has_any(vs, ['UCUR', 'VCUR']) THEN 'radar_velocity' WHEN list_has_any(vs, ['VAVH', 'WPPE']) THEN 'radar_wave'
+        WHEN list_has_any(vs, ['WSPD_MEAN', 'WDIR_MEAN']) OR contains(dataset, 'wind') THEN 'radar_wind' ELSE 'radar_velocity' END WHEN contains(dataset, 'animal') THEN 'animal_tracking' WHEN layout = 'cube' THEN 'gridded'
         WHEN contains(dataset, 'survey') THEN 'tabular' WHEN layout = 'table' AND deep THEN 'profiles' WHEN contains(dataset, 'mooring') THEN 'timeseries' ELSE 'tabular' END AS kind FROM t""")
 def dataset_types(spark: SparkSession, d: str) -> DataFrame:
     """The type of each dataset by the first rule that holds."""
-    pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
     k = F.col("p_partkey")
-    name = F.concat(pick(NAMES, k % 8), F.lit("_"), (F.floor(k / 8) % 16).cast("string"))
-    p = table(spark, d, "part").select(name.alias("dataset"), (F.floor(k / 128) % 3).alias("f"), pick(VARIABLES, F.col("p_size") % 8).alias("variable"), "p_type")
+    name = F.concat(_pick(NAMES, k % 8), F.lit("_"), (F.floor(k / 8) % 16).cast("string"))
+    p = table(spark, d, "part").select(name.alias("dataset"), (F.floor(k / 128) % 3).alias("f"), _pick(VARIABLES, F.col("p_size") % 8).alias("variable"), "p_type")
     layout = p.where("f < 2").select("dataset", F.lit("global").alias("variable"), F.lit("format").alias("key"), F.when(F.col("f") == 0, "cube").otherwise("table").alias("value"))
     standard = p.select("dataset", "variable", F.lit("standard_name").alias("key"), F.when(F.col("p_type") == "PROMO", "Depth").otherwise("other").alias("value"))
     return extents.dataset_types(layout.union(standard))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pelagia.functions import columns as C
-from pelagia.operators import extents, ingest, reshape, select
+from pelagia.operators import extents, ingest, prefix, reshape, select
 from pelagia.operators.aggregate import resample
 from pelagia.plans.base import OBS, RAW, long, obs, query, raw_obs, rnd, table
 from pelagia.sources import files, store
@@ -240,18 +240,13 @@ def delete_by_file(spark: SparkSession, d: str) -> DataFrame:
     r AS (SELECT profile, row_size, sum(row_size) OVER (ORDER BY profile) - row_size AS s FROM o), l AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS obs, l_quantity FROM lineitem)
     SELECT profile, count(*) AS n, sum(l_quantity) AS total FROM r JOIN l ON obs >= s AND obs < s + row_size GROUP BY 1""")
 def ragged_expand(spark: SparkSession, d: str) -> DataFrame:
-    """Observations of profiles by row ranges, here within blocks of orders so that no task takes all."""
+    """Observations of profiles by row ranges, over all orders as one file."""
     li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
-    block = lambda c: F.floor(F.col(c) / 1000)
-    from pyspark.sql import Window
-
     sizes = o.join(li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("row_size")), "o_orderkey", "left")
-    profiles = sizes.select(block("o_orderkey").alias("block"), F.col("o_orderkey").alias("profile"), F.coalesce("row_size", F.lit(0)).alias("row_size"))
-    w = Window.partitionBy("block").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    rows = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi").withColumn("block", block("l_orderkey"))
-    observations = rows.select("block", "l_quantity", (F.row_number().over(w) - 1).cast("long").alias("obs"))
-    out = reshape.expand_ragged(profiles, observations, by="block")
-    return out.groupBy("profile").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("total"))
+    profiles = sizes.select(F.col("o_orderkey").alias("profile"), F.coalesce("row_size", F.lit(0)).alias("row_size"))
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    observations = prefix.running(li.select(*order, "l_quantity"), order, F.lit(1)).select("l_quantity", (F.col("__sum") - 1).alias("obs"))
+    return reshape.expand_ragged(profiles, observations).groupBy("profile").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("total"))
 
 
 @query("""WITH p AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN -3 ELSE (o_orderkey % 4)::BIGINT END AS rs FROM orders),
@@ -263,6 +258,17 @@ def ragged_repair(spark: SparkSession, d: str) -> DataFrame:
     return reshape.repair_sizes(p, "total", profile="o_orderkey", by="o_custkey").select("o_custkey", "o_orderkey", long("row_size").alias("row_size"))
 
 
+@query("""WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN -3 ELSE (o_orderkey % 4)::BIGINT END AS rs, (SELECT count(*) FROM orders) AS total FROM orders),
+    t AS (SELECT *, least(sum(greatest(rs, 0)) OVER (ORDER BY o_orderkey), total) AS run, o_orderkey = (SELECT max(o_orderkey) FROM p) AS last FROM p)
+    SELECT o_orderkey, (CASE WHEN last THEN total ELSE run END - coalesce(lag(run) OVER (ORDER BY o_orderkey), 0))::BIGINT AS row_size FROM t""")
+def ragged_repair_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Row sizes made consistent over one file that holds all orders."""
+    o = table(spark, d, "orders")
+    total = o.agg(F.count(F.lit(1)).alias("total"))  # one row
+    p = o.select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.lit(-3)).otherwise(F.col("o_orderkey") % 4).alias("row_size")).crossJoin(F.broadcast(total))
+    return reshape.repair_sizes(p, "total", profile="o_orderkey").select("o_orderkey", long("row_size").alias("row_size"))
+
+
 @query("""SELECT vec_id, i - 1 AS level, (350 + (i - 1) * 10)::INTEGER AS depth, round(embedding[i]::DOUBLE, 6) AS value FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""")
 def profile_explode(spark: SparkSession, d: str) -> DataFrame:
     """Parallel arrays of profiles to rows."""

@@ -99,6 +99,8 @@ def read_by_suffix(spark: SparkSession, path: str, **options) -> DataFrame:
 
 def list_datasets(spark: SparkSession, root: str, suffix: str | None = None) -> DataFrame:
     """(dataset): names of the top folders or files under a root that hold data, sorted."""
-    name = F.split(F.expr(f"substring_index(path, '{root.rstrip('/').split('/')[-1]}/', -1)"), "/")[0]
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    whole = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
+    name = F.split(F.substring("path", len(whole) + 2, 1 << 20), "/")[0]
     found = list_files(spark, root).select(name.alias("dataset")).distinct()
     return (found.where(F.col("dataset").endswith(suffix)) if suffix else found).orderBy("dataset")
