@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagia.functions.columns import rose_sector, season, seconds_of
-from pelagia.sources.scratch import scratch_path
+from pelagia.sources.scratch import scratch_path, written
 
 #: Steps of resampling: the unit and, for the spine, the interval.
 STEPS = {"hour": "interval 1 hour", "day": "interval 1 day", "month": "interval 1 month", "year": "interval 1 year"}
@@ -73,20 +73,76 @@ def gaps(df: DataFrame, time: str, by: Sequence[str] = ()) -> DataFrame:
 
 def band(df: DataFrame, time: str, unit: str, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Mean and 5 to 95 percent band per bin."""
-    p = F.percentile(value, F.array(F.lit(0.05), F.lit(0.95)))
-    out = df.groupBy(*by, F.date_trunc(unit, F.col(time)).alias("bin")).agg(F.avg(value).alias("mean"), p.alias("p"))
-    return out.select(*by, "bin", "mean", F.col("p")[0].alias("p05"), F.col("p")[1].alias("p95"))
+    rows = df.select(*by, F.date_trunc(unit, F.col(time)).alias("bin"), F.col(value).alias("__v"))
+    keys = [*by, "bin"]
+    bands = exact_quantiles(rows, [F.col(k) for k in keys], "__v", {"p05": 0.05, "p95": 0.95})
+    return _by_keys(rows.groupBy(*keys).agg(F.avg("__v").alias("mean")), bands, keys, "left").select(*keys, "mean", "p05", "p95")
 
 
 def quantiles(df: DataFrame, by: Sequence[str | Column], value: str, probabilities: Sequence[float], exact: bool = True) -> DataFrame:
     """Counts and interpolated quantiles per group, named p0, p25, ...; approximate ones on request."""
     names = [f"p{round(100 * q):d}" for q in probabilities]
-    q = F.percentile(value, F.array(*[F.lit(float(x)) for x in probabilities])) if exact else F.percentile_approx(value, [float(x) for x in probabilities])
     keys = [F.col(b) if isinstance(b, str) else b for b in by]
+    if exact:
+        return exact_quantiles(df, keys, value, dict(zip(names, probabilities)))
+    q = F.percentile_approx(value, [float(x) for x in probabilities])
     out = df.groupBy(*keys).agg(F.count(value).alias("n"), q.alias("__q"))
     return out.select(*[c for c in out.columns if c != "__q"], *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
 
 
+#: One over the share of ranks by which a sketch may be wrong.
+ACCURACY = 10_000
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[Column], value: str, wanted: dict[str, float]) -> DataFrame:
+    """(by, n, a column per name): exact interpolated quantiles whose buffers do not grow with a group's distinct values.
+
+    A mergeable sketch of each group gives, for each quantile, a bracket of values that
+    holds its rank whatever the sketch's error.  Then values below the bracket are
+    counted, its own values are counted one by one, which is a share of 4 / ACCURACY of
+    the group's rows, and the values next to it on both sides are kept, as a rank may be one
+    off.  The ranks next to the quantile are found among these.  Missing and NaN values count for nothing; a group of
+    such values has n 0 and NULLs.
+    """
+    x = F.col(value).cast("double")
+    rows = df.select(*by, F.when(~F.isnan(x), x).alias("__x"))
+    keys = rows.columns[:-1]
+    ends = [min(1.0, max(0.0, q + side * 2 / ACCURACY)) for q in wanted.values() for side in (-1, 1)]
+    sketch = written(rows.groupBy(*keys).agg(F.count("__x").alias("n"), F.percentile_approx("__x", ends, ACCURACY).alias("__e"), F.min("__x").alias("__min"), F.max("__x").alias("__max")), "sketch")
+
+    def bracket(i: int, q: float, name: str) -> Column:
+        low = F.col("__min") if ends[2 * i] == 0 else F.col("__e")[2 * i]
+        high = F.col("__max") if ends[2 * i + 1] == 1 else F.col("__e")[2 * i + 1]
+        return F.struct(F.lit(name).alias("name"), low.alias("low"), high.alias("high"), ((F.col("n") - 1) * q).alias("h"))
+
+    each = sketch.where("n > 0").select(*keys, F.explode(F.array(*[bracket(i, q, k) for i, (k, q) in enumerate(wanted.items())])).alias("b")).select(*keys, "b.*")
+    both = _by_keys(rows.where("__x is not null"), each, keys)
+    # What is below stands as one value, so is what is above; both are combined before the shuffle.
+    place = F.when(F.col("__x") < F.col("low"), -1).when(F.col("__x") > F.col("high"), 1).otherwise(0)
+    counted = both.withColumn("side", place).groupBy(*keys, "name", "h", "side", F.when(F.col("side") == 0, F.col("__x")).alias("v")).agg(F.count(F.lit(1)).alias("c"), F.min("__x").alias("least"), F.max("__x").alias("most"))
+    w = Window.partitionBy(*keys, "name").orderBy("side", "v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("upto", F.sum("c").over(w))
+    at = lambda k: F.min(F.when(F.col("upto") > k, F.when(F.col("side") < 0, F.col("most")).otherwise(F.col("least"))))
+    k = F.floor("h")
+    found = upto.groupBy(*keys, "name", "h").agg(at(k).alias("a"), at(k + 1).alias("b"))
+    share = F.col("h") - k
+    value_of = F.when(share > 0, F.col("a") + share * (F.col("b") - F.col("a"))).otherwise(F.col("a"))
+    wide = found.select(*keys, "name", value_of.alias("q")).groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in wanted])
+    out = _by_keys(sketch.select(*keys, "n"), wide, keys, "left")
+    return out.select(*keys, "n", *wanted)
+
+
+def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on keys that may be missing; without keys the right side is the few rows of one group."""
+    if not keys:
+        return left.join(F.broadcast(right), F.lit(True), how)
+    other = right.select(*[F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return left.join(other, same, how).drop(*[f"__{c}" for c in keys])
+
+
 def climatology(df: DataFrame, key: Column, value: str) -> DataFrame:
     """(key, mean, sd, n): population standard deviation, as for a full set of years."""
     return df.groupBy(key.alias("key")).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"), F.count(value).alias("n"))
@@ -147,7 +203,8 @@ def rose(df: DataFrame, direction: Column, magnitude: Column, edges: Sequence[fl
 
 def quantile_buckets(counts: DataFrame, value: str, n: int = 10) -> DataFrame:
     """0-based right-closed quantile bucket of each row; equal breaks are merged."""
-    breaks = counts.agg(F.array_distinct(F.percentile(value, F.array(*[F.lit(k / n) for k in range(n + 1)]))).alias("__b"))
+    names = {f"__q{k}": k / n for k in range(n + 1)}
+    breaks = exact_quantiles(counts, [], value, names).select(F.array_distinct(F.array(*names)).alias("__b"))  # one row
     out = counts.crossJoin(F.broadcast(breaks))
     below = F.size(F.filter(F.col("__b"), lambda b: b < F.col(value)))
     return out.withColumn("bucket", F.greatest(below - 1, F.lit(0))).drop("__b")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ast
+import contextlib
+import json
+import warnings
+from collections.abc import Callable, Sequence
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pelagia.operators.select import CANDIDATES
 
@@ -22,7 +28,7 @@ DEPTH_STANDARDS = ("depth", "pressure")
 
 
 def key_extent(df: DataFrame, key: str = "timestamp") -> DataFrame:
-    """Extent in whole periods, from partition keys alone."""
+    """Extent in whole periods, from partition keys alone (see `files.partition_values`)."""
     k = F.col(key).cast("long")
     return df.agg(F.timestamp_seconds(F.min(k)).alias("start"), F.timestamp_seconds(F.max(k)).alias("end"))
 
@@ -122,10 +128,54 @@ def dataset_types(catalogue: DataFrame) -> DataFrame:
     return per.select("dataset", kind.alias("kind"))
 
 
+#: Times that a text is mended before it counts as plain.
+REPAIRS = 10
+_PAIRS = {"{": "}", "[": "]", "(": ")"}
+
+
+def read_literal(text: str) -> str | None:
+    """JSON of a text that holds a list, tuple or mapping as Python writes it, or JSON with stray backslashes; None for others.
+
+    Mending puts a backslash where the JSON reader stops, REPAIRS times at most.
+    """
+    bare = text.strip()
+    if not bare or _PAIRS.get(bare[0]) != bare[-1]:
+        return None
+    with warnings.catch_warnings(), contextlib.suppress(ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+        warnings.simplefilter("ignore")
+        found = ast.literal_eval(bare)
+        if isinstance(found, (dict, list, tuple)):
+            return json.dumps(found, allow_nan=False, separators=(",", ":"))
+    for _ in range(REPAIRS):
+        try:
+            return json.dumps(json.loads(bare), allow_nan=False, separators=(",", ":"))
+        except json.JSONDecodeError as e:
+            if e.pos >= len(bare):
+                return None
+            bare = f"{bare[: e.pos]}\\{bare[e.pos :]}"
+        except (ValueError, RecursionError):
+            return None
+    return None
+
+
+@F.pandas_udf(StringType())
+def _literals(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else read_literal(t))
+
+
 def decoded(value: Column) -> Column:
-    """An attribute as JSON text where it parses (single quotes read as double ones), else as it is."""
-    fixed = F.replace(value, F.lit("'"), F.lit('"'))
-    return F.coalesce(F.to_json(F.try_parse_json(value)), F.to_json(F.try_parse_json(fixed)), value)
+    """An attribute as JSON text where it reads as JSON or as a Python literal, else as it is.
+
+    JSON is read by Spark; only values in brackets that are none go to the literal reader.
+    """
+    plain = F.try_parse_json(value)
+    odd = F.when(plain.isNull() & F.trim(value).rlike(r"(?s)^[\[({].*[\])}]$"), value)
+    return F.coalesce(F.to_json(plain), F.to_json(F.try_parse_json(_literals(odd))), value)
+
+
+def decoded_variant(value: Column) -> Column:
+    """The same as VARIANT, NULL for plain texts."""
+    return F.try_parse_json(decoded(value))
 
 
 def _indel_ratio(a: str, b: str) -> float:
@@ -143,13 +193,48 @@ def _indel_ratio(a: str, b: str) -> float:
 
 
 def _partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter text with any equally long part of the longer one."""
-    short, long_ = sorted((a, b), key=len)
-    if not short:
-        return 100.0 if not long_ else 0.0
-    if short in long_:
+    """Whole percent of the best likeness of the shorter text to a part of the longer one that begins where a common block would put it.
+
+    Common blocks are the longest one and, on both its sides, those of what is left; a part
+    is as long as the shorter text, or reaches to the end.  An empty text is like all.
+    """
+    if a == b:
         return 100.0
-    return max(_indel_ratio(short, long_[i : i + len(short)]) for i in range(len(long_) - len(short) + 1))
+    short, long_ = (a, b) if len(a) <= len(b) else (b, a)
+    best = 0.0
+    for block in SequenceMatcher(None, short, long_).get_matching_blocks():
+        start = max(0, block.b - block.a)
+        best = max(best, SequenceMatcher(None, short, long_[start : start + len(short)]).ratio())
+        if best > 0.995:
+            return 100.0
+    return float(round(100 * best))
+
+
+def needed_grams(shorter: Column, threshold: float) -> Column:
+    """How many of its pairs of neighbouring letters the shorter text has in common with the longer one at least, if they reach the threshold.
+
+    At a likeness of r (half a percent less than the threshold, for rounding) m letters of
+    the shorter text and a part of w letters agree in r (m + w) / 2, so w is r m / (2 - r)
+    at least.  Letters that agree lie in one block more than letters that don't, and each
+    block loses one pair: three times what agrees, less m, w and 1.
+    """
+    r = (threshold - 0.5) / 100
+    return F.ceil((1.5 * r - 1) * 2 / (2 - r) * shorter - 1 - F.lit(1e-9))
+
+
+def fuzzy_candidates(values: DataFrame, value: str) -> Callable[[float], DataFrame]:
+    """For a threshold, the rows of `values` (value) that share enough pairs of letters with a text to reach it: an inverted index asked for the text's pairs."""
+    pairs = lambda text: F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda k: F.substr(text, k, F.lit(2)))
+    long_enough = values.where(F.length("value") > 1)
+    index = long_enough.select("value", F.explode(pairs(F.col("value"))).alias("pair")).groupBy("value", "pair").agg(F.count(F.lit(1)).alias("there"))
+    asked = values.sparkSession.createDataFrame([(k, value[k : k + 2]) for k in range(len(value) - 1)], "k int, pair string").groupBy("pair").agg(F.count(F.lit(1)).alias("here"))
+    met = index.join(F.broadcast(asked), "pair").groupBy("value").agg(F.sum(F.when(F.length("value") < len(value), F.col("there")).otherwise(F.col("here"))).alias("shared"))  # no more pairs than the text has
+
+    def reaching(threshold: float) -> DataFrame:
+        least = needed_grams(F.least(F.length("value"), F.lit(len(value))), threshold)
+        return values.join(met, "value", "left").where(F.coalesce("shared", F.lit(0)) >= least).select("value")
+
+    return reaching
 
 
 def ratio_udf(partial: bool = False):
@@ -164,10 +249,16 @@ def ratio_udf(partial: bool = False):
 
 
 def find_datasets(catalogue: DataFrame, value: str, key: str = "standard_name", threshold: float = 80.0) -> DataFrame:
-    """Datasets with a variable whose attribute is like the value."""
-    wanted = catalogue.where(F.col("key") == key).select("dataset", F.lower("value").alias("value"))
-    distinct = wanted.select("value").distinct().withColumn("score", F.when(F.contains("value", F.lit(value.lower())), 100.0).otherwise(ratio_udf(True)(F.lit(value.lower()), F.col("value"))))
-    return wanted.join(distinct.where(F.col("score") >= threshold), "value").select("dataset").distinct()
+    """Datasets with a variable whose attribute is like the value, as a whole percent.
+
+    Each distinct attribute is compared once, and only if it shares enough pairs of
+    letters with the value (`fuzzy_candidates`); one that holds the value is like it.
+    """
+    wanted = catalogue.where((F.col("key") == key) & F.col("value").isNotNull()).select("dataset", F.lower("value").alias("value"))
+    asked = value.lower()
+    near = fuzzy_candidates(wanted.select("value").distinct(), asked)(threshold)
+    scored = near.withColumn("score", F.when(F.contains("value", F.lit(asked)), 100.0).otherwise(ratio_udf(True)(F.lit(asked), F.col("value"))))
+    return wanted.join(scored.where(F.col("score") >= threshold), "value").select("dataset").distinct()
 
 
 #: Weights of the fields that a search looks at.
@@ -181,14 +272,15 @@ def tokens_of(text: Column) -> Column:
 def search(fields: DataFrame, query: str, top: int = 10) -> DataFrame:
     """(dataset, score) best first: per query token the best token ratio in each field, weighted; `fields` has dataset, field, text.
 
-    Ratios are computed once per distinct pair of tokens.
+    A token that the query repeats counts each time.  Ratios are computed once per distinct
+    pair of tokens.
     """
     spark = fields.sparkSession
     words = fields.select("dataset", "field", F.explode(tokens_of(F.col("text"))).alias("token"))
-    asked = spark.range(1).select(F.explode(F.array_distinct(tokens_of(F.lit(query)))).alias("q"))
+    asked = spark.range(1).select(F.explode(tokens_of(F.lit(query))).alias("q")).groupBy("q").agg(F.count(F.lit(1)).alias("times"))
     pairs = words.select("token").distinct().crossJoin(F.broadcast(asked)).withColumn("r", ratio_udf()(F.col("q"), F.col("token")) / 100.0)
     weight = F.create_map(*[F.lit(x) for kv in FIELD_WEIGHTS.items() for x in kv])[F.col("field")]
-    best = words.join(pairs, "token").groupBy("dataset", "field", "q").agg(F.max("r").alias("r"))
+    best = words.join(pairs, "token").groupBy("dataset", "field", "q").agg(F.max(F.col("r") * F.col("times")).alias("r"))
     return best.groupBy("dataset").agg(F.round(F.sum(F.col("r") * weight), 6).alias("score")).where("score > 0").orderBy(F.desc("score"), "dataset").limit(top)
 
 

@@ -69,7 +69,7 @@ def box_filter(lat: str, lon: str, box: tuple[float, float, float, float]) -> Co
 def cells_touching(cells: DataFrame, box: tuple[float, float, float, float], delta: float) -> DataFrame:
     """Of (cell_lat, cell_lon, ...) rows, those whose square of 2 * delta touches the box."""
     return cells.where(
-        (F.col("cell_lat") - delta <= box[1]) & (F.col("cell_lat") + delta >= box[0]) & (F.col("cell_lon") - delta <= box[3]) & (F.col("cell_lon") + delta >= box[2])
+        F.col("cell_lat").cast("double").between(box[0] - delta, box[1] + delta) & F.col("cell_lon").cast("double").between(box[2] - delta, box[3] + delta)
     )
 
 
@@ -86,17 +86,30 @@ def scalar_filter(df: DataFrame, values: dict[str, object]) -> Column:
 def get_data(
     df: DataFrame, start=None, end=None, box=None, scalars: dict[str, object] | None = None, columns: Sequence[str] | None = None, time: str | None = None,
     lat: str | None = None, lon: str | None = None, key: str | None = None, period: str = "M", cells: tuple[str, str, float] | None = None, order: bool = True,
+    known: DataFrame | None = None, checked: bool = False,
 ) -> DataFrame:
     """Rows of a tabular dataset in a period, a box and with given values, sorted by time.
 
     Without a start there is no time condition, whatever the end.  `key` names the period
-    key and `cells` the cell keys and their delta, which prune partitions.
+    key and `cells` the cell keys and their delta, which prune partitions.  `known` is the
+    table of the dataset's cell keys: the cells that touch the box are joined, so that
+    Spark prunes partitions by them at run time; there are no more of them than cells on
+    the globe.  With `checked` a period outside the data raises DateOutOfRange, which reads
+    the first and last period only, and a box that no known cell touches BoxOutside.
     """
     time = time or coordinate(df, "TIME")
+    if checked and start is not None:
+        check_period(df, time, start, end, key)
     conditions = [time_filter(time, start, end, key, period) if start is not None else None]
     if box is not None:
         lat, lon = lat or coordinate(df, "LATITUDE"), lon or coordinate(df, "LONGITUDE")
-        conditions += [box_filter(lat, lon, box), cell_filter(cells[0], cells[1], box, cells[2]) if cells else None]
+        conditions.append(box_filter(lat, lon, box))
+        if cells and known is not None:
+            if checked:
+                check_box(known, box, cells[2])
+            df = df.join(F.broadcast(cells_touching(known, box, cells[2]).select(cells[0], cells[1])), [cells[0], cells[1]], "left_semi").select(*df.columns)
+        elif cells:
+            conditions.append(cell_filter(cells[0], cells[1], box, cells[2]))
     conditions.append(scalar_filter(df, scalars) if scalars else None)
     out = df.where(all_of(conditions))
     # The sort comes before the projection, so time need not be asked for.
@@ -104,14 +117,19 @@ def get_data(
     return out.select(*columns) if columns else out
 
 
-def check_period(df: DataFrame, time: str, start, end) -> None:
-    low, high = df.agg(F.min(time), F.max(time)).first()
-    a, b = df.sparkSession.range(1).select(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")).first()
+def check_period(df: DataFrame, time: str, start, end=None, key: str | None = None) -> None:
+    """Raises DateOutOfRange if the period ends before the data or begins after it; with a period key only its first and last value are read."""
+    if key is not None:
+        ends = df.agg(F.min(F.col(key).cast("long")).alias("a"), F.max(F.col(key).cast("long")).alias("b")).first()
+        df = df.where(F.col(key).cast("long").isin(ends["a"], ends["b"]))
+    low, high = df.agg(F.min(time).cast("timestamp"), F.max(time).cast("timestamp")).first()
+    a, b = df.sparkSession.range(1).select(F.lit(start).cast("timestamp"), F.coalesce(F.lit(end).cast("timestamp"), F.current_timestamp())).first()
     if low is None or b < low or a > high:
         raise DateOutOfRange(f"{start} to {end} is outside {low} to {high}")
 
 
 def check_box(cells: DataFrame, box, delta: float) -> None:
+    """Raises BoxOutside if no cell touches the box."""
     if cells_touching(cells, box, delta).isEmpty():
         raise BoxOutside(f"no cell touches {box}")
 

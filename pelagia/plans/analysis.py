@@ -31,6 +31,12 @@ def hourly_median(spark: SparkSession, d: str) -> DataFrame:
     return rnd(rnd(A.resample(obs(spark, d), "ts", "hour", {"median": ("value", "median"), "total": ("value", "sum")}, ["event_type"], dense=False), "median"), "total", digits=4)
 
 
+@query("SELECT count(l_extendedprice) AS n, round(quantile_cont(l_extendedprice, 0.0), 6) AS p0, round(quantile_cont(l_extendedprice, 0.25), 6) AS p25, round(median(l_extendedprice), 6) AS p50, round(quantile_cont(l_extendedprice, 0.99), 6) AS p99 FROM lineitem")
+def price_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of all rows at once, with bounded buffers."""
+    return rnd(A.quantiles(table(spark, d, "lineitem"), [], "l_extendedprice", [0.0, 0.25, 0.5, 0.99]), "p0", "p25", "p50", "p99")
+
+
 def unit_sql(rows: str, by: str, time: str) -> str:
     """The unit that the median gap of `rows` gives."""
     gap = f"SELECT epoch({time}) - lag(epoch({time})) OVER (PARTITION BY {by} ORDER BY {time}) AS g FROM (SELECT DISTINCT {by} AS k, {time} FROM {rows})".replace(f"PARTITION BY {by}", "PARTITION BY k")
@@ -478,6 +484,36 @@ def cube_upsert(spark: SparkSession, d: str) -> DataFrame:
     return rnd(G.upsert_times(c, new, "time").groupBy("time").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")), "total", digits=4)
 
 
+@query(f"""WITH {CUBE}, s AS (SELECT DISTINCT lat, lon, lat * 100 + lon AS depth FROM cube), a AS (SELECT time, lat, lon, value FROM cube WHERE time < TIMESTAMP '1998-01-01'),
+    b AS (SELECT time, lat, lon, value * 2 AS value FROM cube WHERE month(time) IN (3, 4, 6)), c AS (SELECT time, lat, lon, value * 3 AS value FROM cube WHERE month(time) = 4 AND lat < 5),
+    x AS (SELECT * FROM a WHERE time NOT IN (SELECT time FROM b) UNION ALL SELECT * FROM b), y AS (SELECT * FROM x WHERE time NOT IN (SELECT time FROM c) UNION ALL SELECT * FROM c)
+    SELECT time, count(*) AS n, round(sum(value), 4) AS total, sum(depth)::BIGINT AS depth FROM y JOIN s USING (lat, lon) GROUP BY 1""")
+def stored_cube_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """A stored cube after two upserts of runs of times; depths, which have no time, stay as stored."""
+    from pelagia.sources import datasets
+    from pelagia.sources.scratch import scratch_path
+
+    c = cube(spark, d).select("time", "lat", "lon", "value", (F.col("lat") * 100 + F.col("lon")).alias("floor"), F.year("time").alias("bin"))
+    data = datasets.CubeDataset(spark, scratch_path(spark, "grid.cube"))
+    data.append(c.where("time < '1998-01-01'"), "bin")
+    data.upsert(c.where(F.month("time").isin(3, 4, 6)).withColumns({"value": F.col("value") * 2, "floor": F.lit(-1)}), "bin", static=["floor"])
+    data.upsert(c.where((F.month("time") == 4) & (F.col("lat") < 5)).withColumns({"value": F.col("value") * 3, "floor": F.lit(-1)}), "bin", static=["floor"])
+    return rnd(data.df.groupBy("time").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.sum("floor").alias("depth")), "total", digits=4)
+
+
+@query(f"""WITH {CUBE}, t AS (SELECT time, row_number() OVER (ORDER BY time) AS k FROM (SELECT DISTINCT time FROM cube)), c AS (SELECT time, k - row_number() OVER (ORDER BY time) AS g FROM t WHERE month(time) IN (3, 4, 6)),
+    r AS (SELECT min(time) AS first, max(time) AS last, count(*) AS times FROM c GROUP BY g) SELECT row_number() OVER (ORDER BY first) AS region, first, last, times, 'floor' AS left_out FROM r""")
+def upsert_regions(spark: SparkSession, d: str) -> DataFrame:
+    """The regions that an upsert overwrites in a stored cube."""
+    from pelagia.sources import datasets
+    from pelagia.sources.scratch import scratch_path
+
+    c = cube(spark, d).select("time", "lat", "lon", "value", (F.col("lat") * 100 + F.col("lon")).alias("floor"), F.year("time").alias("bin"))
+    data = datasets.CubeDataset(spark, scratch_path(spark, "grid.cube"))
+    data.append(c, "bin")
+    return data.upsert(c.where(F.month("time").isin(3, 4, 6)), "bin", static=["floor"])
+
+
 @query("SELECT l_shipdate AS time, count(DISTINCT l_orderkey % 12) AS files FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_orderkey % 12) > 1")
 def duplicated_times(spark: SparkSession, d: str) -> DataFrame:
     """Times that several files wrote."""

@@ -111,9 +111,16 @@ def metadata_update(spark: SparkSession, d: str) -> DataFrame:
     return store.edit_attributes(c, wanted, ["standard_name"])
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 'plain text' WHEN event_id % 3 = 1 THEN '{"k":' || (event_id % 9) || '}' ELSE '{"k":' || regexp_extract(props, '[0-9]+') || '}' END AS value FROM events""")
+@query(r"""SELECT event_id, CASE event_id % 8 WHEN 0 THEN '{"k":' || regexp_extract(props, '[0-9]+') || '}' WHEN 1 THEN '{"k":' || (event_id % 9) || '}' WHEN 2 THEN 'plain (text' WHEN 3 THEN '{"a":null,"b":true,"c":"it''s"}'
+    WHEN 4 THEN '[' || (event_id % 7) || ',2]' WHEN 5 THEN '["x",[1,2.5],false]' WHEN 6 THEN '{"p":"C:\\data","q":null}' ELSE '[not, closed}' END AS value FROM events""")
 def attribute_values(spark: SparkSession, d: str) -> DataFrame:
-    """Attribute values as JSON where they parse."""
+    """Attribute values as JSON: JSON, Python's mappings, lists and tuples, stray backslashes; texts stay."""
     i = F.col("event_id")
-    v = F.when(i % 3 == 2, F.lit("plain text")).when(i % 3 == 1, F.concat(F.lit("{'k': "), (i % 9).cast("string"), F.lit("}"))).otherwise(F.col("props"))
+    kinds = [
+        F.col("props"), F.concat(F.lit("{'k': "), (i % 9).cast("string"), F.lit("}")), F.lit("plain (text"), F.lit("""{'a': None, 'b': True, 'c': "it's"}"""),
+        F.concat(F.lit("("), (i % 7).cast("string"), F.lit(", 2)")), F.lit("['x', (1, 2.5), False]"), F.lit('{"p": "C:\\data", "q": null}'), F.lit("[not, closed}"),
+    ]
+    v = kinds[7]
+    for k in range(7):
+        v = F.when(i % 8 == k, kinds[k]).otherwise(v)
     return table(spark, d, "events").select("event_id", extents.decoded(v).alias("value"))

@@ -199,12 +199,11 @@ def settings_check(spark: SparkSession, d: str) -> DataFrame:
     kinds = table(spark, d, "part").groupBy(F.col("p_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
     child = {"PROMO": _settings("DATE"), "SMALL": {"schema_transformation": {"partitioning": [{"source_variable": "timestamp", "time_extent": {"time_varname": "TIME", "partition_period": "century"}}, "polygon"]}}}
 
-    @F.udf("string")
-    def errors(kind: str) -> str:  # a row per kind of dataset
-        merged = schema.merge_settings(_settings("TIME"), json.loads(json.dumps(child.get(kind, {}))))
-        return "; ".join(schema.settings_errors(merged))
-
-    return kinds.select("kind", errors("kind").alias("errors"), "n")
+    said = lambda own: F.lit("; ".join(schema.settings_errors(schema.merge_settings(_settings("TIME"), json.loads(json.dumps(own))))))
+    errors = said({})  # settings are few, and checked where the job is planned
+    for kind, own in child.items():
+        errors = F.when(F.col("kind") == kind, said(own)).otherwise(errors)
+    return kinds.select("kind", errors.alias("errors"), "n")
 
 
 @query("""SELECT p_partkey, upper(split_part(lower(trim(' ' || p_name || ' ')), ' ', 1)) AS first_word, 'f' || p_partkey || '.nc' AS name, (p_partkey % 10)::BIGINT AS digit, replace(p_name, ' ', '_') AS id FROM part""")

@@ -171,8 +171,47 @@ def temporal_extent(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {OBS} SELECT make_timestamp(min(epoch(date_trunc('week', ts)))::BIGINT * 1000000) AS start, make_timestamp(max(epoch(date_trunc('week', ts)))::BIGINT * 1000000) AS \"end\" FROM obs")
 def key_extent(spark: SparkSession, d: str) -> DataFrame:
-    """Extent from partition keys."""
-    return extents.key_extent(keyed(obs(spark, d)))
+    """Extent from partition keys, which the paths of the stored files tell."""
+    return extents.key_extent(files.partition_values(spark, stored(spark, d), "timestamp"))
+
+
+@query(f"WITH {OBS} SELECT DISTINCT epoch(date_trunc('week', ts))::BIGINT AS timestamp, {CELLS_SQL} FROM obs")
+def stored_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Q10: the values of all partition keys of a stored table, without its data."""
+    k = files.partition_values(spark, stored(spark, d), "timestamp", "cell_lat", "cell_lon")
+    return k.select(long("timestamp").alias("timestamp"), F.col("cell_lat").cast("double").alias("cell_lat"), F.col("cell_lon").cast("double").alias("cell_lon"))
+
+
+@query(f"WITH {OBS} SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM obs WHERE ts >= TIMESTAMP '2024-01-03' AND lat BETWEEN -33 AND -31 AND lon BETWEEN 120 AND 150 GROUP BY 1")
+def box_by_key_table(spark: SparkSession, d: str) -> DataFrame:
+    """Q4 Q6: rows in a box, partitions pruned at run time by the cells that touch it."""
+    path = stored(spark, d)
+    known = files.key_table(spark, path, "cell_lat", "cell_lon")
+    rows = select.get_data(files.read_parquet(spark, path), "2024-01-03", None, (-33.0, -31.0, 120.0, 150.0), time="ts", lat="lat", lon="lon", key="timestamp", period="W", cells=("cell_lat", "cell_lon", CELL), known=known, checked=True, order=False)
+    return rnd(rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")), "total", digits=4)
+
+
+def _asked(f) -> str:
+    try:
+        f()
+    except (select.DateOutOfRange, select.BoxOutside) as e:
+        return type(e).__name__
+    return "rows"
+
+
+@query(f"""WITH {OBS}, b AS (SELECT event_type, min(ts) AS a, max(ts) AS z, bool_or(trunc(lat / 15.0) * 15.0 - 15 <= -44 AND trunc(lat / 15.0) * 15.0 + 15 >= -44.5 AND trunc(lon / 15.0) * 15.0 - 15 <= 100 AND trunc(lon / 15.0) * 15.0 + 15 >= 90) AS touched FROM obs GROUP BY 1)
+    SELECT event_type, CASE WHEN z < TIMESTAMP '2050-01-01' THEN 'DateOutOfRange' ELSE 'rows' END AS late, CASE WHEN a > TIMESTAMP '1990-01-01' THEN 'DateOutOfRange' ELSE 'rows' END AS early, CASE WHEN touched THEN 'rows' ELSE 'BoxOutside' END AS west, 'rows' AS inside FROM b""")
+def refused_selections(spark: SparkSession, d: str) -> DataFrame:
+    """Q2 Q4: what a selection says to periods and boxes outside the data of each kind."""
+    df = keyed(obs(spark, d))
+    kinds = [r["event_type"] for r in df.select("event_type").distinct().collect()]  # a few kinds of event
+
+    def said(kind: str) -> tuple:
+        own = df.where(F.col("event_type") == kind)
+        ask = lambda start, end, box: _asked(lambda: select.get_data(own, start, end, box, time="ts", lat="lat", lon="lon", key="timestamp", period="W", cells=("cell_lat", "cell_lon", CELL), known=own.select("cell_lat", "cell_lon").distinct(), checked=True))
+        return kind, ask("2050-01-01", "2051-01-01", None), ask("1980-01-01", "1990-01-01", None), ask(None, None, (-44.5, -44.0, 90.0, 100.0)), ask("2024-01-01", None, BOX)
+
+    return spark.createDataFrame([said(k) for k in kinds], "event_type string, late string, early string, west string, inside string")
 
 
 @query(f"WITH {OBS} SELECT user_id, min(lat) AS min_lat, min(lon) AS min_lon, max(lat) AS max_lat, max(lon) AS max_lon FROM obs GROUP BY 1")

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pelagia.sources.scratch import written
+
 #: Reader options of job settings and the Spark CSV option of each.
 CSV_OPTIONS = {"sep": "sep", "delimiter": "sep", "separator": "sep", "quotechar": "quote", "quote_char": "quote", "escapechar": "escape", "comment": "comment", "comment_prefix": "comment", "encoding": "encoding"}
 
@@ -86,6 +88,26 @@ def read_parquet(spark: SparkSession, path, schema: T.StructType | None = None,
     return df
 
 
+def partition_values(spark: SparkSession, root: str, *keys: str) -> DataFrame:
+    """The distinct values of partition keys as strings, from the paths of the files alone; no file is opened.
+
+    Escaped characters are decoded and the name of missing values is NULL; a key that a
+    path lacks is NULL too.
+    """
+    paths = list_files(spark, root, ".parquet").select("path")
+
+    def value(key: str):
+        text = F.regexp_extract("path", f"/{re.escape(key)}=([^/]*)/", 1)
+        return F.when((text != "") & (text != "__HIVE_DEFAULT_PARTITION__"), F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))).alias(key)
+
+    return paths.select(*[value(k) for k in keys]).distinct()
+
+
+def key_table(spark: SparkSession, root: str, *keys: str) -> DataFrame:
+    """`partition_values` written as a table: joined to the data by its keys, it prunes partitions at run time, for which Spark wants plain columns."""
+    return written(partition_values(spark, root, *keys), "keys")
+
+
 READERS: dict[str, Callable[..., DataFrame]] = {".csv": read_csv, ".parquet": read_parquet}
 
 
