@@ -38,6 +38,26 @@ def running(df: DataFrame, order: Sequence[str], value: Column, by: Sequence[str
     return out.select(*df.columns, "__sum", "__last")
 
 
+def with_previous(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows with `__before`, the row before each in its group as a struct, NULL for the first.
+
+    Within ranges of (by, order) it is the row beside; the first row of a group in a range
+    takes the group's last row of the ranges before, of which there is one for each range
+    and group.  So a long series is never ordered in one task.
+    """
+    row = F.struct(*df.columns)
+    rows = ranged(df, [*by, *order], "series")
+    w = Window.partitionBy("__part", *by).orderBy(*order)
+    here = rows.withColumn("__before", F.lag(row).over(w))
+    lasts = rows.groupBy("__part", *by).agg(F.max_by(row, F.struct(*order)).alias("__row"))
+    across = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("__part")  # rows are ranges
+    carried = lasts.select(F.col("__part").alias("__p"), *[F.col(b).alias(f"__{b}") for b in by], F.lag("__row").over(across).alias("__carried")).where("__carried is not null")
+    same = F.col("__part") == F.col("__p")
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"__{b}"))
+    return here.join(carried, same, "left").select(*df.columns, F.coalesce("__before", "__carried").alias("__before"))
+
+
 def next_above(points: DataFrame, queries: DataFrame, value: str, tie: str) -> DataFrame:
     """`queries` with `__next`, the row of `points` (as a struct of value and tie) with the least value above the query's, the smallest tie first; NULL if none is."""
     both = points.select(F.col(value).alias("__v"), F.lit(0).alias("__kind"), F.col(tie).alias("__tie"), F.lit(None).cast(queries.select(F.struct(*queries.columns).alias("q")).schema["q"].dataType).alias("__q"))

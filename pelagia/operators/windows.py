@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pelagia.functions.columns import KM_PER_DEGREE, micros_of, seconds_of
+from pelagia.operators.aggregate import exact_quantiles
+from pelagia.operators.prefix import with_previous
 
 
 #: A time bucket is so many windows long; the halo that two buckets share is one window.
@@ -133,11 +135,12 @@ def rolling_median(df: DataFrame, by: Sequence[str], time: str, value: str, widt
 
 
 def drift(df: DataFrame, by: str, time: str, lat: str, lon: str) -> DataFrame:
-    """Per platform: steps, path and mean speed in km and km/h, first and last position."""
-    w = Window.partitionBy(by).orderBy(time)
-    step = F.sqrt(F.pow(F.col(lat) - F.lag(lat).over(w), 2) + F.pow(F.col(lon) - F.lag(lon).over(w), 2)) * KM_PER_DEGREE
-    hours = (micros_of(F.col(time)) - micros_of(F.lag(time).over(w))) / 3.6e9
-    steps = df.withColumns({"__km": step, "__h": hours})
+    """Per platform: steps, path and mean speed in km and km/h, first and last position; a platform's steps are taken by ranges of time."""
+    rows = with_previous(df.select(by, time, lat, lon), [by], [time])
+    b = F.col("__before")
+    step = F.sqrt(F.pow(F.col(lat) - b[lat], 2) + F.pow(F.col(lon) - b[lon], 2)) * KM_PER_DEGREE
+    hours = (micros_of(F.col(time)) - micros_of(b[time])) / 3.6e9
+    steps = rows.withColumns({"__km": step, "__h": hours})
     return steps.groupBy(by).agg(
         F.count("__km").alias("steps"), F.sum("__km").alias("path_km"), F.avg(F.when(F.col("__h") > 0, F.col("__km") / F.col("__h"))).alias("kmh"),
         F.min_by(lat, time).alias("lat_first"), F.max_by(lat, time).alias("lat_last"),
@@ -145,9 +148,10 @@ def drift(df: DataFrame, by: str, time: str, lat: str, lon: str) -> DataFrame:
 
 
 def median_gap(df: DataFrame, by: Sequence[str], time: str) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(time)
-    gap = (micros_of(F.col(time)) - micros_of(F.lag(time).over(w))) / 1e6
-    return df.withColumn("__g", gap).groupBy(*by).agg(F.median("__g").alias("gap_s"))
+    """Median seconds between a group's consecutive rows; gaps are taken by ranges of time, their median exactly with bounded buffers."""
+    rows = with_previous(df.select(*by, time), by, [time])
+    gap = (micros_of(F.col(time)) - micros_of(F.col("__before")[time])) / 1e6
+    return exact_quantiles(rows.withColumn("__g", gap), [F.col(b) for b in by], "__g", {"gap_s": 0.5}).drop("n")
 
 
 def track_points(df: DataFrame, by: str, time: str) -> DataFrame:
@@ -180,10 +184,9 @@ def steps_from(df: DataFrame, time: str, start, n: int) -> DataFrame:
 
 
 def segments(df: DataFrame, by: str, time: str, columns: Sequence[str]) -> DataFrame:
-    """Pairs of consecutive points: each row with the next one's values as <column>_next."""
-    w = Window.partitionBy(by).orderBy(time)
-    out = df.withColumns({f"{c}_next": F.lead(c).over(w) for c in [time, *columns]})
-    return out.where(F.col(f"{time}_next").isNotNull())
+    """Pairs of consecutive points: each row with the next one's values as <column>_next; a track is paired by ranges of time."""
+    pairs = with_previous(df, [by], [time]).where(F.col("__before").isNotNull())
+    return pairs.select("__before.*", *[F.col(c).alias(f"{c}_next") for c in [time, *columns]]).where(F.col(f"{time}_next").isNotNull())
 
 
 def last_position_daily(df: DataFrame, by: str, time: str, columns: Sequence[str]) -> DataFrame:

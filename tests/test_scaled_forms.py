@@ -91,3 +91,17 @@ def test_reversed_and_repeated_coordinates_are_refused(spark):
     rows = [(f, i, v, ord(f)) for f, vs in grids.items() for i, v in enumerate(vs) for _ in range(2)]
     df = spark.createDataFrame(rows, "file string, i int, lat int, at int")
     assert {x["file"] for x in cube.coordinate_mismatches(df, "file", "lat", "i", "at").collect()} == {"b", "c", "e", "f"}
+
+
+def test_previous_rows_cross_ranges(spark):
+    r = random.Random(7)
+    rows = [(g, k, f"{g}{k}") for g in ("a", "b", None) for k in range(200)] + [("one", 5, "x")]
+    r.shuffle(rows)
+    before = {(g, k): x for g, k, x in rows}
+    df = spark.createDataFrame(rows, "g string, k int, x string").repartition(5)
+    got = prefix.with_previous(df, ["g"], ["k"]).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        assert (x["__before"] and x["__before"]["x"]) == before.get((x["g"], x["k"] - 1))
+    pairs = windows.segments(df, "g", "k", ["x"]).collect()
+    assert {(p["x"], p["x_next"]) for p in pairs} == {(f"{g}{k}", f"{g}{k + 1}") for g in ("a", "b", None) for k in range(199)}
