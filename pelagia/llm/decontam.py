@@ -204,6 +204,11 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """The rows of `docs` in which no benchmark item is found, with all their columns."""
+    """The rows of `docs` in which no benchmark item is found, with all their columns.
+
+    Edge cases: null and empty texts stay; rows that share an id go together if any of
+    them holds an item; rows with a missing id stay; an empty table gives no rows; other
+    columns go along unread.
+    """
     hit = written(contaminated(docs, benchmark, id_col=id_col, **settings).select(F.col("doc_id").alias("__hit")).distinct(), "hits")
     return docs.join(hit, F.col(id_col).cast("long") == F.col("__hit"), "left_anti")

@@ -354,7 +354,14 @@ def personal_data(docs: DataFrame, field: SegmentField | None = None, id_col: st
 
 
 def redact(docs: DataFrame, field: SegmentField | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` with each span of personal data replaced by its kind in angle brackets."""
+    """The rows of `docs` with each span of personal data replaced by its kind in angle brackets.
+
+    Spans that overlap are replaced once, by the kind of the one that begins first.
+
+    Edge cases: a null text becomes the empty one; texts without spans stay as they are;
+    repeated rows and rows with a missing id are redacted like others; an empty table gives
+    no rows; other columns go along unread.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field or fit(docs, id_col=id_col, text_col=text_col))
 
     @F.arrow_udf("string")

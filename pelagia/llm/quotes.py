@@ -103,6 +103,9 @@ def link_quotes(parsed: DataFrame, min_share: float = 0.8) -> DataFrame:
     k - least + 1, so the holders of that many of the rarest are all candidates.  Messages
     with the same sentences count as their earliest, and passages with the same sentences
     are looked up once, so repeated texts and stock phrases don't multiply.
+
+    Edge cases: a passage without sentences, and one that no earlier message holds, has no
+    row; messages of other threads are never looked at; an empty table gives no rows.
     """
     key = F.md5(F.concat_ws("|", F.concat_ws(",", F.col("units").cast("array<string>")), "thread"))
     own = parsed.where(F.size("own") > 0).groupBy("thread", F.array_sort("own").alias("own")).agg(F.min(F.struct("sent", "id")).alias("o"))

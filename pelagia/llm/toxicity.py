@@ -336,6 +336,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **setti
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **settings) -> DataFrame:
-    """The rows of `docs` whose score is below the threshold, with all their columns."""
+    """The rows of `docs` whose score is below the threshold, with all their columns.
+
+    Edge cases: null and empty texts are scored as empty ones; repeated rows, rows that
+    share an id and rows with a missing id are each judged by their own text; an empty
+    table gives no rows.
+    """
     score = scorer(docs, fit(docs, labels, **settings))
     return docs.where(score(text_of()) < threshold)

@@ -282,7 +282,11 @@ def _batch(rows: list[dict], names: list[str]) -> pa.RecordBatch:
 
 
 def page_records(records: DataFrame) -> DataFrame:
-    """Per record that `write_archive` wrote: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """Per record that `write_archive` wrote: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Edge cases: gaps have no row; a record whose id is not a page's has a NULL page_id, and
+    a response a NULL refers_to; repeated records stay.
+    """
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '<urn:page:(-?[0-9]+)>', 1) as bigint)")
     return records.where("kind = 'record'").select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
