@@ -196,6 +196,9 @@ def as_messages(turns: DataFrame) -> DataFrame:
 
     A message holds its own text, the whole turn before it one level deep and the turn
     before that two levels deep, as mail programs write it; ids grow with time.
+
+    Edge cases: turns without a conversation have no message; a null text is an empty one;
+    turns with the same number are ordered by text; an empty table gives no messages.
     """
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), text_of("text").alias("text")).where("conv_id is not null")
     rows = numbered(rows, "conv_id", ["turn"], "turns", ties=("text",))

@@ -110,6 +110,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     pair that meets in several postings is taken from the first.  Postings hold distinct
     fingerprints only, so copies don't make them grow; those with one member are dropped
     before the join, and large ones are dealt to several tasks.
+
+    Edge cases: repeated fingerprints count once; a single one, or none, gives no pairs.
     """
     if not 0 <= max_bits <= BYTES - 2:
         raise ValueError("max_bits must leave two shared byte positions or more")
