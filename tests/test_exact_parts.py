@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pelagia.operators import aggregate as A
 from pelagia.operators import extents, select
 from pelagia.operators.windows import first_per_key
+from tests.test_catalogue_forms import likeness
 
 
 def test_hulls_of_fine_coordinates(spark, monkeypatch):
@@ -52,24 +53,13 @@ def test_unit_by_counts_is_that_of_the_median(spark):
         assert A.auto_unit(df.withColumn("k", F.lit(1)), "t", ["k"]) == A.auto_unit(df, "t")
 
 
-def test_fuzzy_search_by_all_windows(spark):
+def test_fuzzy_search_by_aligned_parts(spark):
+    """Likeness is that of parts that common blocks align, in whole percent; an empty attribute is like all."""
     names = ["sea_water_temperature", "sea_water_temprature", "temperature", "salinity", "sea_surface_wave", "water_temp", "", "tempratur of water"]
     df = spark.createDataFrame([(f"d{k}", "v", "standard_name", n) for k, n in enumerate(names)] + [("x", "v", "units", "temperature")], "dataset string, variable string, key string, value string")
-
-    def lcs(a, b):
-        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
-        return table[-1][-1]
-
-    def partial(a, b):
-        a, b = sorted((a, b), key=len)
-        return max(100 * lcs(a, b[i : i + len(a)]) / len(a) for i in range(len(b) - len(a) + 1)) if a else 0.0
-
     for limit in (60.0, 80.0, 95.0):
         got = {r[0] for r in extents.find_datasets(df, "temperature", threshold=limit).collect()}
-        assert got == {f"d{k}" for k, n in enumerate(names) if partial("temperature", n) >= limit}
+        assert got == {f"d{k}" for k, n in enumerate(names) if likeness("temperature", n) >= limit}
 
 
 def test_coordinate_names_by_layout(spark):
