@@ -13,7 +13,8 @@ import hashlib
 import math
 import random
 import re
-from collections import defaultdict
+from collections import defaultdict, deque
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,6 +95,8 @@ _PIECE = re.compile(r"[A-Za-z]+|[0-9]+|\s+|.", re.S)
 MAX_PIECES = 16
 #: A segment is added only if it beats leaving it out by so much.
 MARGIN = 3.0
+#: Scores of short spans that a decoder remembers.
+REMEMBERED = 4096
 
 
 def _pieces(region: str) -> list[tuple[int, int]]:
@@ -108,35 +111,50 @@ def _shape(span: str) -> str:
     return re.sub(r"[0-9]+", "9", re.sub(r"[A-Za-z]+", "a", span))[:24]
 
 
+def _segments(region: str) -> Iterator[tuple[int, int, int, int, bool, int]]:
+    """(first piece, end piece, start, stop, has an at-sign, dots) of the segments that could be an entity, by end, then start; no more than MAX_PIECES pieces are held."""
+    window: deque = deque(maxlen=MAX_PIECES)
+    found = _PIECE.finditer(region)
+    piece, inside, n = next(found, None), False, 0
+    while piece:
+        text, following = piece.group(), next(found, None)
+        word = text.isalnum()
+        # A word is not entered in its middle, nor left there.
+        window.append((piece.start(), text in "+(" or word and not inside, len(text) if text[0].isdigit() and text.isascii() else 0, text == "@", text == "."))
+        n += 1
+        if word and not (following and following.group().isalnum()):
+            digits, at, dots, out = 0, False, 0, []
+            for back, (start, opens, size, sign, dot) in enumerate(reversed(window), 1):
+                digits, at, dots = digits + size, at or sign, dots + dot
+                if opens and (at and dots or digits >= 7 or dots >= 3 and digits >= 4):
+                    out.append((n - back, n, start, piece.end(), at, dots))
+            yield from reversed(out)
+        piece, inside = following, word
+
+
 def candidates(region: str) -> list[tuple[int, int, list[str]]]:
-    """(first piece, end piece, features) of the segments that could be an entity."""
-    parts, out = _pieces(region), []
-    texts = [region[a:b] for a, b in parts]
-    for i, first in enumerate(texts):
-        if first.isspace() or not (first.isalnum() or first in "+("):
-            continue
-        if i and texts[i - 1].isalnum() and first.isalnum():
-            continue  # a word is not entered in its middle
-        digits, at, dots = 0, False, 0
-        for j in range(i, min(len(texts), i + MAX_PIECES)):
-            last = texts[j]
-            digits += len(last) if last[0].isdigit() and last.isascii() else 0
-            at, dots = at or last == "@", dots + (last == ".")
-            if not last.isalnum() or not (at and dots or digits >= 7 or dots >= 3 and digits >= 4):
-                continue
-            if j + 1 < len(texts) and texts[j + 1].isalnum():
-                continue
-            out.append((i, j + 1, _features(region, parts[i][0], parts[j][1], at, dots)))
-    return out
+    """(first piece, end piece, features) of the segments that could be an entity, by first piece; for training, whose regions are short."""
+    return sorted((i, j, _features(region, a, b, at, dots)) for i, j, a, b, at, dots in _segments(region))
+
+
+def _side(c: str) -> str:
+    return "blank" if c.isspace() else "word" if c.isalnum() else c
+
+
+def _sides(region: str, a: int, b: int) -> tuple[str, str, str, str]:
+    """What stands next to a span, before and after, and what is there beyond blanks."""
+    near = region[a - 1 : a] or " ", region[b : b + 1] or " ", _beyond(region, a - 1, -1), _beyond(region, b, 1)
+    return tuple(_side(c) for c in near)
 
 
 def _features(region: str, a: int, b: int, at: bool, dots: int) -> list[str]:
-    span = region[a:b]
+    return _features_of(region[a:b], at, dots, *_sides(region, a, b))
+
+
+def _features_of(span: str, at: bool, dots: int, before: str, after: str, prior: str, following: str) -> list[str]:
     digits = _NOT_DIGIT.sub("", span)
     groups = re.findall(r"[0-9]+", span)
-    before, after = region[a - 1 : a] or " ", region[b : b + 1] or " "
     octets = len(groups) == 4 and dots == 3 and len(digits) + 3 == len(span) and all(len(g) <= 3 and int(g) <= 255 for g in groups)
-    side = lambda c: "blank" if c.isspace() else "word" if c.isalnum() else c
     return [
         "bias",
         "digits=" + _bucket(len(digits)),
@@ -146,10 +164,10 @@ def _features(region: str, a: int, b: int, at: bool, dots: int) -> list[str]:
         "shape=" + _shape(span),
         f"octets={octets}",
         f"luhn={12 <= len(digits) <= 19 and luhn(digits)}",
-        "before=" + side(before),
-        "after=" + side(after),
-        "prior=" + side(_beyond(region, a - 1, -1)),
-        "next=" + side(_beyond(region, b, 1)),
+        "before=" + before,
+        "after=" + after,
+        "prior=" + prior,
+        "next=" + following,
         f"letters={bool(re.search('[A-Za-z]', span))}",
         f"plus={span[0] == '+'},paren={'(' in span}",
         f"blanks={bool(re.search(r'[ ]{2}|[^ -~]', span))}",
@@ -168,33 +186,42 @@ class SegmentField:
 
     def __init__(self, weights: dict[str, dict[str, float]] | None = None):
         self.weights = weights or {k: {} for k in KINDS}
+        self._known: dict[tuple, list[tuple[str, float]]] = {}
 
     def _scores(self, found) -> list[tuple[int, int, str, float]]:
         return [(i, j, k, sum([w.get(f, 0.0) for f in fs])) for i, j, fs in found for k, w in self.weights.items()]
 
+    def _worths(self, key: tuple) -> list[tuple[str, float]]:
+        """What a segment of each kind adds, by its span and sides; remembered for short spans, of which at most REMEMBERED are kept."""
+        if (worth := self._known.get(key)) is None:
+            features = _features_of(*key)
+            worth = [(k, sum([w.get(f, 0.0) for f in features]) - MARGIN) for k, w in self.weights.items()]
+            if len(key[0]) <= 64:
+                if len(self._known) >= REMEMBERED:
+                    self._known.clear()
+                self._known[key] = worth
+        return worth
+
     def decode(self, region: str) -> list[tuple[int, int, str]]:
-        """The best segmentation; pieces outside entities score zero.  Offsets within the region."""
-        found = candidates(region)
-        if not found:
-            return []
-        parts = _pieces(region)
-        ending = defaultdict(list)
-        for i, j, k, s in self._scores(found):
-            ending[j].append((i, k, s - MARGIN))
-        best, back = [0.0] * (len(parts) + 1), [None] * (len(parts) + 1)
-        for j in range(1, len(parts) + 1):
-            best[j] = best[j - 1]
-            for i, k, s in ending[j]:
-                if best[i] + s > best[j]:
-                    best[j], back[j] = best[i] + s, (i, k)
-        out, j = [], len(parts)
-        while j:
-            if back[j]:
-                i, k = back[j]
-                out.append((parts[i][0], parts[j - 1][1], k))
-                j = i
-            else:
-                j -= 1
+        """The best segmentation; pieces outside entities score zero.  Offsets within the region.
+
+        A segment is scored when its last piece is read and then forgotten; of the best
+        segmentations only those up to the last MAX_PIECES pieces are held, as chains that
+        share what they begin with.
+        """
+        best, done = deque([(0.0, None)], maxlen=MAX_PIECES + 1), 0
+        for i, j, a, b, at, dots in _segments(region):
+            for _ in range(min(j - done, MAX_PIECES + 1)):
+                best.append(best[-1])
+            done = j
+            score, chain = best[i - j - 1]
+            for k, worth in self._worths((region[a:b], at, dots, *_sides(region, a, b))):
+                if score + worth > best[-1][0]:
+                    best[-1] = score + worth, (chain, a, b, k)
+        out, chain = [], best[-1][1]
+        while chain:
+            chain, *span = chain
+            out.append(tuple(span))
         return out[::-1]
 
     def train(self, examples: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = 6, rate: float = 0.3, l2: float = 1e-3, seed: int = 7) -> SegmentField:
@@ -224,6 +251,7 @@ class SegmentField:
                         w = self.weights[k]
                         for f in features[i, j]:
                             w[f] = w.get(f, 0.0) * (1 - step * l2) + step * delta
+        self._known.clear()
         return self
 
 

@@ -3,6 +3,7 @@
 import random
 import re
 import time
+import tracemalloc
 
 from pelagia.llm import pii
 
@@ -49,3 +50,22 @@ def test_decoding_is_the_best_segmentation():
         assert abs(got - best) < 1e-9
         seen += best > 0
     assert seen > 40
+
+
+def test_decoding_holds_no_list_of_segments():
+    """A line of figures is one region; what is held beside it and its spans does not grow with it."""
+    field = pii.SegmentField().train(pii.generated(300), epochs=2)
+    peaks = []
+    for n in (20_000, 200_000):
+        line = "+1 2" * (n // 4)
+        tracemalloc.start()
+        assert field.decode(line) == []
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < peaks[0] + 300_000
+    # Spans at any distance from each other are found, as they are alone.
+    alone = [(a, b, k) for a, b, k in field.decode("ab@cd.com")]
+    far = "ab@cd.com " + "1x " * 5000 + "ab@cd.com"
+    shift = len(far) - len("ab@cd.com")
+    got = field.decode(far)
+    assert alone and alone[0] == got[0] and got[-1] == tuple(x + shift if isinstance(x, int) else x for x in alone[0])
