@@ -3,6 +3,8 @@
 import random
 from itertools import combinations
 
+import numpy as np
+
 from pelagia.llm import near_dedup, simhash
 from pelagia.llm.common import Hasher
 
@@ -78,3 +80,16 @@ def test_indexed_shingles_guarantee_a_shared_one():
             if n >= 0.8 * m and least <= n:
                 # What both leave out can hold less than the overlap.
                 assert min(n - near_dedup.indexed(n, 0.8), m - near_dedup.indexed(m, 0.8)) < least
+
+
+def test_parities_never_differ_more_than_the_sets(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400), dtype=np.uint64))
+        b = np.unique(np.r_[a[rng.random(len(a)) < rng.random()], rng.integers(0, 1 << 63, rng.integers(0, 60), dtype=np.uint64)])
+        rows.append((near_dedup.parities(a).tolist(), near_dedup.parities(b).tolist(), len(np.setxor1d(a, b))))
+    got = spark.createDataFrame(rows, "a array<long>, b array<long>, apart int").select(near_dedup.differing("a", "b").alias("bits"), "apart").collect()
+    assert all(r["bits"] <= r["apart"] and (r["apart"] - r["bits"]) % 2 == 0 for r in got)
+    assert any(r["bits"] == r["apart"] > 20 for r in got)
+    assert near_dedup.parities(np.zeros(0, np.uint64)).tolist() == [0] * near_dedup.PARITIES
