@@ -61,10 +61,17 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
     )
     both = rows.join(dropped, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_key") == F.col("k")), "left")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
-    kept = F.filter(_lines(F.col("text")), lambda line, pos: ~F.array_contains(gone, pos))
+
+    def without(lines):
+        """The lines at the places that stay, found as a set difference by hash: linear in the lines, however many are dropped."""
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(stay, lambda pos: F.get(lines, pos)), "\n")
+
+    # A lambda's argument is split once; a column inside the lambda would be split for each line.
+    kept = F.transform(F.array(_lines(F.col("text"))), without)[0]
     return both.select(
         "doc_id",
         F.size(_lines(F.col("text"))).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_dropped"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
     )

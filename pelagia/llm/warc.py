@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -12,13 +13,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import LOWEST
+from pelagia.llm.common import LOWEST, slices
 
 #: RFC 4648.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 READ = "file string, kind string, start long, stop long, reason string, record_id string, type string, uri string, refers_to string, payload_bytes long, payload_digest string, payload binary"
+#: Bytes that are inflated at a time, at most.
 PIECE = 1 << 20
+#: A gzip member of nothing: what Spark's writer puts behind each record's own member.
+EMPTY = gzip.compress(b"", mtime=0)
 
 
 def base32_sha1(data: Column) -> Column:
@@ -38,6 +42,7 @@ def write_archive(
     date: str = "2000-01-01T00:00:00Z",
     compression: str = "gzip",
     records_per_file: int = 2000,
+    file_bytes: int = 256 << 20,
     id_col: str = "page_id",
     url_col: str = "url",
     payload_col: str = "html",
@@ -48,8 +53,14 @@ def write_archive(
     smallest id is a response and the others are revisits of it, which carry no payload;
     shorter payloads are all responses.  Equality is by SHA-256.  Which page a row
     revisits is found on ids and digests alone; payloads are shuffled once, by id, so a
-    large group of copies is spread over all tasks.  `records_per_file` bounds the files,
-    which the reader takes whole.
+    large group of copies is spread over all tasks.
+
+    With "gzip" each record is a gzip member of its own, so that damage costs one record.
+    Spark's text sink writes the members as they are and an empty member as the separator
+    between them, which readers of gzip skip; the files have no suffix of gzip.  A file
+    holds at most `records_per_file` records and `file_bytes`, but for its last record: a
+    long record is followed by as many empty rows as its bytes count for.  With "none"
+    records are plain and files are bounded by `records_per_file` alone.
 
     Edge cases: a null payload is the empty one; a null url has no target line; a missing
     id comes before all others; repeated rows of the first page are all responses.
@@ -79,9 +90,24 @@ def write_archive(
         line("Content-Length", F.octet_length("block").cast("string")),
         F.lit("\r\n"),
         F.col("block"),
-        F.lit("\r\n\r"),  # the writer's separator is the last line feed
+        F.lit("\r\n\r"),  # the last line feed follows: as the writer's separator, or in the member
     )
-    rows.withColumn("block", block).select(record.alias("value")).write.option("lineSep", "\n").option("compression", compression).option(
+    plain = rows.withColumn("block", block).select(record.alias("value"))
+    if compression == "none":
+        plain.write.option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path)
+        return
+    share = max(1, file_bytes // records_per_file)
+
+    def members(batches):
+        for batch in slices(batches, 64):
+            out: list[bytes] = []
+            for value in batch.column(0):
+                out.append(gzip.compress(value.as_py() + b"\n", 6, mtime=0))
+                out += [b""] * (len(out[-1]) // share)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+    zipped = plain.select(F.col("value").cast("binary")).mapInArrow(members, "value binary")
+    zipped.select(F.col("value").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY.decode("ISO-8859-1")).option(
         "maxRecordsPerFile", records_per_file
     ).text(path)
 
@@ -94,7 +120,7 @@ _VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r\n")
 _VERSION_HERE = re.compile(rb"WARC/1\.[01]\r\n")
 
 
-def _record(buf: bytes, at: int, final: bool) -> tuple[int, dict | str] | None:
+def _record(buf: bytes | bytearray, at: int, final: bool) -> tuple[int, dict | str] | None:
     """The record that begins at `at`: (its end, fields), or (where to search on, what is wrong); None: more bytes are needed."""
     m = _VERSION_HERE.match(buf, at)
     if not m:
@@ -107,7 +133,7 @@ def _record(buf: bytes, at: int, final: bool) -> tuple[int, dict | str] | None:
     if cut < 0 or later:
         return None if not final and not later else (at + 1, "header does not end")
     head = {}
-    for row in buf[m.end() : cut].split(b"\r\n"):
+    for row in bytes(buf[m.end() : cut]).split(b"\r\n"):
         name, colon, value = row.partition(b":")
         if not colon:
             return at + 1, "malformed header line"
@@ -121,7 +147,7 @@ def _record(buf: bytes, at: int, final: bool) -> tuple[int, dict | str] | None:
     if buf[end : end + 4] != b"\r\n\r\n":
         return at + 1, "block does not end where Content-Length says"
     # From here the frame is sound: a failed check quarantines just this record.
-    block = buf[begin:end]
+    block = bytes(memoryview(buf)[begin:end])
     if (want := head.get(b"warc-block-digest", "")).startswith("sha1:") and want[5:] != sha1_base32(block):
         return end + 4, "block digest differs"
     payload, length, kind = block, len(block), head.get(b"warc-type", "")
@@ -146,7 +172,7 @@ def _record(buf: bytes, at: int, final: bool) -> tuple[int, dict | str] | None:
     }
 
 
-def _plain(buf: bytes, base: int, final: bool) -> tuple[list[tuple], int]:
+def _plain(buf: bytes | bytearray, base: int, final: bool) -> tuple[list[tuple], int]:
     """Records and gaps of uncompressed bytes, and how many bytes are done with."""
     out, at = [], 0
     while at < len(buf):
@@ -170,19 +196,25 @@ def _plain(buf: bytes, base: int, final: bool) -> tuple[list[tuple], int]:
 
 def _member(data: bytes, at: int) -> tuple[int | None, list[tuple], str]:
     """One gzip member from `at`: (where it ends, or None if it is damaged; its records and gaps; what is wrong)."""
-    z, buf, out, base, pos = zlib.decompressobj(31), b"", [], 0, at
-    error = ""
-    while not z.eof and pos < len(data):
-        piece = data[pos : pos + PIECE]
+    z, buf, out, base, pos, size = zlib.decompressobj(31), bytearray(), [], 0, at, 4096
+    error, rest, need = "", b"", 0
+    while not z.eof and (rest or pos < len(data)):
+        if not rest:
+            rest = data[pos : pos + size]
+            pos += len(rest)
+            size = min(4 * size, PIECE)
         try:
-            buf += z.decompress(piece)
+            buf += z.decompress(rest, PIECE)
         except zlib.error as e:
             error = str(e)
             break
-        pos += len(piece)
-        found, done = _plain(buf, base, False)
-        out += found
-        buf, base = buf[done:], base + done
+        rest = z.unconsumed_tail
+        if len(buf) >= need:
+            found, done = _plain(buf, base, False)
+            out += found
+            del buf[:done]
+            base += done
+            need = 2 * len(buf)  # a long record is looked at again when twice as much of it is there
     ended = z.eof and not error
     found, _ = _plain(buf, base, True)
     out += found
@@ -234,9 +266,10 @@ def salvage(data: bytes) -> Iterator[tuple]:
             continue
         else:
             gap = at if gap is None else gap
-        version = _VERSION.search(data, at + 1)
-        places = [data.find(b"\x1f\x8b\x08", at + 1), version.start() if version else -1]
-        at = min([p for p in places if p >= 0], default=len(data))
+        member = data.find(b"\x1f\x8b\x08", at + 1)
+        end = member if member >= 0 else len(data)
+        version = _VERSION.search(data, at + 1, end + 10)  # one that begins before the member
+        at = version.start() if version and version.start() < end else end
     if gap is not None:
         yield "gap", gap, len(data), "not a member or a version line", {}
 
@@ -253,7 +286,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     """Records and quarantined gaps of the archives under `path` (columns of READ; kind is record or gap).
 
     Each file is read whole by one task, so it must stay below the 2 GB of Spark's binary
-    reader; a damaged file never fails the job.
+    reader (`write_archive` bounds its files); a damaged file never fails the job.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 

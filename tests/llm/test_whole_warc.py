@@ -1,6 +1,7 @@
 """Sound records with gzip bodies in plain archives, and headers of any length."""
 
 import gzip
+import random
 
 from pelagia.llm import warc
 
@@ -37,3 +38,39 @@ def test_headers_of_any_length(spark, tmp_path):
     path = str(tmp_path / "archive")
     warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
     assert {r["page_id"] for r in warc.page_records(warc.read_archives(spark, path)).collect()} == {1, 2}
+
+
+def test_a_flipped_byte_of_a_written_archive_costs_one_record(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(k, f"http://{k}", "".join(rng.choices("abcdefgh <>", k=rng.choice([10, 500, 3000])))) for k in range(300)]
+    path = tmp_path / "archive"
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2), str(path))
+    for part in path.glob("part-*"):
+        data = part.read_bytes()
+        whole = gzip.decompress(data)  # any reader of gzip takes the file
+        assert whole == b"".join(b"WARC/1.1" + x for x in whole.split(b"WARC/1.1")[1:])
+        got, gaps = read(data)
+        assert len(got) == whole.count(b"WARC/1.1") and not gaps
+        for _ in range(60):
+            bad = bytearray(data)
+            bad[rng.randrange(len(bad))] ^= 1 << rng.randrange(8)
+            assert len(read(bytes(bad))[0]) >= len(got) - 1
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    rng = random.Random(6)
+    sizes = [200_000, 100, 100, 300_000, 50_000, 100, 150_000, 100, 100, 100]
+    rows = [(k, "u", rng.randbytes(n // 2).hex()) for k, n in enumerate(sizes)]
+    path = tmp_path / "archive"
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(path), records_per_file=8, file_bytes=160_000)
+    files = [p.stat().st_size for p in path.glob("part-*")]
+    assert len(files) > 2 and max(files) < 160_000 + 200_000
+    back = warc.read_archives(spark, str(path)).where("kind = 'record'").collect()
+    assert sorted(r["payload_bytes"] for r in back) == sorted(sizes)
+
+
+def test_long_records_in_one_member():
+    body = random.Random(7).randbytes(9_000_000)
+    data = gzip.compress(record(1, body) + record(2, b"x" * 40_000_000) + record(3, b"end"), 1)
+    got, gaps = read(data)
+    assert [len(p) for _, p in got] == [9_000_000, 40_000_000, 3] and not gaps
