@@ -17,10 +17,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-#: Never part of an article's text.
-DROPPED = frozenset(
-    "head title script style noscript template iframe object svg math canvas audio video nav header footer aside form button select option textarea input dialog menu".split()
-)
+#: No text of the page at all.
+UNREAD = frozenset("head title script style noscript template iframe object svg math canvas audio video button select option textarea input".split())
+#: Tags that speak against a line.
+OUTER = frozenset("nav header footer aside form dialog menu".split())
 LANDMARK = frozenset(["article", "main"])
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Words of class and id that name page furniture.
@@ -40,6 +40,10 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
+#: Evidence against a line: its score is multiplied by these, for page furniture by tag, role or name, for a place outside the text's regions, for being all links, and for standing in no element of prose.
+MARKED, OUTSIDE, LINKED, LOOSE = 0.01, 0.02, 0.1, 0.3
+#: The smoothed ratio that scores one half.
+HALF = 50.0
 #: Of regions beside one another those are kept that have so much of the largest one's text.
 SHARE = 0.3
 
@@ -50,26 +54,29 @@ class PageLines(HTMLParser):
     def __init__(self, by_name: bool = True, kept: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.by_name, self.kept = by_name, kept
-        self.stack: list[tuple[str, bool, int, bool, bool, int, bool]] = []  # tag, and what was before it: dropped, region, in comments, dropped but for names, named element, in a link
+        self.stack: list[tuple[str, bool, int, bool, bool, int, bool, bool]] = []  # tag, and what was before it: marked, region, in comments, marked but for names, named element, in a link, unread
         self.open: Counter = Counter()  # tags on the stack
         self.seen = 0  # start tags
         self.hard, self.named, self.link = False, -1, False
-        #: Per outermost element dropped by its name: characters outside links, pieces of prose, whether it has a wrapper's name.
+        #: Per outermost element marked by its name: characters outside links, pieces of prose, whether it has a wrapper's name.
         self.held: dict[int, list] = {}
         self.total = 0
         self.regions: list[tuple[int, bool]] = [(-1, False)]  # parent, is a landmark
-        self.lines: list[tuple[str, int, int]] = []  # text, tags, region
-        self.parts: list[str] = []
+        self.lines: list[tuple[str, int, int, bool, float, bool]] = []  # text, tags, region, is marked, share of links, is in no element of prose
+        self.parts: tuple[list[str], list[str]] = ([], [])  # of the line itself, and of what is marked within it
+        self.linked = [0, 0]  # characters of both in links
         self.tags = 0
-        self.dropped, self.region, self.comments = False, 0, False
+        self.marked, self.region, self.comments, self.unread = False, 0, False, False
 
     def flush(self) -> None:
-        if self.parts:
-            text = " ".join("".join(self.parts).split())
-            if text:
-                self.lines.append((text, self.tags, self.region))
-                self.tags = 0
-            self.parts = []
+        for marked, parts in enumerate(self.parts):
+            if parts:
+                text = " ".join("".join(parts).split())
+                if text:
+                    self.lines.append((text, self.tags, self.region, bool(marked), min(1.0, self.linked[marked] / len(text)), not any(self.open[t] for t in PROSE)))
+                    self.tags = 0
+                parts.clear()
+                self.linked[marked] = 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -96,8 +103,9 @@ class PageLines(HTMLParser):
         landmark = (tag in LANDMARK or role in ("main", "article")) and not comments
         furniture = self.by_name and bool(words & FURNITURE) and not words & {"no", "has", "with", "without"} and tag not in ("html", "body") and not landmark and self.seen not in self.kept
         escapes = landmark and tag in LANDMARK
-        for_sure = tag in DROPPED or role in ROLES or hidden or comments
-        dropped = for_sure or furniture or (self.dropped and not escapes)
+        unread = tag in UNREAD or hidden or (self.unread and not escapes)
+        for_sure = tag in OUTER or role in ROLES or comments or tag in UNREAD or hidden
+        marked = for_sure or furniture or (self.marked and not escapes)
         hard = for_sure or (self.hard and not escapes)
         named = -1 if escapes else self.named
         if furniture and named < 0 and not hard:
@@ -106,12 +114,12 @@ class PageLines(HTMLParser):
         if named >= 0 and not hard and tag in PROSE:
             self.held[named][1] += 1
         region = self.region
-        if landmark or (tag in ("div", "section", "body", "td", "center") and not dropped):
+        if landmark or (tag in ("div", "section", "body", "td", "center") and not marked):
             self.regions.append((self.region, landmark))
             region = len(self.regions) - 1
         self.open[tag] += 1
-        self.stack.append((tag, self.dropped, self.region, self.comments, self.hard, self.named, self.link))
-        self.dropped, self.region, self.comments, self.hard, self.named, self.link = dropped, region, comments, hard, named, self.link or tag == "a"
+        self.stack.append((tag, self.marked, self.region, self.comments, self.hard, self.named, self.link, self.unread))
+        self.marked, self.region, self.comments, self.hard, self.named, self.link, self.unread = marked, region, comments, hard, named, self.link or tag == "a", unread
 
     def _close_open(self, closes) -> None:
         """Ends the nearest open element of `closes`, unless a list, table or block lies between."""
@@ -125,7 +133,7 @@ class PageLines(HTMLParser):
                 return
 
     def _pop_to(self, i: int) -> None:
-        _, self.dropped, self.region, self.comments, self.hard, self.named, self.link = self.stack[i]
+        _, self.marked, self.region, self.comments, self.hard, self.named, self.link, self.unread = self.stack[i]
         for frame in self.stack[i:]:
             self.open[frame[0]] -= 1
         del self.stack[i:]
@@ -147,8 +155,9 @@ class PageLines(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
-        if not self.dropped:
-            self.parts.append(data)
+        if not self.unread:
+            self.parts[self.marked].append(data)
+            self.linked[self.marked] += self.link * len(data.strip())
         if not self.hard and not self.link and (n := len(data.strip())):
             self.total += n
             if self.named >= 0:
@@ -159,9 +168,9 @@ class PageLines(HTMLParser):
         return frozenset(k for k, (n, pieces, wraps) in self.held.items() if 2 * n > self.total and (pieces > 1 or wraps))
 
 
-def ratios(lines: list[tuple[str, int, int]]) -> np.ndarray:
+def ratios(lines: list[tuple]) -> np.ndarray:
     """Text-to-tag ratio of each line, smoothed by a Gaussian over the lines."""
-    raw = np.array([len(t) / max(1, n) for t, n, _ in lines])
+    raw = np.array([len(line[0]) / max(1, line[1]) for line in lines])
     reach = int(3 * SIGMA)
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
     weight = np.convolve(np.ones(len(raw)), kernel, "full")[reach : reach + len(raw)]
@@ -187,19 +196,20 @@ def main_text(html: str) -> str:
     parser = _read(html, True)
     while wrappers := parser.wrappers():  # a wrapper that is named like furniture is kept, what it holds is looked at anew
         parser = _read(html, True, parser.kept | wrappers)
-    if not parser.lines:
+    if all(line[3] for line in parser.lines):
         parser = _read(html, False)
     lines = parser.lines
-    if not lines:
+    plain = np.array([not line[3] for line in lines], bool)
+    if not plain.any():
         return ""
     values = ratios(lines)
-    upper = cluster(values)
-    # Two clusters are found in prose alone too: lines with half the upper one's mean ratio belong to it.
-    chosen = upper | (values >= 0.5 * values[upper].mean())
+    evidence = np.array([(1.0 if ok else MARKED) * LINKED ** line[4] * (LOOSE if line[5] else 1.0) for line, ok in zip(lines, plain)])
+    score = values / (values + HALF) * evidence
+    chosen = upper(score)
     regions = parser.regions
     own, deep = [0] * len(regions), [0] * len(regions)  # characters of chosen lines in each region itself, and with its inner regions
-    for (text, _, region), yes in zip(lines, chosen.tolist()):
-        own[region] += len(text) * yes
+    for line, yes in zip(lines, chosen.tolist()):
+        own[line[2]] += len(line[0]) * yes
     for i in range(len(regions) - 1, -1, -1):  # inner regions come after those around them
         deep[i] += own[i]
         if (up := regions[i][0]) >= 0:
@@ -207,8 +217,17 @@ def main_text(html: str) -> str:
     inside, outer = _landmarks(regions, deep)
     if not inside:
         inside = _densest(regions, own, deep)
-    within, around = _spread(regions, inside), _spread(regions, outer)
-    return " ".join(t for (t, _, r), yes in zip(lines, chosen.tolist()) if within[r] or (yes and around[r]))
+    within, around = np.array(_spread(regions, inside)), np.array(_spread(regions, outer))
+    region = np.array([line[2] for line in lines])
+    # Where the text is found to be speaks for short lines there and against lines elsewhere.
+    chosen = upper(score * np.where(within[region] | around[region], 1.0, OUTSIDE))
+    return " ".join(line[0] for line, yes in zip(lines, (chosen | (within[region] & plain)).tolist()) if yes)
+
+
+def upper(score: np.ndarray) -> np.ndarray:
+    """The lines of the upper cluster.  Two clusters are found in prose alone too: lines with half the upper one's mean belong to it."""
+    high = cluster(score)
+    return high | (score >= 0.5 * score[high].mean())
 
 
 def _read(html: str, by_name: bool, kept: frozenset[int] = frozenset()) -> PageLines:
@@ -269,12 +288,14 @@ def _spread(regions, wanted: set[int]) -> list[bool]:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text, n_chars (code points of text).
 
-    The parser's events give one line per block.  Lines inside page furniture (by tag,
-    role, class or id) never count; the others are weighed by their smoothed text-to-tag
-    ratio, a threshold parts them in two clusters, and the region that holds the upper one
-    is the article: its landmarks (article, main) where there are any, else the blocks
-    found by going inwards to where the chosen text is.  All lines of that region are kept, short ones too; of a landmark
-    around others those of the upper cluster.
+    The parser's events give one line per block.  A line's score is its smoothed
+    text-to-tag ratio, between 0 and 1, weighed by evidence against it: page furniture by
+    tag, role, class or id around it, its share of links, and that no element of prose
+    (paragraph, heading, list item, cell) holds it.  A threshold parts the
+    scores in two clusters; where the upper one is are the text's regions: landmarks
+    (article, main) where there are any, else the blocks found by going inwards.  Being
+    outside of them is evidence too, and a second threshold over all lines says which stay;
+    short lines inside, which nothing speaks against, stay with them.
 
     Edge cases: a null or empty page, and one with no text, give an empty text; broken
     markup and unclosed tags are read as far as they go; pages of any length are read
