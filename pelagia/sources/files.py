@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable, Iterable
 from functools import reduce
 
@@ -14,6 +15,8 @@ from pelagia.sources.scratch import written
 
 #: Reader options of job settings and the Spark CSV option of each.
 CSV_OPTIONS = {"sep": "sep", "delimiter": "sep", "separator": "sep", "quotechar": "quote", "quote_char": "quote", "escapechar": "escape", "comment": "comment", "comment_prefix": "comment", "encoding": "encoding"}
+#: Held while a session's inference of partition types is switched off.
+_INFERENCE = threading.Lock()
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -77,12 +80,13 @@ def read_parquet(spark: SparkSession, path, schema: T.StructType | None = None,
     polygon key into a number, and cast to `partition_types`.
     """
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    finally:
-        spark.conf.set(key, before)
+    with _INFERENCE:  # Spark has no such option per read; threads that read here take turns
+        before = spark.conf.get(key)
+        spark.conf.set(key, "false")
+        try:
+            df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+        finally:
+            spark.conf.set(key, before)
     for name, kind in partition_types.items():
         df = df.withColumn(name, F.col(name).cast(kind))
     return df
