@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from pelagia.operators.select import CANDIDATES
+from pelagia.sources.scratch import written
 
 #: Roles of the coordinates' kinds, and of a coordinate by its standard name.
 ROLES = {"TIME": "TIME_AXIS", "LATITUDE": "LAT", "LONGITUDE": "LON", "DEPTH": "DEPTH"}
@@ -251,13 +252,17 @@ def ratio_udf(partial: bool = False):
 def find_datasets(catalogue: DataFrame, value: str, key: str = "standard_name", threshold: float = 80.0) -> DataFrame:
     """Datasets with a variable whose attribute is like the value, as a whole percent.
 
-    Each distinct attribute is compared once, and only if it shares enough pairs of
-    letters with the value (`fuzzy_candidates`); one that holds the value is like it.
+    Each distinct attribute is compared once, in as many tasks as run at a time, and only
+    if it shares enough pairs of letters with the value (`fuzzy_candidates`); one that holds
+    the value is like it.  The likeness is marked as nondeterministic, or Spark would
+    compare every row on the other side of the join as well.
     """
-    wanted = catalogue.where((F.col("key") == key) & F.col("value").isNotNull()).select("dataset", F.lower("value").alias("value"))
+    wanted = written(catalogue.where((F.col("key") == key) & F.col("value").isNotNull()).select("dataset", F.lower("value").alias("value")).distinct(), "wanted")
     asked = value.lower()
     near = fuzzy_candidates(wanted.select("value").distinct(), asked)(threshold)
-    scored = near.withColumn("score", F.when(F.contains("value", F.lit(asked)), 100.0).otherwise(ratio_udf(True)(F.lit(asked), F.col("value"))))
+    near = near.repartition(max(8, catalogue.sparkSession.sparkContext.defaultParallelism), "value")
+    like = ratio_udf(True).asNondeterministic()(F.lit(asked), F.col("value"))
+    scored = near.withColumn("score", F.when(F.contains("value", F.lit(asked)), 100.0).otherwise(like))
     return wanted.join(scored.where(F.col("score") >= threshold), "value").select("dataset").distinct()
 
 
