@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import Hasher, filter_of, mix64, slices, text_of, trim, written
+from pelagia.llm.common import Hasher, filter_of, mix64, slices, span_hashes, text_of, trim, word_spans, written
 
 UNITS = frozenset(
     """kg g mg t lb lbs oz km m cm mm mi ft in yd l ml s sec secs ms min mins h hr hrs hours hour minutes minute seconds second days day weeks week months month years year
@@ -20,9 +20,11 @@ UNITS = frozenset(
 _IN = rb"A-Za-z0-9\x80-\xff"
 _UNIT = b"|".join(sorted((u.encode() for u in UNITS), key=len, reverse=True))
 #: Capitals of ASCII, Latin-1, Latin Extended-A, Greek and Cyrillic, as UTF-8.
-_CAPITAL = "|".join(re.escape(chr(c)) for c in [*range(65, 91), *range(0xC0, 0x180), *range(0x386, 0x3AC), *range(0x400, 0x430)] if chr(c).isupper()).encode()
-#: A capitalised word within a sentence: after a word or a comma and white space, which is one blank by then.
-_NAME = re.compile(rb"(?<=[a-z0-9,;\x80-\xff] )(?:" + _CAPITAL + rb")(?:[a-z]|[\xc3-\xf4][\x80-\xbf]+)+(?![" + _IN + rb"])")
+_CAPITALS = [chr(c).encode() for c in [*range(65, 91), *range(0xC0, 0x180), *range(0x386, 0x3AC), *range(0x400, 0x430)] if chr(c).isupper()]
+#: A class of last bytes for each first byte; the pattern tries far fewer branches so.
+_CAPITAL = b"|".join(re.escape(lead) + b"[" + b"".join(re.escape(c[-1:]) for c in _CAPITALS if c[:-1] == lead) + b"]" for lead in sorted({c[:-1] for c in _CAPITALS}))
+#: A capitalised word within a sentence: after a word or a comma and white space, which is one blank by then; the search goes from blank to blank.
+_NAME = re.compile(rb" (?<=[a-z0-9,;\x80-\xff] )((?:" + _CAPITAL + rb")(?:[a-z]|[\xc3-\xf4][\x80-\xbf]+)+)(?![" + _IN + rb"])")
 _NUMBER = re.compile(rb"(?<![" + _IN + rb"])[0-9][0-9.,:/]*(?:st|nd|rd|th)?(?![" + _IN + rb"])")
 _MEASURE = re.compile(rb"(?<![" + _IN + rb"])[0-9][0-9.,]*(?:" + _UNIT + rb")(?![" + _IN + rb"])", re.I)
 _UNIT_AFTER = re.compile(rb"(?<=\x02 )(?:" + _UNIT + rb")(?![" + _IN + rb"])", re.I)
@@ -32,6 +34,9 @@ PLACEHOLDERS = frozenset(p for p, _ in SLOTS)
 _DROPPED = bytes(c for c in range(5, 128) if not chr(c).isalnum() and c not in b" \t\n\x0b\x0c\r")
 _DIGIT = re.compile(rb"[0-9]")
 _IN_WORD = re.compile(rb"[\x01-\x04]")
+#: A 64-bit number for each byte, so that words that differ in length or in zero bytes don't come near each other.
+_NUMBERS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_LETTERS = np.array([c not in b" \t\n\x0b\x0c\r" for c in range(256)])
 #: Added to the length of a window that is compared by its words as they are.
 EXACT = 1 << 32
 
@@ -54,18 +59,34 @@ class Powers:
         return cls.up[:n], cls.down[:n]
 
 
+def _replaced(text: str) -> tuple[bytes, list[tuple[bytes, bytes]]]:
+    """(the template with white space between its words, the stages of `template`)."""
+    raw, stages = b" ".join(text.encode().translate(None, b"\x01\x02\x03\x04").split()), []
+    digits = _DIGIT.search(raw) is not None
+    for mark, pattern in SLOTS:
+        if digits or pattern is _NAME:
+            stages.append((mark, raw))
+            raw = pattern.sub(b" " + mark if pattern is _NAME else mark, raw)
+    return raw.lower().translate(None, _DROPPED), stages
+
+
 def template(text: str) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
     """(template words, the text at each stage of the replacement with the placeholder that comes next).
 
     White space parts words, however much of it; case of A-Z and punctuation are dropped.
     """
-    raw, stages = b" ".join(_IN_WORD.sub(b"", text.encode()).split()), []
-    digits = _DIGIT.search(raw) is not None
-    for mark, pattern in SLOTS:
-        if digits or pattern is _NAME:
-            stages.append((mark, raw))
-            raw = pattern.sub(mark, raw)
-    return raw.lower().translate(None, _DROPPED).split(), stages
+    raw, stages = _replaced(text)
+    return raw.split(), stages
+
+
+def hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the words of a template, whether each is a placeholder), from its bytes."""
+    data = np.frombuffer(raw, np.uint8)
+    starts, ends = word_spans(data, _LETTERS)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    first = data[starts]
+    return span_hashes(_NUMBERS[data], starts, ends), (ends - starts == 1) & (first >= 1) & (first <= 4)
 
 
 def slot_values(stages: list[tuple[bytes, bytes]]) -> dict[bytes, list[str]]:
@@ -123,14 +144,15 @@ def _rows(df: DataFrame, id_col: str, text_col: str, window: int, lengths: Itera
         for batch in slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, stages = template(text)
-                if not words:
+                raw, stages = _replaced(text)
+                known, slot = hashed(raw)
+                if not len(known):
                     continue
-                is_slot = [False] * len(words) if PLACEHOLDERS.isdisjoint(words) else [w in PLACEHOLDERS for w in words]
-                slot, wanted = np.array(is_slot), lengths if lengths is not None else [min(window, len(words))]
-                starts, sizes, hashes = windows(hasher(words), slot, wanted)
+                wanted = lengths if lengths is not None else [min(window, len(known))]
+                starts, sizes, hashes = windows(known, slot, wanted)
                 held = None
                 if slot.any() and (lengths is not None or not len(starts)) and _any_heavy(slot, wanted):
+                    words = raw.split()
                     held, plain = places(words, stages)
                     exact = windows(hasher([plain.get(k, w) for k, w in enumerate(words)]), slot, wanted, heavy=True)
                     starts, hashes = np.concatenate((starts, exact[0])), np.concatenate((hashes, exact[2]))
@@ -141,7 +163,7 @@ def _rows(df: DataFrame, id_col: str, text_col: str, window: int, lengths: Itera
                     if not keep.any():
                         continue
                     starts, sizes, hashes = starts[keep], sizes[keep], hashes[keep]
-                place = places(words, stages)[0] if held is None else held
+                place = places(raw.split(), stages)[0] if held is None else held
                 for s, n, x in zip(starts.tolist(), sizes.tolist(), hashes.view(np.int64).tolist()):
                     slots = [v for k in range(s, s + n) for v in place.get(k, ())] if n < EXACT else []
                     for column, v in zip(out, (i, s, n, x, slots, total)):
