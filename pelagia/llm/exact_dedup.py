@@ -2,34 +2,31 @@
 
 from __future__ import annotations
 
-import hashlib
+import string
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import LOWEST, text_of, trim, written
+from pelagia.llm.common import LOWEST, text_of, written
 
 
-def _md5(data: bytes) -> bytes:
-    return hashlib.md5(data, usedforsecurity=False).digest()
+def _lowered(text: Column) -> Column:
+    """A text with A-Z lower-cased, all else as it is; `lower` changes nothing else in a text of ASCII alone."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
-def _signer(content_hash: Callable[[bytes], bytes], with_text: bool):
-    """text -> content hash, SHA-256 and, if asked for, the text with A-Z lower-cased; by Arrow batches."""
+def _content(norm: Column, content_hash: Callable[[bytes], bytes] | None) -> Column:
+    """16 bytes of MD5 by Spark, or another hash of the bytes by Arrow batches."""
+    if content_hash is None:
+        return F.unhex(F.md5(norm))
 
-    @F.arrow_udf("struct<h:binary,sha:string,norm:string>" if with_text else "struct<h:binary,sha:string>")
-    def sign(text: pa.Array) -> pa.Array:
-        norm = [t.encode().lower() for t in text.to_pylist()]  # bytes.lower() changes A-Z only
-        columns = {"h": pa.array([content_hash(b) for b in norm], pa.binary()), "sha": pa.array([hashlib.sha256(b).hexdigest() for b in norm], pa.string())}
-        if with_text:
-            columns["norm"] = pa.array(norm, pa.binary()).cast(pa.string())
-        del norm
-        trim()
-        return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+    @F.arrow_udf("binary")
+    def other(text: pa.Array) -> pa.Array:
+        return pa.array([content_hash(t.encode()) for t in text.to_pylist()], pa.binary())
 
-    return sign
+    return other(norm)
 
 
 def _id(name: str) -> Column:
@@ -38,8 +35,7 @@ def _id(name: str) -> Column:
 
 def _texts(docs: DataFrame, keep: str, content_hash, id_col: str, text_col: str) -> DataFrame:
     """One row per (hash, text): the id that stays and the number of rows."""
-    sign = _signer(content_hash, True)
-    signed = docs.select(_id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("id", "s.h", "s.norm")
+    signed = docs.select(_id(id_col).alias("id"), _lowered(text_of(text_col)).alias("norm")).select("id", _content(F.col("norm"), content_hash).alias("h"), "norm")
     best = F.max if keep == "max" else F.min
     return signed.groupBy("h", "norm").agg(best("id").alias("k"), F.count(F.lit(1)).alias("size"))
 
@@ -62,13 +58,13 @@ def _groups(docs: DataFrame, keep: str, content_hash, id_col: str, text_col: str
 
 
 def duplicate_groups(
-    docs: DataFrame, keep: str = "min", content_hash: Callable[[bytes], bytes] = _md5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, keep: str = "min", content_hash: Callable[[bytes], bytes] | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z only.  Of equal texts the row
     with the smallest (keep="min") or largest (keep="max") id stays.  Grouping is by
-    `content_hash` (16 bytes) and, inside a hash, by the bytes themselves, so texts whose
+    `content_hash` (MD5, 16 bytes; by Spark, so that no Python worker holds texts) and, inside a hash, by the bytes themselves, so texts whose
     hashes collide are never joined.  The grouping combines on the map side: a text with
     very many copies reaches the shuffle as one row per task.
 
@@ -77,8 +73,8 @@ def duplicate_groups(
     rows; other columns are not read.
     """
     single, collided = _groups(docs, keep, content_hash, id_col, text_col)
-    sign = _signer(content_hash, False)
-    signed = docs.select(_id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("id", "s.h", "s.sha")
+    signed = docs.select(_id(id_col).alias("id"), _lowered(text_of(text_col)).alias("norm"))
+    signed = signed.select("id", _content(F.col("norm"), content_hash).alias("h"), F.sha2("norm", 256).alias("sha"))
     rows = signed.groupBy("id", "h", "sha").agg(F.count(F.lit(1)).alias("n"))
     names = ["id", "sha", "n", "k", "size"]
     found = rows.join(single, "h").select(names)
@@ -95,7 +91,7 @@ def duplicate_groups(
 
 
 def keep_one(
-    docs: DataFrame, keep: str = "min", content_hash: Callable[[bytes], bytes] = _md5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, keep: str = "min", content_hash: Callable[[bytes], bytes] | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one row per group of equal texts.
 
@@ -105,9 +101,9 @@ def keep_one(
     winners = single.select(F.col("k").alias("id"), "h", F.lit(None).cast("string").alias("w_sha"))
     if collided is not None:
         winners = winners.union(collided.select(F.col("k").alias("id"), "h", F.col("sha").alias("w_sha")))
-    sign = _signer(content_hash, False)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    signed = docs.select(row, _id(id_col).alias("id"), sign(text_of(text_col)).alias("s")).select("row", "id", "s.h", "s.sha").alias("d")
+    signed = docs.select(row, _id(id_col).alias("id"), _lowered(text_of(text_col)).alias("norm"))
+    signed = signed.select("row", "id", _content(F.col("norm"), content_hash).alias("h"), F.sha2("norm", 256).alias("sha")).alias("d")
     winners = winners.alias("w")
     same = (F.col("d.id") == F.col("w.id")) & (F.col("d.h") == F.col("w.h")) & (F.col("w_sha").isNull() | (F.col("w_sha") == F.col("sha")))
     w = Window.partitionBy("id", "h").orderBy("sha")

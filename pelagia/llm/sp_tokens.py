@@ -208,13 +208,17 @@ class MergeEncoder:
         get = self.words.__getitem__
         return [[*np.frombuffer(b"".join(map(get, s)), self.kind).tolist(), self.end] for s in split]
 
+    def forget(self) -> None:
+        """Drops the words remembered, which a worker would hold on to through whatever runs in it next."""
+        self.words, self.older, self.kept = {}, {}, 0
+
     def joined(self, ids: list[int]) -> str:
         return " ".join(map(self.text_of.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> MergeEncoder:
-    """One encoder per Python worker; its words stay between tasks, within the bounds above."""
+    """One encoder per Python worker; its words stay between tasks, within the bounds above, unless they are forgotten."""
     return MergeEncoder(path)
 
 
@@ -255,6 +259,7 @@ def encode(docs: DataFrame, model_path: str, check: bool = True, id_col: str = "
                 [keys, pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array([enc.library.decode(i) for i in ids], pa.string())],
                 names=["doc_id", "ids", "n_tokens", "decoded"],
             )
+        enc.forget()
         trim()
 
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, decoded string")
