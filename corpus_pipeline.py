@@ -20,7 +20,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest id; texts without words and rows without id stay."""
+    """Of each group of near copies (linked by SimHash fingerprints and by shingles, five-word sets at similarity 0.8 or more) the document with the smallest id; texts without words and rows without id stay."""
     return near_dedup.keep_one(docs, words=5, similarity=0.8)
 
 

@@ -1,11 +1,13 @@
-"""Near copies by word shingles: an inverted index of positions with count filtering.
-
-The fingerprint index of `simhash` guarantees shared byte positions only below a few
-differing bits; texts at a Jaccard similarity of 0.8 differ in about ten of 64, which may
-spoil all eight positions, so no minimum holds there.  Here the positions are the first
-places of each text's shingles in one order of all shingles, as many as guarantee that a
-linked pair shares some; index, tally of what a pair shares, guaranteed minimum and
-verification stay, and no link is lost.
+"""Near copies by fingerprints, then by word shingles: inverted indexes of positions with count filtering.
+
+First the fingerprints of `simhash` are linked by their byte positions, and texts whose
+fingerprints link are verified on their shingles (`fingerprint_pairs`).  That index
+guarantees shared byte positions only below a few differing bits; texts at a Jaccard
+similarity of 0.8 differ in about ten of 64, which may spoil all eight positions, so no
+minimum holds for them.  For these the positions are the first places of each text's
+shingles in one order of all shingles, as many as guarantee that a linked pair shares
+some; index, tally of what a pair shares, guaranteed minimum and verification stay, and no
+link is lost.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pelagia.llm import simhash
 from pelagia.llm.common import Hasher, components, filter_of, mix64, slices, text_of, trim, written
 from pelagia.sources.scratch import delete_path
 
@@ -97,13 +100,31 @@ def _frequency(rows: DataFrame, words: int) -> np.ndarray:
     return out
 
 
+def fingerprint_pairs(rows: DataFrame, max_bits: int = 2, used: list[str] | None = None) -> DataFrame:
+    """Pairs (a, b) of ids of `rows` (id, text) whose SimHash fingerprints differ in `max_bits` bits at most, by one id of each fingerprint.
+
+    Fingerprints link by `simhash.links`: postings of byte positions, tally of shared bytes,
+    guaranteed minimum, verification bit by bit.  Of the ids with one fingerprint each is
+    paired with the smallest, and the smallest ids of linked fingerprints with each other,
+    so copies are never expanded into pairs.
+    """
+    prints = written(simhash.fingerprints(rows.where(F.col("text").rlike(r"[^ \t-\r]")), 3, "id", "text"), "fingerprints", used)
+    low = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    same = prints.join(low, "fp").where("doc_id > low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    left, right = low.select(F.col("fp").alias("a"), F.col("low").alias("low_a")), low.select(F.col("fp").alias("b"), F.col("low").alias("low_b"))
+    other = simhash.links(prints, max_bits).join(left, "a").join(right, "b").select(F.col("low_a").alias("a"), F.col("low_b").alias("b"))
+    return same.union(other)
+
+
 def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, root) of the documents that belong to a group of near copies; root is the group's smallest id.
 
     Two documents link if the Jaccard similarity of their sets of `words`-word shingles is
     `similarity` or more; groups are the connected components.
 
-    All shingles have one order: by how often their class occurs, then by hash.  A text is
+    Texts whose fingerprints link (`fingerprint_pairs`) are verified on their sets first and
+    join groups, whose members no longer meet; the rest are texts that fingerprints can't
+    link for certain.  For these all shingles have one order: by how often their class occurs, then by hash.  A text is
     indexed by its first shingles in that order, as many as are needed for every linked
     pair to share one (`indexed`), so a passage that many texts hold stands last and makes
     no posting.  A pair that meets in a posting is kept if lengths and places allow the
@@ -226,9 +247,12 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds
         return texts.join(dealt(ones), ["h", "block"]).where((F.col("root") != F.col("other")) & can).select(F.col("id").alias("a"), "b")
 
     other = [F.col("id").alias("b"), F.col("n").alias("m"), F.col("place").alias("there"), F.col("root").alias("other"), F.col("blocks")]
-    groups, k, settled = None, 0, False
+    links = written(verified(fingerprint_pairs(rows, used=used)), "links", used)
+    groups = written(components(links), "groups", kept := [])
+    used += kept
+    k, settled = 0, False
     while True:
-        members = postings.withColumn("root", F.col("id")) if groups is None else postings.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        members = postings.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
         if k < rounds:
             # One for all postings at first, so that few pairs are verified; then one for each, so that a text meets many of its group.
             by = F.xxhash64("id") if not k else F.xxhash64("id", "h", F.lit(k))
@@ -246,9 +270,8 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds
                 pairs = met_by(apart, some.select("h", "f.*"))
         links = written(verified(pairs), "links", used)
         joined = links.count()
-        if groups is None or joined:  # what is joined already goes on as a star around its root
-            edges = links if groups is None else links.union(groups.select("node", "root"))
-            groups = written(components(edges), "groups", kept := [])
+        if joined:  # what is joined already goes on as a star around its root
+            groups = written(components(links.union(groups.select("node", "root"))), "groups", kept := [])
             used += kept
         if settled:
             break
