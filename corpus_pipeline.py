@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pelagia.llm import decontam, exact_dedup, near_dedup, sp_tokens, toxicity
 from pelagia.llm.queries import piece_model, table
-from pelagia.sources.scratch import scratch_path
+from pelagia.sources.scratch import save, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +55,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        save(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

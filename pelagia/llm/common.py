@@ -11,10 +11,12 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.sources.scratch import delete_path, scratch_path
+from pelagia.sources.scratch import delete_path, save, scratch_path
 
 #: Sorts before every real id; stands for a missing id where an order is needed.
 LOWEST = -(2**63)
+#: Nodes whose smallest neighbours are broadcast, 16 bytes each; beyond that many they are joined by shuffles.
+BROADCAST_NODES = 200_000
 
 
 def text_of(name: str = "text") -> Column:
@@ -56,51 +58,47 @@ def written(df: DataFrame, name: str, used: list[str] | None = None) -> DataFram
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    save(df, path)
     if used is not None:
         used.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
+def components(edges: DataFrame, src: str = "a", dst: str = "b", used: list[str] | None = None) -> DataFrame:
     """Connected components of an edge list: (node, root), root the smallest node of the component.
 
-    Alternates large-star and small-star rounds until the edges no longer change, each
-    round a grouping and a join over the edges only; isolated nodes have no row.  Rounds
-    grow with the logarithm of the longest chain, and each round's edges are written to
-    the shared folder.
+    Alternates large-star and small-star rounds until the edges are stars around their
+    smallest nodes, each round two groupings that combine on the map side and two joins over
+    the edges only; isolated nodes have no row.  Each round begins with every node's smallest
+    neighbour, which tells whether all are stars, so no round is run to see that nothing
+    changes.  These are broadcast up to BROADCAST_NODES, else joined by shuffles.  Rounds grow
+    with the logarithm of the longest chain, and each round's edges are written to the shared
+    folder.  The folder that holds the result is added to `used`.
     """
     spark = edges.sparkSession
-    used: list[str] = []
-
-    def keep(df: DataFrame) -> tuple[DataFrame, tuple]:
-        path = scratch_path(spark, "edges")
-        df.write.parquet(path)
-        used.append(path)
-        out = spark.read.schema(df.schema).parquet(path)
-        mark = out.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return out, tuple(mark)
-
-    pairs = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).where("u > v").distinct()
-    current, mark = keep(pairs)
-    while mark[0]:
+    ends = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v"))
+    current = written(ends.where("u > v").distinct(), "edges", old := [])
+    while True:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            low.select("u", F.col("m").alias("v"))
-        ).distinct()
-        after, new = keep(small)
-        if len(used) > 2:
-            delete_path(spark, used.pop(0))
-        same, mark, current = new == mark, new, after
-        if same:
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        low = written(low, "roots", kept := [])
+        # In a star, what has a smaller neighbour has no other.
+        nodes, astray = low.agg(F.count(F.lit(1)), F.count_if(F.expr("m < u and n > 1"))).first()
+        if not astray:
             break
-    return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    )
+        met = F.broadcast if nodes <= BROADCAST_NODES else lambda df: df
+        large = current.join(met(low.select(F.col("u").alias("v"), "m")), "v").select("u", F.col("m").alias("v"))
+        joined = large.join(met(large.groupBy("u").agg(F.min("v").alias("m"))), "u")
+        each = joined.select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+        current = written(each.select("e.u", F.col("e.m").alias("v")).where("u > v").distinct(), "edges", new := [])
+        for path in old + kept:
+            delete_path(spark, path)
+        old = new
+    for path in old:
+        delete_path(spark, path)
+    if used is not None:
+        used += kept
+    return low.select(F.col("u").alias("node"), F.col("m").alias("root"))
 
 
 def forest_roots(parents: DataFrame, node: str, parent: str) -> DataFrame:

@@ -236,7 +236,7 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds
         near = pairs.join(by(index, "a"), "a").join(by(index, "b"), "b")
         near = near.where((differing("bits_a", "bits_b") <= apart) & (tally >= minimum)).select("a", "b").distinct()
         both = near.join(by(whole, "a"), "a").join(by(whole, "b"), "b")
-        return both.where(_jaccard("shingles_a", "shingles_b") >= similarity).select("a", "b").distinct()
+        return both.where(_jaccard("shingles_a", "shingles_b") >= similarity).select("a", "b")
 
     def dealt(ones: DataFrame) -> DataFrame:
         """Once for each block of the posting, to meet its members there."""
@@ -248,7 +248,7 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds
 
     other = [F.col("id").alias("b"), F.col("n").alias("m"), F.col("place").alias("there"), F.col("root").alias("other"), F.col("blocks")]
     links = written(verified(fingerprint_pairs(rows, used=used)), "links", used)
-    groups = written(components(links), "groups", kept := [])
+    groups = components(links, used=(kept := []))
     used += kept
     k, settled = 0, False
     while True:
@@ -271,7 +271,7 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds
         links = written(verified(pairs), "links", used)
         joined = links.count()
         if joined:  # what is joined already goes on as a star around its root
-            groups = written(components(links.union(groups.select("node", "root"))), "groups", kept := [])
+            groups = components(links.union(groups.select("node", "root")), used=(kept := []))
             used += kept
         if settled:
             break
